@@ -10,6 +10,8 @@ import re
 
 AS_OF = "DATE '2002-01-01'"
 
+# Rounding is half-up on the printed decimal value everywhere, hence the casts around round().
+
 CTES: dict[str, str] = {}
 
 # ------------------------------------------------------------------------------------- raw
@@ -298,7 +300,7 @@ SELECT query_id, vec_id, rank, distance, 1.0 / (1.0 + distance) AS confidence FR
     row_number() OVER (PARTITION BY q.query_id ORDER BY q.distance_to, e.vec_id) AS rank
   FROM (SELECT qq.query_id, ee.vec_id,
           list_sum(list_transform(list_zip(ee.embedding, qq.embedding),
-            x -> pow(CAST(x[1] AS DOUBLE) - CAST(x[2] AS DOUBLE), 2))) AS distance_to
+            lambda x: pow(CAST(x[1] AS DOUBLE) - CAST(x[2] AS DOUBLE), 2))) AS distance_to
         FROM questions qq, embeddings ee) q
   JOIN embeddings e ON e.vec_id = q.vec_id)
 WHERE rank <= 5"""
@@ -405,7 +407,7 @@ SELECT query_id, policy_number, rank, 1.0 / (1.0 + distance) AS confidence FROM
     row_number() OVER (PARTITION BY query_id ORDER BY distance, policy_number) AS rank
   FROM (SELECT q.query_id, p.policy_number,
           list_sum(list_transform(list_zip(e.embedding, q.embedding),
-            x -> pow(CAST(x[1] AS DOUBLE) - CAST(x[2] AS DOUBLE), 2))) AS distance
+            lambda x: pow(CAST(x[1] AS DOUBLE) - CAST(x[2] AS DOUBLE), 2))) AS distance
         FROM questions q, policy_docs p JOIN embeddings e ON e.vec_id = p.policy_number))
 WHERE rank <= 5"""
 CTES["issue_counts"] = """
@@ -487,7 +489,7 @@ FINAL["rule_counts"] = "\nUNION ALL ".join(
 FINAL["dq_registry"] = """
 SELECT m.issue_id, m.table_name, m.column_name, m.rule_name, m.issue_type, m.severity,
   c.affected_records, c.total_records,
-  round(CAST(c.affected_records AS DOUBLE) / c.total_records, 3) AS affected_ratio,
+  CAST(round(CAST(CAST(CAST(c.affected_records AS DOUBLE) / c.total_records AS VARCHAR) AS DECIMAL(38, 14)), 3) AS DOUBLE) AS affected_ratio,
   m.description, m.suggested_fix FROM issue_meta m JOIN issue_counts c USING (issue_id)"""
 FINAL["duplicate_excess"] = """
 SELECT count(*) AS total_rows, count(DISTINCT id) AS distinct_keys,
@@ -515,47 +517,47 @@ SELECT strftime(d, '%Y%m%d') AS date_key, CAST(d AS DATE) AS full_date,
 FROM (SELECT unnest(generate_series(min(policy_bind_date)::TIMESTAMP,
     max(policy_bind_date)::TIMESTAMP, INTERVAL 1 DAY)) AS d FROM policy_clean)"""
 
-_RATE = "round(CAST(sum(is_rejected) AS DOUBLE) * 100.0 / count(*), 2)"
-_RATE1 = "round(CAST(sum(is_rejected) AS DOUBLE) * 100.0 / count(*), 1)"
+_RATE = "CAST(round(CAST(CAST(CAST(sum(is_rejected) AS DOUBLE) * 100.0 / count(*) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE)"
+_RATE1 = "CAST(round(CAST(CAST(CAST(sum(is_rejected) AS DOUBLE) * 100.0 / count(*) AS VARCHAR) AS DECIMAL(38, 14)), 1) AS DOUBLE)"
 FINAL["rollup_rejection_by_tier_region"] = f"""
 SELECT policy_csl, policy_csl_tier, region, count(*) AS total_claims,
   CAST(sum(is_rejected) AS BIGINT) AS rejected_claims, {_RATE} AS rejection_rate_pct,
-  round(avg(total_claim_amount), 2) AS avg_claim_amount,
-  round(sum(total_claim_amount), 2) AS total_claim_amount
+  CAST(round(CAST(CAST(avg(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_claim_amount,
+  CAST(round(CAST(CAST(sum(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS total_claim_amount
 FROM fact_claims GROUP BY policy_csl, policy_csl_tier, region"""
 FINAL["rollup_severity"] = f"""
 SELECT incident_severity, count(*) AS total_claims,
   CAST(sum(is_rejected) AS BIGINT) AS rejected_claims, {_RATE} AS rejection_rate_pct,
-  round(sum(total_claim_amount), 2) AS total_claim_amount,
-  round(avg(total_claim_amount), 2) AS avg_claim_amount,
-  round(avg(bodily_injuries), 2) AS avg_bodily_injuries,
-  round(avg(number_of_vehicles_involved), 2) AS avg_vehicles_involved
+  CAST(round(CAST(CAST(sum(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS total_claim_amount,
+  CAST(round(CAST(CAST(avg(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_claim_amount,
+  CAST(round(CAST(CAST(avg(bodily_injuries) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_bodily_injuries,
+  CAST(round(CAST(CAST(avg(number_of_vehicles_involved) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_vehicles_involved
 FROM fact_claims GROUP BY incident_severity"""
 FINAL["rollup_customers_by_region"] = """
 SELECT region, count(*) AS customer_count, count(DISTINCT state) AS states_covered,
-  round(avg(balance), 2) AS avg_balance,
+  CAST(round(CAST(CAST(avg(balance) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_balance,
   CAST(count_if(default_flag = 1) AS BIGINT) AS customers_with_default,
   CAST(count_if(hh_insurance = 1) AS BIGINT) AS customers_with_hh_insurance,
   CAST(count_if(car_loan = 1) AS BIGINT) AS customers_with_car_loan
 FROM dim_customer GROUP BY region"""
 FINAL["rollup_unsold_aging"] = """
 SELECT car_model, region, count(*) AS unsold_count, max(days_unsold) AS max_days_unsold,
-  round(avg(days_unsold), 1) AS avg_days_unsold, min(days_unsold) AS min_days_unsold,
-  round(sum(revenue_at_risk), 2) AS total_revenue_at_risk,
-  round(avg(original_selling_price), 2) AS avg_listing_price,
+  CAST(round(CAST(CAST(avg(days_unsold) AS VARCHAR) AS DECIMAL(38, 14)), 1) AS DOUBLE) AS avg_days_unsold, min(days_unsold) AS min_days_unsold,
+  CAST(round(CAST(CAST(sum(revenue_at_risk) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS total_revenue_at_risk,
+  CAST(round(CAST(CAST(avg(original_selling_price) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_listing_price,
   CAST(count_if(days_unsold > 60) AS BIGINT) AS unsold_over_60_days,
   CAST(count_if(days_unsold > 90) AS BIGINT) AS unsold_over_90_days
 FROM fact_sales WHERE is_sold = 0 GROUP BY car_model, region"""
 FINAL["rollup_premium_by_tier"] = """
 SELECT policy_csl, policy_csl_tier, count(*) AS policy_count,
-  round(avg(policy_annual_premium), 2) AS avg_annual_premium,
-  round(sum(policy_annual_premium), 2) AS total_premium_revenue,
-  round(avg(policy_deductable), 2) AS avg_deductable,
-  round(avg(umbrella_limit), 2) AS avg_umbrella_limit,
+  CAST(round(CAST(CAST(avg(policy_annual_premium) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_annual_premium,
+  CAST(round(CAST(CAST(sum(policy_annual_premium) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS total_premium_revenue,
+  CAST(round(CAST(CAST(avg(policy_deductable) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_deductable,
+  CAST(round(CAST(CAST(avg(umbrella_limit) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_umbrella_limit,
   CAST(sum(COALESCE(n, 0)) AS BIGINT) AS total_claims_filed,
-  round(CAST(sum(COALESCE(r, 0)) AS DOUBLE) * 100.0 / greatest(sum(COALESCE(n, 0)), 1), 2)
+  CAST(round(CAST(CAST(CAST(sum(COALESCE(r, 0)) AS DOUBLE) * 100.0 / greatest(sum(COALESCE(n, 0)), 1) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE)
     AS overall_rejection_rate_pct,
-  round(sum(COALESCE(v, 0.0::DOUBLE)), 2) AS total_claims_exposure
+  CAST(round(CAST(CAST(sum(COALESCE(v, 0.0::DOUBLE)) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS total_claims_exposure
 FROM dim_policy p LEFT JOIN (
   SELECT policy_id, count(*) AS n, sum(is_rejected) AS r, sum(total_claim_amount) AS v
   FROM fact_claims GROUP BY policy_id) c ON p.policy_number = c.policy_id
@@ -721,11 +723,11 @@ FINAL["key_coverage"] = "\nUNION ALL ".join(
                              ("customers", "CustomerID", " AND src = 'customers_7'"))
     for lk in ("PolicyID", "ClaimID"))
 FINAL["profile_numeric"] = "\nUNION ALL ".join(
-    f"SELECT '{c}' AS column_name, round(avg({c}), 4) AS mean, "
-    f"round(stddev_samp({c}), 4) AS stddev FROM claims_clean"
+    f"SELECT '{c}' AS column_name, CAST(round(CAST(CAST(avg({c}) AS VARCHAR) AS DECIMAL(38, 14)), 4) AS DOUBLE) AS mean, "
+    f"CAST(round(CAST(CAST(stddev_samp({c}) AS VARCHAR) AS DECIMAL(38, 14)), 4) AS DOUBLE) AS stddev FROM claims_clean"
     for c in ("injury_amount", "property_amount", "vehicle_amount"))
 FINAL["profile_amounts"] = """
-SELECT round(avg(total_claim_amount), 4) AS mean, round(stddev_samp(total_claim_amount), 4) AS stddev,
+SELECT CAST(round(CAST(CAST(avg(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 4) AS DOUBLE) AS mean, CAST(round(CAST(CAST(stddev_samp(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 4) AS DOUBLE) AS stddev,
   max(total_claim_amount) AS max, min(total_claim_amount) AS min,
   (SELECT p95 FROM amount_stats) AS quantile FROM claims_totals"""
 FINAL["profile_claim_categories"] = "\nUNION ALL ".join(
@@ -736,7 +738,7 @@ FINAL["profile_claim_categories"] = "\nUNION ALL ".join(
 FINAL["profile_damage_reports"] = """
 SELECT property_damage, police_report_available, count(*) AS cnt FROM claims_clean GROUP BY ALL"""
 
-_SCORE_COLUMNS = """claim_id, policy_id, total_claim_amount, round(z, 6) AS amount_zscore,
+_SCORE_COLUMNS = """claim_id, policy_id, total_claim_amount, CAST(round(CAST(CAST(z AS VARCHAR) AS DECIMAL(38, 14)), 6) AS DOUBLE) AS amount_zscore,
   high_amount_points, severity_mismatch_points, missing_documentation_points,
   no_witnesses_multi_vehicle_points, injury_without_property_points, anomaly_score,
   priority_tier, triggered_rules"""
@@ -744,10 +746,10 @@ FINAL["score_claims"] = f"SELECT {_SCORE_COLUMNS} FROM tiered"
 FINAL["score_claims_calibrated"] = f"SELECT {_SCORE_COLUMNS} FROM tiered_calibrated"
 FINAL["score_tiers"] = "SELECT priority_tier, count(*) AS cnt FROM tiered GROUP BY priority_tier"
 FINAL["score_summary"] = """
-SELECT round(avg(anomaly_score), 4) AS avg_score, max(anomaly_score) AS max_score,
+SELECT CAST(round(CAST(CAST(avg(anomaly_score) AS VARCHAR) AS DECIMAL(38, 14)), 4) AS DOUBLE) AS avg_score, max(anomaly_score) AS max_score,
   min(anomaly_score) AS min_score,
   CAST(count_if(priority_tier IN ('HIGH','MEDIUM')) AS BIGINT) AS flagged_claims,
-  round(CAST(count_if(priority_tier IN ('HIGH','MEDIUM')) AS DOUBLE) * 100.0 / count(*), 1)
+  CAST(round(CAST(CAST(CAST(count_if(priority_tier IN ('HIGH','MEDIUM')) AS DOUBLE) * 100.0 / count(*) AS VARCHAR) AS DECIMAL(38, 14)), 1) AS DOUBLE)
     AS flagged_pct FROM tiered"""
 for _name, _tier, _k in (("top_flagged", "HIGH", 5), ("top_medium", "MEDIUM", 1)):
     FINAL[_name] = f"""
@@ -774,7 +776,7 @@ SELECT CASE WHEN priority_tier <> 'LOW' THEN 'success' ELSE 'not_flagged' END AS
 FINAL["issue_report"] = """
 SELECT m.issue_id, m.table_name, m.column_name, m.rule_name, m.issue_type, m.severity,
   c.affected_records, c.total_records,
-  round(CAST(c.affected_records AS DOUBLE) / c.total_records, 3) AS affected_ratio,
+  CAST(round(CAST(CAST(CAST(c.affected_records AS DOUBLE) / c.total_records AS VARCHAR) AS DECIMAL(38, 14)), 3) AS DOUBLE) AS affected_ratio,
   'Explain data issue ' || m.issue_id || ' to a compliance officer.' AS ai_explanation,
   'success' AS generation_status, 'template' AS model_name
 FROM issue_meta m JOIN issue_counts c USING (issue_id)"""
@@ -786,48 +788,48 @@ FINAL["extract_text_block"] = "SELECT conv_id, turn, role, text AS extracted FRO
 
 FINAL["kpi_policy_count"] = "SELECT count(*) AS total_policies FROM dim_policy"
 FINAL["kpi_policy_by_tier"] = """
-SELECT policy_csl_tier, count(*) AS "count", round(avg(policy_annual_premium), 2) AS avg_premium,
-  round(sum(policy_annual_premium), 2) AS total_revenue FROM dim_policy GROUP BY policy_csl_tier"""
+SELECT policy_csl_tier, count(*) AS "count", CAST(round(CAST(CAST(avg(policy_annual_premium) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_premium,
+  CAST(round(CAST(CAST(sum(policy_annual_premium) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS total_revenue FROM dim_policy GROUP BY policy_csl_tier"""
 FINAL["kpi_policy_by_state"] = """
 SELECT policy_state, count(*) AS "count" FROM dim_policy GROUP BY policy_state"""
 FINAL["kpi_umbrella"] = """
 SELECT CAST(count_if(umbrella_limit > 0) AS BIGINT) AS with_umbrella,
   CAST(count_if(umbrella_limit = 0) AS BIGINT) AS without_umbrella,
-  round(avg(CASE WHEN umbrella_limit > 0 THEN umbrella_limit END), 0) AS avg_umbrella_amount
+  CAST(round(CAST(CAST(avg(CASE WHEN umbrella_limit > 0 THEN umbrella_limit END) AS VARCHAR) AS DECIMAL(38, 14)), 0) AS DOUBLE) AS avg_umbrella_amount
 FROM dim_policy"""
 FINAL["kpi_policy_by_deductible"] = """
 SELECT policy_deductable, count(*) AS "count" FROM dim_policy GROUP BY policy_deductable"""
 FINAL["kpi_claims_overall"] = f"""
 SELECT count(*) AS total_claims, CAST(sum(is_rejected) AS BIGINT) AS total_rejected,
   count(*) - CAST(sum(is_rejected) AS BIGINT) AS total_approved, {_RATE1} AS rejection_rate_pct,
-  round(sum(total_claim_amount), 2) AS total_exposure,
-  round(avg(total_claim_amount), 2) AS avg_claim_amount FROM fact_claims"""
+  CAST(round(CAST(CAST(sum(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS total_exposure,
+  CAST(round(CAST(CAST(avg(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_claim_amount FROM fact_claims"""
 FINAL["kpi_claims_by_severity"] = """
 SELECT incident_severity, count(*) AS "count", CAST(sum(is_rejected) AS BIGINT) AS rejected,
-  round(avg(total_claim_amount), 2) AS avg_amount FROM fact_claims GROUP BY incident_severity"""
+  CAST(round(CAST(CAST(avg(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_amount FROM fact_claims GROUP BY incident_severity"""
 FINAL["kpi_claims_by_region"] = f"""
 SELECT region, count(*) AS "count", CAST(sum(is_rejected) AS BIGINT) AS rejected,
-  {_RATE1} AS rejection_rate, round(sum(total_claim_amount), 2) AS total_exposure
+  {_RATE1} AS rejection_rate, CAST(round(CAST(CAST(sum(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS total_exposure
 FROM fact_claims WHERE region IS NOT NULL GROUP BY region"""
 FINAL["kpi_claims_by_tier"] = f"""
 SELECT policy_csl_tier, count(*) AS "count", {_RATE1} AS rejection_rate
 FROM fact_claims WHERE policy_csl_tier IS NOT NULL GROUP BY policy_csl_tier"""
 FINAL["kpi_customer_count"] = "SELECT count(*) AS total_customers FROM dim_customer"
 FINAL["kpi_customers_by_region"] = """
-SELECT region, count(*) AS "count", round(avg(balance), 2) AS avg_balance
+SELECT region, count(*) AS "count", CAST(round(CAST(CAST(avg(balance) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_balance
 FROM dim_customer GROUP BY region"""
 FINAL["kpi_customer_risk"] = """
 SELECT CAST(sum(default_flag) AS BIGINT) AS customers_with_default,
   CAST(sum(hh_insurance) AS BIGINT) AS customers_with_hh_insurance,
   CAST(sum(car_loan) AS BIGINT) AS customers_with_car_loan,
-  round(avg(balance), 2) AS avg_balance FROM dim_customer"""
+  CAST(round(CAST(CAST(avg(balance) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_balance FROM dim_customer"""
 for _c in ("education", "marital"):
     FINAL[f"kpi_customers_by_{_c}"] = f"""
 SELECT {_c}, count(*) AS "count" FROM dim_customer WHERE {_c} IS NOT NULL GROUP BY {_c}"""
 
 FINAL["topk_l2"] = """
-SELECT query_id, vec_id, CAST(rank AS INT) AS rank, round(distance, 6) AS distance,
-  round(confidence, 6) AS confidence FROM retrieval_hits"""
+SELECT query_id, vec_id, CAST(rank AS INT) AS rank, CAST(round(CAST(CAST(distance AS VARCHAR) AS DECIMAL(38, 14)), 6) AS DOUBLE) AS distance,
+  CAST(round(CAST(CAST(confidence AS VARCHAR) AS DECIMAL(38, 14)), 6) AS DOUBLE) AS confidence FROM retrieval_hits"""
 FINAL["retrieval_log"] = """
 SELECT query_id, string_agg(CAST(vec_id AS VARCHAR), ', ' ORDER BY rank) AS retrieved_ids,
   string_agg(printf('%.4f', confidence), ', ' ORDER BY rank) AS confidence_scores,

@@ -34,10 +34,10 @@ def topk_l2(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str
                                            F.col(vector).alias("qv"))))
             .otherwise(F.raise_error(F.lit("too many queries for one pass: raise `passes`")))
             .alias("q")).scalar()
-        scored = corpus.select(
+        scored = corpus.select(corpus_id, vector, packed.alias("_queries")).select(
             F.col(corpus_id),
             F.explode(F.transform(
-                packed,
+                "_queries",
                 lambda q: F.struct(q["qid"].alias(query_id),
                                    squared_l2(F.col(vector), q["qv"]).alias("distance"))))
             .alias("s"))

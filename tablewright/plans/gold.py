@@ -66,10 +66,9 @@ def dim_date(spark: SparkSession, start: str = fixed.CALENDAR_START,
 
 def dim_date_spanning(dated: DataFrame, *columns: str) -> DataFrame:
     """Calendar over all days between the first and the last date found in the columns."""
-    first = F.least(*[F.min(F.to_date(c)) for c in columns])
-    last = F.greatest(*[F.max(F.to_date(c)) for c in columns])
+    days = F.explode(F.array(*[F.to_date(c) for c in columns]))
     return _calendar_columns(
-        dated.agg(first.alias("a"), last.alias("b"))
+        dated.select(days.alias("d")).agg(F.min("d").alias("a"), F.max("d").alias("b"))
         .select(F.explode(F.sequence("a", "b")).alias("full_date")))
 
 
