@@ -57,7 +57,8 @@ UNION ALL SELECT 'customers_7', k, NULL, NULL, region, NULL, st, st, NULL, job,
 
 CTES["policy_raw"] = """
 SELECT CASE WHEN o_orderkey % 211 = 9 THEN NULL ELSE o_orderkey END AS policy_number,
-  strftime(o_orderdate, '%Y-%m-%d') AS policy_bind_date, n_name AS policy_state,
+  strftime(o_orderdate, '%Y-%m-%d') AS policy_bind_date,
+  'STATE_' || (o_custkey % 9) AS policy_state,
   CASE WHEN o_orderkey % 4 = 0 THEN '100/300' WHEN o_orderkey % 4 = 1 THEN '250/500'
        WHEN o_orderkey % 4 = 2 THEN '500/1000' ELSE '300/300' END AS policy_csl,
   CASE WHEN o_orderkey % 3 = 0 THEN '500' WHEN o_orderkey % 3 = 1 THEN '1000' ELSE '2000' END
@@ -69,7 +70,7 @@ SELECT CASE WHEN o_orderkey % 211 = 9 THEN NULL ELSE o_orderkey END AS policy_nu
   CASE WHEN o_orderkey % 503 = 17 THEN NULL WHEN o_orderkey % 509 = 23 THEN 100000000
        ELSE o_orderkey % 200 END AS car_id,
   o_custkey AS customer_id, 'policy' AS src
-FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
+FROM orders"""
 
 CTES["claims_raw"] = """
 SELECT l_orderkey * 10 + l_linenumber AS ClaimID,
@@ -851,7 +852,7 @@ SELECT policy_number, policy_csl_tier, policy_state, policy_annual_premium FROM
 ORDER BY policy_annual_premium DESC, policy_number LIMIT 5"""
 FINAL["umbrella_by_state"] = """
 SELECT policy_number, policy_state, umbrella_limit FROM dim_policy
-WHERE policy_state = 'NATION_3' AND umbrella_limit > 0"""
+WHERE policy_state = 'STATE_3' AND umbrella_limit > 0"""
 FINAL["by_deductible"] = """
 SELECT policy_number, policy_deductable, policy_csl_tier FROM dim_policy
 WHERE policy_deductable = 2000"""

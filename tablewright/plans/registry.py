@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import joins, profile, quality
+from ..session import tune
 from . import fixed_values as fixed
 from . import gold, issues, kpi, profiling, raw, retrieval, scoring, showcase, silver
 from .layers import Layers
@@ -18,7 +19,7 @@ TABLES = ["customers", "claims", "policy", "sales", "cars"]
 
 
 def _on_layers(build: Callable[[Layers], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(Layers(spark, sf_dir))
+    return lambda spark, sf_dir: build(Layers(tune(spark), sf_dir))
 
 
 def _rule_counts(layers: Layers) -> DataFrame:
@@ -205,7 +206,7 @@ def queries() -> dict[str, Query]:
     registry["lookup_by_number"] = on(lambda x: retrieval.lookup_by_number(x.dim_policy, 804))
     registry["top_premium"] = on(lambda x: retrieval.top_premiums(x.dim_policy))
     registry["umbrella_by_state"] = on(
-        lambda x: retrieval.umbrella_in_state(x.dim_policy, "NATION_3"))
+        lambda x: retrieval.umbrella_in_state(x.dim_policy, "STATE_3"))
     registry["by_deductible"] = on(lambda x: retrieval.with_deductible(x.dim_policy, 2000))
     registry["tier_by_state"] = on(lambda x: retrieval.tier_by_state(x.dim_policy, "High"))
 
