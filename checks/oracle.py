@@ -870,3 +870,73 @@ FINAL["ingest_batch_typed"] = """
 SELECT CAST(car_id AS INT) AS car_id, name, CAST(km_driven AS INT) AS km_driven, fuel, transmission,
   mileage, engine, max_power, torque, CAST(seats AS INT) AS seats, model FROM cars_raw"""
 FINAL["publish_table"] = "SELECT * FROM dim_policy"
+
+_PIPELINE = {
+    **{t: f"SELECT count(*) FROM {t}_clean" for t in
+       ("customers", "claims", "policy", "sales", "cars")},
+    **{f"{t}_failed": f"SELECT count(*) FROM {t}_failed" for t in
+       ("customers", "claims", "policy", "sales", "cars")},
+    **{t: f"SELECT count(*) FROM {t}" for t in
+       ("dim_customer", "dim_policy", "dim_car", "fact_claims", "fact_sales")},
+    "agg_claim_rejection_by_policy_region":
+        "SELECT count(*) FROM (SELECT DISTINCT policy_csl, policy_csl_tier, region FROM fact_claims)",
+    "agg_claim_severity_breakdown":
+        "SELECT count(*) FROM (SELECT DISTINCT incident_severity FROM fact_claims)",
+    "agg_customer_count_by_region": "SELECT count(*) FROM (SELECT DISTINCT region FROM dim_customer)",
+    "agg_unsold_inventory_by_model_region":
+        "SELECT count(*) FROM (SELECT DISTINCT car_model, region FROM fact_sales WHERE is_sold = 0)",
+    "agg_policy_premium_by_coverage_tier":
+        "SELECT count(*) FROM (SELECT DISTINCT policy_csl FROM dim_policy)",
+}
+FINAL["stored_pipeline"] = "\nUNION ALL ".join(
+    f"SELECT '{name}' AS table_name, ({count}) AS row_count" for name, count in _PIPELINE.items())
+
+
+def _figure(domain: str, figure: str, value: str) -> str:
+    return (f"SELECT '{domain}' AS domain_name, '{figure}' AS figure, "
+            f"CAST(({value}) AS DOUBLE) AS value")
+
+
+def _half_up(value: str, digits: int) -> str:
+    return f"round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 14)), {digits})"
+
+
+_P, _C, _K = "policy_portfolio", "claims_performance", "customer_profile"
+_REJECTED = "CAST(sum(is_rejected) AS DOUBLE) * 100.0 / count(*)"
+FINAL["kpi_document_figures"] = "\nUNION ALL ".join([
+    _figure(_P, "total_policies", "SELECT count(*) FROM dim_policy"),
+    _figure(_P, "umbrella.with_umbrella", "SELECT count_if(umbrella_limit > 0) FROM dim_policy"),
+    _figure(_P, "umbrella.without_umbrella",
+            "SELECT count_if(umbrella_limit = 0) FROM dim_policy"),
+    _figure(_P, "by_tier[0].avg_premium",
+            f"SELECT {_half_up('avg(policy_annual_premium)', 2)} FROM dim_policy "
+            "WHERE policy_csl_tier = (SELECT min(policy_csl_tier) FROM dim_policy)"),
+    _figure(_P, "by_state[0].count",
+            "SELECT max(n) FROM (SELECT count(*) AS n FROM dim_policy GROUP BY policy_state)"),
+    _figure(_P, "by_deductible[0].count",
+            "SELECT count(*) FROM dim_policy WHERE policy_deductable = "
+            "(SELECT min(policy_deductable) FROM dim_policy)"),
+    _figure(_C, "total_claims", "SELECT count(*) FROM fact_claims"),
+    _figure(_C, "overall.total_rejected", "SELECT sum(is_rejected) FROM fact_claims"),
+    _figure(_C, "overall.rejection_rate_pct",
+            f"SELECT {_half_up(_REJECTED, 1)} FROM fact_claims"),
+    _figure(_C, "overall.avg_claim_amount",
+            f"SELECT {_half_up('avg(total_claim_amount)', 2)} FROM fact_claims"),
+    _figure(_C, "by_severity[0].rejected",
+            "SELECT sum(is_rejected) FROM fact_claims WHERE incident_severity = "
+            "(SELECT min(incident_severity) FROM fact_claims)"),
+    _figure(_C, "by_region[0].rejection_rate",
+            f"SELECT max(r) FROM (SELECT {_half_up(_REJECTED, 1)} AS r FROM fact_claims "
+            "WHERE region IS NOT NULL GROUP BY region)"),
+    _figure(_C, "by_coverage_tier[0].count",
+            "SELECT count(*) FROM fact_claims WHERE policy_csl_tier = "
+            "(SELECT min(policy_csl_tier) FROM fact_claims)"),
+    _figure(_K, "total_customers", "SELECT count(*) FROM dim_customer"),
+    _figure(_K, "risk_indicators.customers_with_default",
+            "SELECT sum(default_flag) FROM dim_customer"),
+    _figure(_K, "risk_indicators.avg_balance",
+            f"SELECT {_half_up('avg(balance)', 2)} FROM dim_customer"),
+    *[_figure(_K, f"by_{c}[0].count",
+              f"SELECT max(n) FROM (SELECT count(*) AS n FROM dim_customer "
+              f"WHERE {c} IS NOT NULL GROUP BY {c})") for c in ("region", "education", "marital")],
+])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.cleaning import all_null, any_null
 
 REASON = "_rejection_reason"
+PASSED = "_passed"
 
 
 @dataclass(frozen=True)
@@ -64,18 +65,17 @@ def failing(df: DataFrame, checks: list[Rule]) -> DataFrame:
 def write_split(df: DataFrame, checks: list[Rule], path: str) -> tuple[DataFrame, DataFrame]:
     """Store both halves with one pass over the input; return readers for (clean, failed).
 
-    The transform behind `df` runs once. Each reader is a partition-pruned scan.
+    The transform behind `df` runs once. Each reader scans its own folder only.
     """
-    spark = df.sparkSession
-    reason = F.concat_ws(", ", *[rule.message() for rule in checks])
     passed = F.coalesce(F.expr(_all_pass(checks)), F.lit(False))
-    flagged = df.withColumn(REASON, F.when(~passed, reason)).withColumn("_passed", passed)
-    flagged.write.mode("overwrite").partitionBy("_passed").parquet(path)
-    # The schema is given, so that a half without rows is still a readable, empty table.
-    stored = spark.read.schema(flagged.schema).option("basePath", path).parquet(path)
-    clean = stored.where("_passed").drop(REASON, "_passed")
-    failed = stored.where("NOT _passed").drop("_passed")
-    return clean, failed
+    reason = F.concat_ws(", ", *[rule.message() for rule in checks])
+    flagged = df.withColumn(REASON, F.when(~passed, reason)).withColumn(PASSED, passed)
+    flagged.write.mode("overwrite").partitionBy(PASSED).parquet(path)
+    # Read through the root with the schema given: a half without rows has no folder, but is
+    # still an empty table.
+    stored = df.sparkSession.read.schema(flagged.schema).parquet(path)
+    return (stored.where(F.col(PASSED)).drop(REASON, PASSED),
+            stored.where(~F.col(PASSED)).drop(PASSED))
 
 
 def rule_counts(df: DataFrame, checks: list[Rule], table: str) -> DataFrame:

@@ -5,47 +5,61 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rank error of the bracketing sketch is at most rows / ACCURACY.
-ACCURACY = 100_000
+# Rank error of the bracketing sketch is at most rows / ACCURACY (Spark's own default).
+ACCURACY = 10_000
+# Equal-width bins that the bracket is cut into for ranking.
+BINS = 1024
 
+_BELOW, _INSIDE, _ABOVE = 0, 1, 2
 
-def exact_quantile(df: DataFrame, value: str, q: float, accuracy: int = ACCURACY) -> DataFrame:
+
+def exact_quantile(df: DataFrame, value: str, q: float, accuracy: int = ACCURACY,
+                   bins: int = BINS) -> DataFrame:
     """Smallest value whose cumulative share reaches `q`; a one-row frame `quantile`.
 
-    A mergeable sketch brackets the wanted rank from both sides. Only values inside the
-    bracket are then counted, after being combined per value, and the running count starts
-    from the exact number of rows below the bracket. The ordered part holds at most about
-    4 * rows / accuracy distinct values; ties are already folded. Should the bracket miss the
-    rank, which the sketch's guarantee rules out, the query fails instead of guessing.
+    A mergeable sketch brackets the wanted rank from both sides. One pass then counts the rows
+    below and above the bracket and folds the rows inside it by value, so ties and hot values
+    weigh one row per task. The values inside are ranked bin by bin: the only ordered list that
+    meets in one task is that of the bin totals. Should the bracket miss the rank, which the
+    sketch's guarantee rules out, the query fails instead of guessing.
     """
     margin = 2.0 / accuracy
-    low_q, high_q = max(0.0, q - margin), min(1.0, q + margin)
-    values = df.where(F.col(value).isNotNull()).select(F.col(value).alias("v"))
-    bounds = values.agg(
-        F.percentile_approx("v", F.array(F.lit(low_q), F.lit(high_q)), F.lit(accuracy))
-        .alias("b")).scalar()
-    # Below the sketch's resolution the ends are taken exactly.
-    bracketed = values.select("v", bounds.alias("b"))
-    below = F.col("v") < F.col("b")[0]
-    inside = (F.col("v") >= F.col("b")[0]) & (F.col("v") <= F.col("b")[1])
-    # One pass: rows in the bracket by value, everything else folded into two counters.
+    values = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
+    ends = F.array(F.lit(max(0.0, q - margin)), F.lit(min(1.0, q + margin)))
+    bracket = values.agg(F.percentile_approx("v", ends, F.lit(accuracy)).alias("b")).scalar()
+
+    low, high = F.col("b")[0], F.col("b")[1]
+    zone = F.when(F.col("v") < low, _BELOW).when(F.col("v") <= high, _INSIDE).otherwise(_ABOVE)
+    width = F.nullif(high - low, F.lit(0.0))
+    position = F.coalesce(F.floor((F.col("v") - low) / width * bins), F.lit(0))
     folded = (
-        bracketed.select(
-            F.when(inside, F.col("v")).alias("v"),
-            F.when(inside, F.lit(1)).when(below, F.lit(0)).otherwise(F.lit(2)).alias("zone"))
-        .groupBy("zone", "v").agg(F.count(F.lit(1)).alias("n"))
+        values.withColumn("b", bracket)
+        .select("v", zone.alias("zone"), position.alias("position"))
+        .select(
+            F.when(F.col("zone") == _INSIDE, F.col("v")).alias("v"),
+            F.when(F.col("zone") == _BELOW, -1).when(F.col("zone") == _ABOVE, bins + 1)
+            .otherwise(F.col("position")).alias("bin"))
+        .groupBy("bin", "v").agg(F.count(F.lit(1)).alias("n"))
+    )
+
+    # At most bins + 3 rows from here on: the two outer zones, the bins, and the upper edge.
+    before = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    totals = folded.groupBy("bin").agg(F.sum("n").alias("m")).select(
+        "bin",
+        F.coalesce(F.sum("m").over(before), F.lit(0)).alias("offset"),
+        F.ceil(F.lit(q) * F.sum("m").over(Window.partitionBy())).alias("wanted"))
+    within = Window.partitionBy("bin").orderBy("v").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    running = F.col("offset") + F.sum("n").over(within)
+    hit = (
+        folded.join(F.broadcast(totals), "bin")
+        .select("bin", "v", "wanted", running.alias("running"))
+        .where("running >= wanted")
+        .agg(F.min_by(F.struct("bin", "v"), "running").alias("first"))
     )
-    ordered = Window.orderBy("zone", "v").rowsBetween(Window.unboundedPreceding,
-                                                      Window.currentRow)
-    everything = Window.partitionBy()
-    ranked = folded.select(
-        "zone", "v",
-        F.sum("n").over(ordered).alias("running"),
-        F.ceil(F.lit(q) * F.sum("n").over(everything)).alias("wanted"))
-    hit = ranked.where("running >= wanted").agg(
-        F.min_by(F.struct("zone", "v"), "running").alias("first"))
+    found = F.col("first.bin").between(0, bins)
     return hit.select(
         F.when(F.col("first").isNull(), F.lit(None).cast("double"))
-        .when(F.col("first.zone") == 1, F.col("first.v"))
+        .when(found, F.col("first.v"))
         .otherwise(F.raise_error(F.lit("quantile bracket missed the rank")).cast("double"))
         .alias("quantile"))

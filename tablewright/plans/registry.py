@@ -196,6 +196,7 @@ def queries() -> dict[str, Query]:
         lambda x: kpi.customers_by(x.dim_customer, "marital"))
     registry["kpi_documents"] = on(
         lambda x: kpi.documents(x.dim_policy, x.fact_claims, x.dim_customer))
+    registry["kpi_document_figures"] = on(showcase.document_figures)
     registry["insight_report"] = on(showcase.insight_report)
 
     # retrieval
@@ -217,4 +218,5 @@ def queries() -> dict[str, Query]:
     registry["ingest_batch_typed"] = on(showcase.ingest_typed)
     registry["publish_table"] = on(showcase.publish_table)
     registry["publish_metadata"] = on(showcase.publish_metadata)
+    registry["stored_pipeline"] = on(showcase.stored_pipeline)
     return registry

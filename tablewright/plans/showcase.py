@@ -140,6 +140,42 @@ def split_once(layers: Layers) -> DataFrame:
     ).groupBy("part", "reason").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def stored_pipeline(layers: Layers) -> DataFrame:
+    """Build and publish every layer, then count what each published table holds."""
+    from ..operators.profile import row_counts
+    from . import pipeline
+
+    spark = layers.spark
+    schema = f"run_{uuid.uuid4().hex[:8]}"
+    pipeline.run_on(spark, layers.sf_dir, schema, shared_folder(spark, "pipeline"))
+    names = [*pipeline.SILVER, *[f"{t}_failed" for t in pipeline.SILVER],
+             *[n for n in pipeline.COMMENTS if n not in pipeline.SILVER and n != "dim_date"]]
+    return row_counts({n: spark.table(f"{schema}.{n}") for n in names})
+
+
+def document_figures(layers: Layers) -> DataFrame:
+    """Figures read back out of the KPI documents, one row per domain and figure."""
+    docs = kpi.documents(layers.dim_policy, layers.fact_claims, layers.dim_customer)
+    paths = {
+        "policy_portfolio": ["total_policies", "umbrella.with_umbrella",
+                             "umbrella.without_umbrella", "by_tier[0].avg_premium",
+                             "by_state[0].count", "by_deductible[0].count"],
+        "claims_performance": ["total_claims", "overall.total_rejected",
+                               "overall.rejection_rate_pct", "overall.avg_claim_amount",
+                               "by_severity[0].rejected", "by_region[0].rejection_rate",
+                               "by_coverage_tier[0].count"],
+        "customer_profile": ["total_customers", "risk_indicators.customers_with_default",
+                             "risk_indicators.avg_balance", "by_region[0].count",
+                             "by_education[0].count", "by_marital[0].count"],
+    }
+    figures = F.array(*[
+        F.struct(F.lit(domain).alias("d"), F.lit(path).alias("figure"),
+                 F.get_json_object("kpi_data_json", f"$.{path}").cast("double").alias("value"))
+        for domain, names in paths.items() for path in names])
+    return docs.select("domain_name", F.explode(figures).alias("f")).where(
+        "domain_name = f.d").select("domain_name", "f.figure", "f.value")
+
+
 def email_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The address predicate on addresses built from customers, some of them malformed."""
     key = F.col("c_custkey").cast("string")
