@@ -649,6 +649,8 @@ _BLANK = """sales_id IS NULL AND ad_placed_on IS NULL AND sold_on IS NULL
   AND original_selling_price IS NULL AND Region IS NULL AND State IS NULL AND City IS NULL
   AND seller_type IS NULL AND owner IS NULL AND car_id IS NULL"""
 FINAL["blank_rows"] = f"""
+SELECT * EXCLUDE (src), src AS _source_file FROM sales_raw WHERE {_BLANK}"""
+FINAL["blank_row_counts"] = f"""
 SELECT src AS table_name, count(*) AS blank_rows FROM sales_raw WHERE {_BLANK} GROUP BY src"""
 FINAL["partial_rows"] = """
 SELECT * EXCLUDE (src), src AS _source_file FROM sales_raw
@@ -940,3 +942,11 @@ FINAL["kpi_document_figures"] = "\nUNION ALL ".join([
               f"SELECT max(n) FROM (SELECT count(*) AS n FROM dim_customer "
               f"WHERE {c} IS NOT NULL GROUP BY {c})") for c in ("region", "education", "marital")],
 ])
+
+FINAL["landing_to_gold"] = FINAL["rollup_rejection_by_tier_region"]
+FINAL["ingest_batch_tables"] = "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}_raw"
+    for t in ("policy", "cars", "claims"))
+FINAL["issue_preview"] = f"""
+SELECT issue_id, table_name, column_name, severity, affected_records, ai_explanation,
+  generation_status FROM ({FINAL["issue_report"]}) ORDER BY issue_id LIMIT 3"""

@@ -137,8 +137,11 @@ def suspicious_policies(policy: DataFrame) -> DataFrame:
 
 
 def blank_sales(sales: DataFrame) -> DataFrame:
-    """Fully blank rows carry nothing but their source, so they are reported as counts."""
-    return quality.blank_rows(sales, SALES_COLUMNS).groupBy(
+    return quality.blank_rows(sales, SALES_COLUMNS)
+
+
+def blank_sales_by_source(sales: DataFrame) -> DataFrame:
+    return blank_sales(sales).groupBy(
         F.col(SOURCE).alias("table_name")).agg(m.rows().alias("blank_rows"))
 
 

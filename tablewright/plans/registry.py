@@ -134,6 +134,8 @@ def queries() -> dict[str, Query]:
                                                 "CustomerID")
     registry["anti_policy_car"] = _orphans("policy", "car_id", "cars", "car_id")
     registry["blank_rows"] = on(lambda x: profiling.blank_sales(x.raw("sales")))
+    registry["blank_row_counts"] = on(
+        lambda x: profiling.blank_sales_by_source(x.raw("sales")))
     registry["partial_rows"] = on(lambda x: profiling.partial_sales(x.raw("sales")))
     registry["usable_rows"] = on(lambda x: profiling.usable_sales(x.raw("sales")))
     registry["unsold_by_source"] = on(lambda x: profiling.unsold_by_source(x.raw("sales")))
@@ -174,6 +176,7 @@ def queries() -> dict[str, Query]:
     registry["generation_status"] = on(
         lambda x: scoring.status_counts(scoring.scored_report(_scored(x))))
     registry["issue_report"] = on(showcase.issue_report)
+    registry["issue_preview"] = on(showcase.issue_preview)
     registry["generate_in_sql"] = on(showcase.generate_in_sql)
     registry["extract_text_block"] = showcase.text_blocks
 
@@ -218,5 +221,7 @@ def queries() -> dict[str, Query]:
     registry["ingest_batch_typed"] = on(showcase.ingest_typed)
     registry["publish_table"] = on(showcase.publish_table)
     registry["publish_metadata"] = on(showcase.publish_metadata)
+    registry["ingest_batch_tables"] = on(showcase.batch_tables)
+    registry["landing_to_gold"] = on(showcase.landing_to_gold)
     registry["stored_pipeline"] = on(showcase.stored_pipeline)
     return registry

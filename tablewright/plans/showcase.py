@@ -88,6 +88,49 @@ def ingest_json(layers: Layers) -> DataFrame:
     return typed.withColumns({c: F.col(c).cast("bigint") for c in ("claim_id", "policy_id")})
 
 
+def landing_to_gold(layers: Layers) -> DataFrame:
+    """Landing files of all five sources to the published rejection rollup."""
+    from . import bronze, pipeline
+
+    spark = layers.spark
+    base = shared_folder(spark, "landing")
+    land_customers(layers.raw("customers"), f"{base}/in/customers")
+    layers.raw("claims").drop(fixed.SOURCE_FILE).write.json(f"{base}/in/claims")
+    for table in ("policy", "sales", "cars"):
+        layers.raw(table).drop(fixed.SOURCE_FILE).write.option("header", "true").csv(
+            f"{base}/in/{table}")
+    tables_in = bronze.ingest_all(
+        spark, {t: f"{base}/in/{t}" for t in bronze.DECLARED}, f"{base}/bronze",
+        globs={t: "*.json" if t == "claims" else "*.csv" for t in bronze.DECLARED},
+        formats={**bronze.FORMATS, "claims": "jsonl"})
+    schema = f"gold_{uuid.uuid4().hex[:8]}"
+    pipeline.run(spark, tables_in, schema, f"{base}/tables", layers.as_of)
+    return spark.table(f"{schema}.agg_claim_rejection_by_policy_region")
+
+
+def batch_tables(layers: Layers) -> DataFrame:
+    """Load CSV and JSON files as tables with inferred types; count their rows."""
+    from ..operators.profile import row_counts
+
+    spark = layers.spark
+    base = shared_folder(spark, "batch-tables")
+    prefix = f"batch_{uuid.uuid4().hex[:8]}_"
+    for table in ("policy", "cars"):
+        layers.raw(table).drop(fixed.SOURCE_FILE).write.option("header", "true").csv(
+            f"{base}/in/{table}")
+    layers.raw("claims").drop(fixed.SOURCE_FILE).write.json(f"{base}/in/claims")
+    files.load_tables(spark, {t: f"{base}/in/{t}" for t in ("policy", "cars")}, prefix, base)
+    files.load_json_table(spark, f"{prefix}claims", f"{base}/in/claims", base, False)
+    return row_counts({t: spark.table(f"{prefix}{t}") for t in ("policy", "cars", "claims")})
+
+
+def issue_preview(layers: Layers) -> DataFrame:
+    """The first three rows of the issue report, as shown after it is written."""
+    return issue_report(layers).select(
+        "issue_id", "table_name", "column_name", "severity", "affected_records",
+        "ai_explanation", "generation_status").orderBy("issue_id").limit(3)
+
+
 def ingest_typed(layers: Layers) -> DataFrame:
     """Write the raw cars as CSV and read them back with inferred types."""
     base = shared_folder(layers.spark, "ingest-typed")
