@@ -105,7 +105,9 @@ def keep_first(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
 
     `row_number() = 1` lets Spark put a per-task group limit in front of the shuffle, so a key
     that holds a third of the rows sends one row per task. Rows without a key get a lane of
-    their own each: they spread over all tasks and never meet.
+    their own each: they spread over all tasks and never meet. The lane numbers follow the row
+    order of the input partitions, so the input should be a scan, as stored tables are; a lost
+    task then numbers its rows the same way again.
     """
     lane = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
     window = Window.partitionBy(key, "_lane").orderBy(*order)

@@ -2,57 +2,121 @@
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.vectors import confidence, squared_l2
 
-# Queries held in one array per pass: bounds what every task carries.
-MAX_QUERIES_PER_PASS = 1024
+# Questions that every task may hold at once, in its closure or in one array column.
+MAX_QUERIES = 1024
+# Questions scored together against one Arrow batch: bounds the distance matrix.
+QUERY_BLOCK = 64
 
 
 def topk_l2(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str,
-            vector: str, k: int, passes: int = 1) -> DataFrame:
+            vector: str, k: int) -> DataFrame:
     """The `k` nearest corpus vectors of every query by squared L2 distance.
 
     Output: query id, corpus id, `rank` from 1, `distance`, `confidence`; ties go to the
-    smaller corpus id. The corpus is read in place and never shuffled: the queries come in as
-    one array (a scalar subquery), each task scores its rows, and a per-task group limit keeps
-    `k` rows per query before the final ranking. An array may hold MAX_QUERIES_PER_PASS queries
-    and the query fails beyond that; larger question sets take more `passes`, each with the
-    queries whose hash falls to it.
+    smaller corpus id, corpus rows without a vector are left out. The corpus is read in place
+    and its vectors are never shuffled: each task reduces its own rows to k per query, and only
+    those meet. A question set of up to MAX_QUERIES rows travels with the tasks; a larger one
+    stays on the executors and is worked off in several passes over the corpus.
     """
+    asked = queries.select(query_id, vector)
+    stored = corpus.where(F.col(vector).isNotNull()).select(corpus_id, vector)
+    held = asked.limit(MAX_QUERIES + 1).collect()
+    if len(held) <= MAX_QUERIES:
+        candidates = _score_batches(held, stored, asked.schema[query_id].dataType, query_id,
+                                    corpus_id, k)
+    else:
+        candidates = _score_in_passes(asked, stored, query_id, corpus_id, vector)
     window = Window.partitionBy(query_id).orderBy("distance", corpus_id)
-
-    def one_pass(part: DataFrame) -> DataFrame:
-        count = F.count(F.lit(1))
-        packed = part.agg(
-            F.when(count <= MAX_QUERIES_PER_PASS,
-                   F.collect_list(F.struct(F.col(query_id).alias("qid"),
-                                           F.col(vector).alias("qv"))))
-            .otherwise(F.raise_error(F.lit("too many queries for one pass: raise `passes`")))
-            .alias("q")).scalar()
-        scored = corpus.select(corpus_id, vector, packed.alias("_queries")).select(
-            F.col(corpus_id),
-            F.explode(F.transform(
-                "_queries",
-                lambda q: F.struct(q["qid"].alias(query_id),
-                                   squared_l2(F.col(vector), q["qv"]).alias("distance"))))
-            .alias("s"))
-        return scored.select(f"s.{query_id}", corpus_id, "s.distance")
-
-    lane = F.pmod(F.xxhash64(query_id), F.lit(passes))
-    parts = [queries if passes == 1 else queries.where(lane == n) for n in range(passes)]
-    scored = reduce(DataFrame.unionByName, [one_pass(p) for p in parts])
     return (
-        scored.withColumn("rank", F.row_number().over(window))
+        candidates.withColumn("rank", F.row_number().over(window))
         .where(F.col("rank") <= k)
         .withColumn("confidence", confidence(F.col("distance")))
     )
 
 
+def _score_batches(held: list, corpus: DataFrame, id_type: T.DataType, query_id: str,
+                   corpus_id: str, k: int) -> DataFrame:
+    """Distances of whole Arrow batches to all held queries; k rows per query and batch."""
+    points = np.array([row[1] for row in held], dtype=np.float64)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, dims = batch.num_rows, points.shape[1] if len(points) else 0
+            if not rows or not len(points):
+                continue
+            if pc.any(pc.not_equal(pc.list_value_length(batch.column(1)), dims)).as_py():
+                raise ValueError(f"all vectors must have the queries' {dims} elements")
+            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            columns = np.ascontiguousarray(flat.reshape(rows, dims).T, dtype=np.float64)
+            ids = batch.column(0).to_pylist()
+            which, picked, distances = [], [], []
+            for start in range(0, len(points), QUERY_BLOCK):
+                block = points[start:start + QUERY_BLOCK]
+                # Element by element, so the sum has the same order as a plain fold.
+                total = np.zeros((len(block), rows))
+                for d in range(dims):
+                    total += (columns[d] - block[:, d, None]) ** 2
+                for q, line in enumerate(total):
+                    near = range(rows)
+                    if rows > k:
+                        near = np.flatnonzero(line <= np.partition(line, k - 1)[k - 1])
+                    for i in heapq.nsmallest(k, near, key=lambda i: (line[i], ids[i])):  # noqa: B023
+                        which.append(start + q)
+                        picked.append(i)
+                        distances.append(line[i])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(which, pa.int32()), batch.column(0).take(pa.array(picked, pa.int64())),
+                 pa.array(distances, pa.float64())],
+                names=["_query", corpus_id, "distance"])
+
+    schema = T.StructType([T.StructField("_query", T.IntegerType()), corpus.schema[corpus_id],
+                           T.StructField("distance", T.DoubleType())])
+    names = F.array(*[F.lit(row[0]) for row in held]).cast(T.ArrayType(id_type))
+    return corpus.mapInArrow(best, schema).select(
+        F.get(names, F.col("_query")).alias(query_id), corpus_id, "distance")
+
+
+def _score_in_passes(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str,
+                     vector: str) -> DataFrame:
+    """All distances by built-in expressions, one share of the queries per pass.
+
+    Each share enters as one array through a scalar subquery, so the queries never reach the
+    driver. Shares are cut by hash to half of what an array may hold; the query fails if one
+    should exceed it. The ranking's group limit cuts the rows in each task.
+    """
+    passes = -(-2 * queries.count() // MAX_QUERIES)
+    share = F.pmod(F.xxhash64(query_id), F.lit(passes))
+
+    def one_pass(number: int) -> DataFrame:
+        entries = F.collect_list(F.struct(F.col(query_id).alias("qid"),
+                                          F.col(vector).alias("qv")))
+        packed = queries.where(share == number).agg(
+            F.when(F.count(F.lit(1)) <= MAX_QUERIES, entries)
+            .otherwise(F.raise_error(F.lit("a share of the queries exceeds its bound")))
+            .alias("q")).scalar()
+        scored = corpus.withColumn("_queries", packed).select(
+            corpus_id,
+            F.explode(F.transform("_queries", lambda q: F.struct(
+                q["qid"].alias(query_id),
+                squared_l2(F.col(vector), q["qv"]).alias("distance")))).alias("s"))
+        return scored.select(f"s.{query_id}", corpus_id, "s.distance")
+
+    return reduce(DataFrame.unionByName, [one_pass(n) for n in range(passes)])
+
+
 def assemble_context(hits: DataFrame, query_id: str, label: str, text: str) -> DataFrame:
     """One row per query: its retrieved texts as `[label]: text`, blank line between, by rank.
 

@@ -63,14 +63,19 @@ def answer(questions: DataFrame, documents: DataFrame, fn: enrich.Generator, mod
     """Retrieve, assemble context, generate an answer and log what was used, per question.
 
     `questions` has query_id, question, query_type, embedding; `documents` has policy_number,
-    document, embedding. Output: the retrieval history table.
+    document, embedding. Output: the retrieval history table. Every question costs a call of
+    the generator, so a batch is held to MAX_QUERIES questions.
     """
+    if questions.limit(retrieve.MAX_QUERIES + 1).count() > retrieve.MAX_QUERIES:
+        raise ValueError(f"at most {retrieve.MAX_QUERIES} questions per batch")
     hits = retrieve.topk_l2(
         questions.select("query_id", "embedding"),
         documents.select("policy_number", "embedding"), "query_id", "policy_number",
         "embedding", k)
-    # k rows per question pick their texts; the corpus side stays where it is.
-    with_text = hits.join(documents.select("policy_number", "document"), "policy_number")
+    # k rows per question pick their texts. That is a bounded list, so it goes to the corpus
+    # and not the corpus to it.
+    with_text = documents.select("policy_number", "document").join(
+        F.broadcast(hits), "policy_number")
     context = retrieve.assemble_context(
         with_text.withColumn("_label", F.concat(F.lit("Policy "), "policy_number")),
         "query_id", "_label", "document")

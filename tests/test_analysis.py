@@ -108,15 +108,18 @@ def brute_force(queries, corpus, k):
     return out
 
 
-@pytest.mark.parametrize("passes", [1, 3])
-def test_topk_against_brute_force(spark, passes):
+@pytest.mark.parametrize("bound", [1024, 4])
+def test_topk_against_brute_force(spark, monkeypatch, bound):
+    """Held queries and queries in passes give the same, with many ties among the distances."""
+    monkeypatch.setattr(retrieve, "MAX_QUERIES", bound)
+    monkeypatch.setattr(retrieve, "QUERY_BLOCK", 4)
     rng = np.random.default_rng(3)
     corpus = [(i, [float(x) for x in rng.integers(0, 4, 5)]) for i in range(200)]
     queries = [(i, [float(x) for x in rng.integers(0, 4, 5)]) for i in range(6)]
     schema = "{} long, v array<float>"
-    hits = retrieve.topk_l2(spark.createDataFrame(queries, schema.format("q")),
-                            spark.createDataFrame(corpus, schema.format("c")).repartition(4),
-                            "q", "c", "v", 7, passes=passes)
+    stored = spark.createDataFrame([*corpus, (999, None)], schema.format("c")).repartition(4)
+    hits = retrieve.topk_l2(spark.createDataFrame(queries, schema.format("q")), stored,
+                            "q", "c", "v", 7)
     got = {}
     for r in hits.orderBy("q", "rank").collect():
         got.setdefault(r.q, []).append(r.c)
@@ -124,19 +127,30 @@ def test_topk_against_brute_force(spark, passes):
     assert got == brute_force(queries, corpus, 7)
 
 
+def test_topk_when_a_third_of_the_corpus_is_one_vector(spark):
+    corpus = spark.range(9000).select(
+        F.format_string("d%05d", "id").alias("c"),
+        F.when(F.col("id") % 3 == 0, F.array(F.lit(0.0), F.lit(0.0)))
+        .otherwise(F.array(F.col("id").cast("double"), F.lit(1.0))).alias("v"))
+    queries = spark.createDataFrame([("a", [0.0, 0.0])], "q string, v array<double>")
+    hits = retrieve.topk_l2(queries, corpus, "q", "c", "v", 4).orderBy("rank").collect()
+    assert [(r.q, r.c, r.distance) for r in hits] == [
+        ("a", f"d{i:05d}", 0.0) for i in (0, 3, 6, 9)]
+
+
 def test_topk_of_a_small_corpus(spark):
     df = spark.createDataFrame([(1, [0.0]), (2, [1.0])], "id long, v array<float>")
     hits = retrieve.topk_l2(df.withColumnRenamed("id", "q"), df, "q", "id", "v", 5)
     assert hits.count() == 4
+    assert retrieve.topk_l2(df.where("false").withColumnRenamed("id", "q"), df, "q", "id",
+                            "v", 5).count() == 0
 
 
-def test_topk_refuses_too_many_queries_per_pass(spark, monkeypatch):
-    monkeypatch.setattr(retrieve, "MAX_QUERIES_PER_PASS", 3)
-    df = spark.range(10).select(F.col("id"), F.array(F.col("id").cast("float")).alias("v"))
-    queries = df.withColumnRenamed("id", "q")
-    with pytest.raises(Exception, match="raise `passes`"):
-        retrieve.topk_l2(queries, df, "q", "id", "v", 2).collect()
-    assert retrieve.topk_l2(queries, df, "q", "id", "v", 2, passes=16).count() == 20
+def test_vectors_of_another_length_are_refused(spark):
+    corpus = spark.createDataFrame([(1, [0.0, 1.0]), (2, [1.0])], "id long, v array<float>")
+    queries = spark.createDataFrame([(1, [0.0, 1.0])], "q long, v array<float>")
+    with pytest.raises(Exception, match="all vectors must have"):
+        retrieve.topk_l2(queries, corpus, "q", "id", "v", 2).collect()
 
 
 def test_log_and_context(spark):
