@@ -950,3 +950,7 @@ FINAL["ingest_batch_tables"] = "\nUNION ALL ".join(
 FINAL["issue_preview"] = f"""
 SELECT issue_id, table_name, column_name, severity, affected_records, ai_explanation,
   generation_status FROM ({FINAL["issue_report"]}) ORDER BY issue_id LIMIT 3"""
+
+FINAL["scored_view"] = """
+SELECT incident_severity, count(*) AS high_claims, max(anomaly_score) AS max_score
+FROM tiered WHERE priority_tier = 'HIGH' GROUP BY incident_severity"""

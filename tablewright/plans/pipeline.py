@@ -40,6 +40,64 @@ COMMENTS = {
 }
 
 
+# What the columns of the main tables mean.
+_COVERAGE = {
+    "policy_csl": "Combined single limit, per person / per accident in thousands of dollars",
+    "policy_csl_tier": "Coverage tier derived from the limit: Low, Medium, High or Unknown",
+    "policy_deductable": "Deductible in dollars",
+    "policy_annual_premium": "Premium per year in dollars",
+}
+COLUMN_COMMENTS = {
+    "dim_policy": {
+        "policy_number": "Number of the policy, unique",
+        "policy_bind_date": "Day the policy took effect",
+        "policy_state": "State the policy was issued in",
+        **_COVERAGE,
+        "umbrella_limit": "Additional liability cover in dollars, 0 for none",
+        "car_id": "Insured vehicle, key of dim_car",
+        "customer_id": "Policyholder, key of dim_customer",
+    },
+    "dim_customer": {
+        "customer_id": "Customer, unique over all sources",
+        "region": "Sales region, full name",
+        "state": "State of residence",
+        "city": "City of residence",
+        "job": "Occupation",
+        "marital": "Marital status, NULL where the source does not record it",
+        "education": "Education level, NULL where the source does not record it",
+        "default_flag": "1 if the customer has defaulted, else 0",
+        "balance": "Account balance in dollars",
+        "hh_insurance": "1 with household insurance, else 0",
+        "car_loan": "1 with a car loan, else 0",
+    },
+    "fact_claims": {
+        "claim_id": "Claim number",
+        "policy_id": "Policy claimed under, key of dim_policy",
+        "customer_id": "Policyholder, NULL if the policy is unknown",
+        **_COVERAGE,
+        "region": "Region of the policyholder",
+        "state": "State of the policyholder",
+        "incident_severity": "Severity of the damage",
+        "incident_type": "Kind of incident",
+        "collision_type": "Side of the collision",
+        "incident_state": "State of the incident",
+        "incident_city": "City of the incident",
+        "authorities_contacted": "Authority contacted; the text None if none was",
+        "property_damage": "YES or NO, NULL if unknown",
+        "police_report_available": "YES or NO, NULL if unknown",
+        "claim_rejected": "Y if rejected, N if approved",
+        "is_rejected": "1 if rejected, else 0",
+        "injury_amount": "Claimed for injuries, dollars",
+        "property_amount": "Claimed for property, dollars",
+        "vehicle_amount": "Claimed for the vehicle, dollars, NULL if not assessed",
+        "total_claim_amount": "Sum of the three amounts, missing ones as 0",
+        "number_of_vehicles_involved": "Vehicles involved",
+        "bodily_injuries": "Injured persons",
+        "witnesses": "Witnesses",
+    },
+}
+
+
 class StoredLayers:
     """The interface of `Layers`, read from published tables of one schema."""
 
@@ -81,7 +139,8 @@ def run(spark: SparkSession, bronze: dict[str, DataFrame], schema: str, base: st
     stored = StoredLayers(spark, schema)
 
     def put(name: str, df: DataFrame, layer: str) -> None:
-        spec = TableSpec(f"{schema}.{name}", COMMENTS.get(name, ""), layer)
+        spec = TableSpec(f"{schema}.{name}", COMMENTS.get(name, ""), layer,
+                         columns=COLUMN_COMMENTS.get(name, {}))
         publish(df, spec, path=f"{base}/{layer}/{name}")
 
     def keep(name: str, half: DataFrame, layer: str, folder: str) -> None:

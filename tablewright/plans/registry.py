@@ -171,6 +171,7 @@ def queries() -> dict[str, Query]:
     registry["score_summary"] = on(lambda x: scoring.score_summary(_scored(x)))
     registry["top_flagged"] = on(lambda x: scoring.top_flagged(_scored(x), "HIGH", 5))
     registry["top_medium"] = on(lambda x: scoring.top_flagged(_scored(x), "MEDIUM", 1))
+    registry["scored_view"] = on(lambda x: showcase.scored_view(_scored(x)))
     registry["prompt_text"] = on(lambda x: showcase.flagged_prompts(_scored(x)))
     registry["scored_output"] = on(lambda x: showcase.scored_report(_scored(x)))
     registry["generation_status"] = on(

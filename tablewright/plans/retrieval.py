@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +13,8 @@ from ..functions import text
 from ..operators import enrich, retrieve
 from . import fixed_values as fixed
 
+Encoder = Callable[[list[str]], list[list[float]]]
+
 # Fixed format: the sentence that describes a policy.
 POLICY_DOCUMENT = (
     "Policy {number} is a {tier}-tier auto insurance policy in {state} with coverage limits "
@@ -37,19 +42,17 @@ def policy_documents(policies: DataFrame) -> DataFrame:
     return policies.select("policy_number", policy_text().alias("document"))
 
 
-def embed(documents: DataFrame, text_column: str, encode, dimension_column: str = "embedding"
-          ) -> DataFrame:
+def embed(documents: DataFrame, text_column: str, encode: Encoder,
+          output: str = "embedding") -> DataFrame:
     """Add an embedding column from a caller-supplied `encode(list[str]) -> list[list[float]]`.
 
     Runs on the executors in Arrow batches; the library ships no encoder.
     """
-    import pandas as pd
-
     @F.pandas_udf("array<float>")
     def encoded(texts: pd.Series) -> pd.Series:
         return pd.Series([[float(x) for x in vector] for vector in encode(list(texts))])
 
-    return documents.withColumn(dimension_column, encoded(F.col(text_column)))
+    return documents.withColumn(output, encoded(F.col(text_column)))
 
 
 ANSWER_PROMPT = (

@@ -138,39 +138,38 @@ def ingest_typed(layers: Layers) -> DataFrame:
     return files.read_typed_csv(layers.spark, base).drop("ingestion_ts", "source_file")
 
 
-POLICY_COMMENTS = {
-    "policy_number": "Number of the policy, unique",
-    "policy_bind_date": "Day the policy took effect",
-    "policy_state": "State the policy was issued in",
-    "policy_csl": "Combined single limit, per person / per accident in thousands",
-    "policy_csl_tier": "Coverage tier derived from the limit",
-    "policy_deductable": "Deductible in dollars",
-    "policy_annual_premium": "Premium per year in dollars",
-    "umbrella_limit": "Additional liability cover in dollars, 0 for none",
-    "car_id": "Insured vehicle",
-    "customer_id": "Policyholder",
-}
-
+def _publish(layers: Layers, name: str) -> str:
+    from .pipeline import COLUMN_COMMENTS, COMMENTS
 
-def _publish_policies(layers: Layers) -> tables.TableSpec:
-    spec = tables.TableSpec(
-        name=f"dim_policy_{uuid.uuid4().hex[:8]}", quality="gold",
-        comment="Policies with coverage tier, premium, deductible and umbrella limit",
-        columns=POLICY_COMMENTS)
-    tables.publish(layers.dim_policy, spec, path=shared_folder(layers.spark, "publish"))
-    return spec
+    table = f"{name}_{uuid.uuid4().hex[:8]}"
+    spec = tables.TableSpec(table, COMMENTS[name], "gold", columns=COLUMN_COMMENTS[name])
+    tables.publish(getattr(layers, name), spec, path=shared_folder(layers.spark, "publish"))
+    return table
 
 
 def publish_table(layers: Layers) -> DataFrame:
     """Publish the policy dimension and read the stored table."""
-    return layers.spark.table(_publish_policies(layers).name)
+    return layers.spark.table(_publish(layers, "dim_policy"))
 
 
 def publish_metadata(layers: Layers) -> DataFrame:
-    """Publish the policy dimension and show the documentation of its columns."""
-    spec = _publish_policies(layers)
-    described = tables.table_description(layers.spark, spec.name)
-    return described.where(F.col("col_name").isin(list(spec.columns)))
+    """Publish the three main tables and show the documentation of their columns."""
+    from .pipeline import COLUMN_COMMENTS
+
+    parts = []
+    for name, columns in COLUMN_COMMENTS.items():
+        described = tables.table_description(layers.spark, _publish(layers, name))
+        parts.append(described.where(F.col("col_name").isin(list(columns))).select(
+            F.lit(name).alias("table_name"), "col_name", "data_type", "comment"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def scored_view(scored: DataFrame) -> DataFrame:
+    """Scored claims as a session view, asked from SQL with a text predicate."""
+    tables.as_view(scored, "scored_claims")
+    return scored.sparkSession.sql(
+        "SELECT incident_severity, count(*) AS high_claims, max(anomaly_score) AS max_score "
+        "FROM scored_claims WHERE priority_tier = 'HIGH' GROUP BY incident_severity")
 
 
 def split_once(layers: Layers) -> DataFrame:
