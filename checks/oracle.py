@@ -10,6 +10,7 @@ import re
 
 AS_OF = "DATE '2002-01-01'"
 
+# Money is summed exactly, as decimals: sums of doubles depend on the order of addition.
 # Rounding is half-up on the printed decimal value everywhere, hence the casts around round().
 
 CTES: dict[str, str] = {}
@@ -523,14 +524,14 @@ _RATE1 = "CAST(round(CAST(CAST(CAST(sum(is_rejected) AS DOUBLE) * 100.0 / count(
 FINAL["rollup_rejection_by_tier_region"] = f"""
 SELECT policy_csl, policy_csl_tier, region, count(*) AS total_claims,
   CAST(sum(is_rejected) AS BIGINT) AS rejected_claims, {_RATE} AS rejection_rate_pct,
-  CAST(round(CAST(CAST(avg(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_claim_amount,
-  CAST(round(CAST(CAST(sum(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS total_claim_amount
+  CAST(round(CAST(CAST(CAST(sum(CAST(total_claim_amount AS DECIMAL(20, 4))) AS DOUBLE) / count(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_claim_amount,
+  CAST(round(sum(CAST(total_claim_amount AS DECIMAL(20, 4))), 2) AS DOUBLE) AS total_claim_amount
 FROM fact_claims GROUP BY policy_csl, policy_csl_tier, region"""
 FINAL["rollup_severity"] = f"""
 SELECT incident_severity, count(*) AS total_claims,
   CAST(sum(is_rejected) AS BIGINT) AS rejected_claims, {_RATE} AS rejection_rate_pct,
-  CAST(round(CAST(CAST(sum(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS total_claim_amount,
-  CAST(round(CAST(CAST(avg(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_claim_amount,
+  CAST(round(sum(CAST(total_claim_amount AS DECIMAL(20, 4))), 2) AS DOUBLE) AS total_claim_amount,
+  CAST(round(CAST(CAST(CAST(sum(CAST(total_claim_amount AS DECIMAL(20, 4))) AS DOUBLE) / count(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_claim_amount,
   CAST(round(CAST(CAST(avg(bodily_injuries) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_bodily_injuries,
   CAST(round(CAST(CAST(avg(number_of_vehicles_involved) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_vehicles_involved
 FROM fact_claims GROUP BY incident_severity"""
@@ -544,23 +545,24 @@ FROM dim_customer GROUP BY region"""
 FINAL["rollup_unsold_aging"] = """
 SELECT car_model, region, count(*) AS unsold_count, max(days_unsold) AS max_days_unsold,
   CAST(round(CAST(CAST(avg(days_unsold) AS VARCHAR) AS DECIMAL(38, 14)), 1) AS DOUBLE) AS avg_days_unsold, min(days_unsold) AS min_days_unsold,
-  CAST(round(CAST(CAST(sum(revenue_at_risk) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS total_revenue_at_risk,
-  CAST(round(CAST(CAST(avg(original_selling_price) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_listing_price,
+  CAST(round(sum(CAST(revenue_at_risk AS DECIMAL(20, 4))), 2) AS DOUBLE) AS total_revenue_at_risk,
+  CAST(round(CAST(CAST(CAST(sum(CAST(original_selling_price AS DECIMAL(20, 4))) AS DOUBLE) / count(original_selling_price) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_listing_price,
   CAST(count_if(days_unsold > 60) AS BIGINT) AS unsold_over_60_days,
   CAST(count_if(days_unsold > 90) AS BIGINT) AS unsold_over_90_days
 FROM fact_sales WHERE is_sold = 0 GROUP BY car_model, region"""
 FINAL["rollup_premium_by_tier"] = """
 SELECT policy_csl, policy_csl_tier, count(*) AS policy_count,
-  CAST(round(CAST(CAST(avg(policy_annual_premium) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_annual_premium,
-  CAST(round(CAST(CAST(sum(policy_annual_premium) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS total_premium_revenue,
+  CAST(round(CAST(CAST(CAST(sum(CAST(policy_annual_premium AS DECIMAL(20, 4))) AS DOUBLE) / count(policy_annual_premium) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_annual_premium,
+  CAST(round(sum(CAST(policy_annual_premium AS DECIMAL(20, 4))), 2) AS DOUBLE) AS total_premium_revenue,
   CAST(round(CAST(CAST(avg(policy_deductable) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_deductable,
   CAST(round(CAST(CAST(avg(umbrella_limit) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_umbrella_limit,
   CAST(sum(COALESCE(n, 0)) AS BIGINT) AS total_claims_filed,
   CAST(round(CAST(CAST(CAST(sum(COALESCE(r, 0)) AS DOUBLE) * 100.0 / greatest(sum(COALESCE(n, 0)), 1) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE)
     AS overall_rejection_rate_pct,
-  CAST(round(CAST(CAST(sum(COALESCE(v, 0.0::DOUBLE)) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS total_claims_exposure
+  CAST(round(sum(COALESCE(v, 0)), 2) AS DOUBLE) AS total_claims_exposure
 FROM dim_policy p LEFT JOIN (
-  SELECT policy_id, count(*) AS n, sum(is_rejected) AS r, sum(total_claim_amount) AS v
+  SELECT policy_id, count(*) AS n, sum(is_rejected) AS r,
+    sum(CAST(total_claim_amount AS DECIMAL(20, 4))) AS v
   FROM fact_claims GROUP BY policy_id) c ON p.policy_number = c.policy_id
 GROUP BY policy_csl, policy_csl_tier"""
 FINAL["gold_row_counts"] = "\nUNION ALL ".join(
@@ -730,7 +732,7 @@ FINAL["profile_numeric"] = "\nUNION ALL ".join(
     f"CAST(round(CAST(CAST(stddev_samp({c}) AS VARCHAR) AS DECIMAL(38, 14)), 4) AS DOUBLE) AS stddev FROM claims_clean"
     for c in ("injury_amount", "property_amount", "vehicle_amount"))
 FINAL["profile_amounts"] = """
-SELECT CAST(round(CAST(CAST(avg(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 4) AS DOUBLE) AS mean, CAST(round(CAST(CAST(stddev_samp(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 4) AS DOUBLE) AS stddev,
+SELECT CAST(round(CAST(CAST(CAST(sum(CAST(total_claim_amount AS DECIMAL(20, 4))) AS DOUBLE) / count(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 4) AS DOUBLE) AS mean, CAST(round(CAST(CAST(stddev_samp(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 4) AS DOUBLE) AS stddev,
   max(total_claim_amount) AS max, min(total_claim_amount) AS min,
   (SELECT p95 FROM amount_stats) AS quantile FROM claims_totals"""
 FINAL["profile_claim_categories"] = "\nUNION ALL ".join(
@@ -791,8 +793,8 @@ FINAL["extract_text_block"] = "SELECT conv_id, turn, role, text AS extracted FRO
 
 FINAL["kpi_policy_count"] = "SELECT count(*) AS total_policies FROM dim_policy"
 FINAL["kpi_policy_by_tier"] = """
-SELECT policy_csl_tier, count(*) AS "count", CAST(round(CAST(CAST(avg(policy_annual_premium) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_premium,
-  CAST(round(CAST(CAST(sum(policy_annual_premium) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS total_revenue FROM dim_policy GROUP BY policy_csl_tier"""
+SELECT policy_csl_tier, count(*) AS "count", CAST(round(CAST(CAST(CAST(sum(CAST(policy_annual_premium AS DECIMAL(20, 4))) AS DOUBLE) / count(policy_annual_premium) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_premium,
+  CAST(round(sum(CAST(policy_annual_premium AS DECIMAL(20, 4))), 2) AS DOUBLE) AS total_revenue FROM dim_policy GROUP BY policy_csl_tier"""
 FINAL["kpi_policy_by_state"] = """
 SELECT policy_state, count(*) AS "count" FROM dim_policy GROUP BY policy_state"""
 FINAL["kpi_umbrella"] = """
@@ -805,14 +807,14 @@ SELECT policy_deductable, count(*) AS "count" FROM dim_policy GROUP BY policy_de
 FINAL["kpi_claims_overall"] = f"""
 SELECT count(*) AS total_claims, CAST(sum(is_rejected) AS BIGINT) AS total_rejected,
   count(*) - CAST(sum(is_rejected) AS BIGINT) AS total_approved, {_RATE1} AS rejection_rate_pct,
-  CAST(round(CAST(CAST(sum(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS total_exposure,
-  CAST(round(CAST(CAST(avg(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_claim_amount FROM fact_claims"""
+  CAST(round(sum(CAST(total_claim_amount AS DECIMAL(20, 4))), 2) AS DOUBLE) AS total_exposure,
+  CAST(round(CAST(CAST(CAST(sum(CAST(total_claim_amount AS DECIMAL(20, 4))) AS DOUBLE) / count(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_claim_amount FROM fact_claims"""
 FINAL["kpi_claims_by_severity"] = """
 SELECT incident_severity, count(*) AS "count", CAST(sum(is_rejected) AS BIGINT) AS rejected,
-  CAST(round(CAST(CAST(avg(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_amount FROM fact_claims GROUP BY incident_severity"""
+  CAST(round(CAST(CAST(CAST(sum(CAST(total_claim_amount AS DECIMAL(20, 4))) AS DOUBLE) / count(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS avg_amount FROM fact_claims GROUP BY incident_severity"""
 FINAL["kpi_claims_by_region"] = f"""
 SELECT region, count(*) AS "count", CAST(sum(is_rejected) AS BIGINT) AS rejected,
-  {_RATE1} AS rejection_rate, CAST(round(CAST(CAST(sum(total_claim_amount) AS VARCHAR) AS DECIMAL(38, 14)), 2) AS DOUBLE) AS total_exposure
+  {_RATE1} AS rejection_rate, CAST(round(sum(CAST(total_claim_amount AS DECIMAL(20, 4))), 2) AS DOUBLE) AS total_exposure
 FROM fact_claims WHERE region IS NOT NULL GROUP BY region"""
 FINAL["kpi_claims_by_tier"] = f"""
 SELECT policy_csl_tier, count(*) AS "count", {_RATE1} AS rejection_rate
@@ -911,7 +913,7 @@ FINAL["kpi_document_figures"] = "\nUNION ALL ".join([
     _figure(_P, "umbrella.without_umbrella",
             "SELECT count_if(umbrella_limit = 0) FROM dim_policy"),
     _figure(_P, "by_tier[0].avg_premium",
-            f"SELECT {_half_up('avg(policy_annual_premium)', 2)} FROM dim_policy "
+            f"SELECT {_half_up('CAST(sum(CAST(policy_annual_premium AS DECIMAL(20, 4))) AS DOUBLE) / count(policy_annual_premium)', 2)} FROM dim_policy "
             "WHERE policy_csl_tier = (SELECT min(policy_csl_tier) FROM dim_policy)"),
     _figure(_P, "by_state[0].count",
             "SELECT max(n) FROM (SELECT count(*) AS n FROM dim_policy GROUP BY policy_state)"),
@@ -923,7 +925,7 @@ FINAL["kpi_document_figures"] = "\nUNION ALL ".join([
     _figure(_C, "overall.rejection_rate_pct",
             f"SELECT {_half_up(_REJECTED, 1)} FROM fact_claims"),
     _figure(_C, "overall.avg_claim_amount",
-            f"SELECT {_half_up('avg(total_claim_amount)', 2)} FROM fact_claims"),
+            f"SELECT {_half_up('CAST(sum(CAST(total_claim_amount AS DECIMAL(20, 4))) AS DOUBLE) / count(total_claim_amount)', 2)} FROM fact_claims"),
     _figure(_C, "by_severity[0].rejected",
             "SELECT sum(is_rejected) FROM fact_claims WHERE incident_severity = "
             "(SELECT min(incident_severity) FROM fact_claims)"),

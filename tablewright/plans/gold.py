@@ -130,8 +130,8 @@ def rejection_by_tier_region(claims: DataFrame) -> DataFrame:
     return claims.groupBy("policy_csl", "policy_csl_tier", "region").agg(
         m.rows().alias("total_claims"),
         *_rejections(),
-        m.rounded_mean("total_claim_amount").alias("avg_claim_amount"),
-        m.rounded_sum("total_claim_amount").alias("total_claim_amount"),
+        m.money_mean("total_claim_amount").alias("avg_claim_amount"),
+        m.money_sum("total_claim_amount").alias("total_claim_amount"),
     ).orderBy(F.desc("rejection_rate_pct"), "policy_csl", "region")
 
 
@@ -139,8 +139,8 @@ def severity_breakdown(claims: DataFrame) -> DataFrame:
     return claims.groupBy("incident_severity").agg(
         m.rows().alias("total_claims"),
         *_rejections(),
-        m.rounded_sum("total_claim_amount").alias("total_claim_amount"),
-        m.rounded_mean("total_claim_amount").alias("avg_claim_amount"),
+        m.money_sum("total_claim_amount").alias("total_claim_amount"),
+        m.money_mean("total_claim_amount").alias("avg_claim_amount"),
         m.rounded_mean("bodily_injuries").alias("avg_bodily_injuries"),
         m.rounded_mean("number_of_vehicles_involved").alias("avg_vehicles_involved"),
     ).orderBy(F.desc("total_claims"), "incident_severity")
@@ -165,8 +165,8 @@ def unsold_by_model_region(sales: DataFrame) -> DataFrame:
         F.max(age).alias("max_days_unsold"),
         m.rounded_mean(age, 1).alias("avg_days_unsold"),
         F.min(age).alias("min_days_unsold"),
-        m.rounded_sum("revenue_at_risk").alias("total_revenue_at_risk"),
-        m.rounded_mean("original_selling_price").alias("avg_listing_price"),
+        m.money_sum("revenue_at_risk").alias("total_revenue_at_risk"),
+        m.money_mean("original_selling_price").alias("avg_listing_price"),
         *[m.count_where(age > limit).alias(f"unsold_over_{limit}_days") for limit in (60, 90)],
     ).orderBy(F.desc("max_days_unsold"), "car_model", "region")
 
@@ -175,17 +175,18 @@ def premium_by_tier(policies: DataFrame, claims: DataFrame) -> DataFrame:
     """Premiums and claim exposure per tier; claims are summed per policy before they join."""
     per_policy = claims.groupBy("policy_id").agg(
         m.rows().alias("claims"), F.sum("is_rejected").alias("rejected"),
-        F.sum("total_claim_amount").alias("claimed"))
+        m.exact_sum("total_claim_amount").alias("claimed"))
     joined = policies.join(per_policy, F.col("policy_number") == F.col("policy_id"), "left")
     filed = F.coalesce(F.sum("claims"), F.lit(0))
     rejected = F.coalesce(F.sum("rejected"), F.lit(0))
     return joined.groupBy("policy_csl", "policy_csl_tier").agg(
         m.rows().alias("policy_count"),
-        m.rounded_mean("policy_annual_premium").alias("avg_annual_premium"),
-        m.rounded_sum("policy_annual_premium").alias("total_premium_revenue"),
+        m.money_mean("policy_annual_premium").alias("avg_annual_premium"),
+        m.money_sum("policy_annual_premium").alias("total_premium_revenue"),
         m.rounded_mean("policy_deductable").alias("avg_deductable"),
         m.rounded_mean("umbrella_limit").alias("avg_umbrella_limit"),
         filed.alias("total_claims_filed"),
         m.percent(rejected, F.greatest(filed, F.lit(1))).alias("overall_rejection_rate_pct"),
-        F.round(F.coalesce(F.sum("claimed"), F.lit(0.0)), 2).alias("total_claims_exposure"),
+        F.coalesce(F.round(F.sum("claimed"), 2).cast("double"), F.lit(0.0))
+        .alias("total_claims_exposure"),
     ).orderBy("policy_csl")

@@ -20,8 +20,8 @@ def policy_total(policies: DataFrame) -> DataFrame:
 def policy_by_tier(policies: DataFrame) -> DataFrame:
     return policies.groupBy("policy_csl_tier").agg(
         m.rows().alias("count"),
-        m.rounded_mean("policy_annual_premium").alias("avg_premium"),
-        m.rounded_sum("policy_annual_premium").alias("total_revenue"),
+        m.money_mean("policy_annual_premium").alias("avg_premium"),
+        m.money_sum("policy_annual_premium").alias("total_revenue"),
     ).orderBy("policy_csl_tier")
 
 
@@ -59,15 +59,15 @@ def claims_overall(claims: DataFrame) -> DataFrame:
         _rejected().alias("total_rejected"),
         (m.rows() - _rejected()).alias("total_approved"),
         _rejection_rate().alias("rejection_rate_pct"),
-        m.rounded_sum("total_claim_amount").alias("total_exposure"),
-        m.rounded_mean("total_claim_amount").alias("avg_claim_amount"))
+        m.money_sum("total_claim_amount").alias("total_exposure"),
+        m.money_mean("total_claim_amount").alias("avg_claim_amount"))
 
 
 def claims_by_severity(claims: DataFrame) -> DataFrame:
     return claims.groupBy("incident_severity").agg(
         m.rows().alias("count"),
         _rejected().alias("rejected"),
-        m.rounded_mean("total_claim_amount").alias("avg_amount"))
+        m.money_mean("total_claim_amount").alias("avg_amount"))
 
 
 def claims_by_region(claims: DataFrame) -> DataFrame:
@@ -75,7 +75,7 @@ def claims_by_region(claims: DataFrame) -> DataFrame:
         m.rows().alias("count"),
         _rejected().alias("rejected"),
         _rejection_rate().alias("rejection_rate"),
-        m.rounded_sum("total_claim_amount").alias("total_exposure"),
+        m.money_sum("total_claim_amount").alias("total_exposure"),
     ).orderBy(F.desc("rejection_rate"), "region")
 
 
@@ -167,12 +167,15 @@ def documents(policies: DataFrame, claims: DataFrame, customers: DataFrame) -> D
     n = F.col("n")
 
     def ratio(a: str, b: str = "n", digits: int = 2) -> Column:
-        return F.round(F.col(a) / F.nullif(F.col(b), F.lit(0)), digits)
+        return F.round(F.col(a).cast("double") / F.nullif(F.col(b), F.lit(0)), digits)
+
+    def dollars(a: str) -> Column:
+        return F.round(a, 2).cast("double")
 
     limit = F.col("umbrella_limit")
     by_policy = _by_each(
         policies, ["policy_csl_tier", "policy_state", "policy_deductable"],
-        n=m.rows(), premium=F.sum("policy_annual_premium"),
+        n=m.rows(), premium=m.exact_sum("policy_annual_premium"),
         covered=m.count_where(limit > 0), bare=m.count_where(limit == 0),
         limits=F.sum(F.when(limit > 0, limit)))
     policy_doc = _document(
@@ -181,7 +184,7 @@ def documents(policies: DataFrame, claims: DataFrame, customers: DataFrame) -> D
         by_tier=_rows_of("policy_csl_tier", [F.col("policy_csl_tier")],
                          policy_csl_tier=F.col("policy_csl_tier"), count=n,
                          avg_premium=ratio("premium"),
-                         total_revenue=F.round("premium", 2)),
+                         total_revenue=dollars("premium")),
         by_state=_rows_of("policy_state", [-n, F.col("policy_state")],
                           policy_state=F.col("policy_state"), count=n),
         umbrella=_total_object(with_umbrella=F.col("covered"), without_umbrella=F.col("bare"),
@@ -192,20 +195,20 @@ def documents(policies: DataFrame, claims: DataFrame, customers: DataFrame) -> D
     rate = m.percent(F.col("rejected"), n, 1)
     by_claim = _by_each(
         claims, ["incident_severity", "region", "policy_csl_tier"],
-        n=m.rows(), rejected=F.sum("is_rejected"), amount=F.sum("total_claim_amount"))
+        n=m.rows(), rejected=F.sum("is_rejected"), amount=m.exact_sum("total_claim_amount"))
     claim_doc = _document(
         "claims_performance", "Claims performance summary", by_claim,
         total_claims=_total(n),
         overall=_total_object(
             total_rejected=F.col("rejected"), total_approved=n - F.col("rejected"),
-            rejection_rate_pct=rate, total_exposure=F.round("amount", 2),
+            rejection_rate_pct=rate, total_exposure=dollars("amount"),
             avg_claim_amount=ratio("amount")),
         by_severity=_rows_of("incident_severity", [F.col("incident_severity")],
                              incident_severity=F.col("incident_severity"), count=n,
                              rejected=F.col("rejected"), avg_amount=ratio("amount")),
         by_region=_rows_of("region", [-rate, F.col("region")], skip_null=True,
                            region=F.col("region"), count=n, rejected=F.col("rejected"),
-                           rejection_rate=rate, total_exposure=F.round("amount", 2)),
+                           rejection_rate=rate, total_exposure=dollars("amount")),
         by_coverage_tier=_rows_of("policy_csl_tier", [F.col("policy_csl_tier")],
                                   skip_null=True, policy_csl_tier=F.col("policy_csl_tier"),
                                   count=n, rejection_rate=rate))
