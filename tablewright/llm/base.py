@@ -54,9 +54,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def word_count(text: str) -> F.Column:
     """Number of words of a text column; null and blank texts have none."""
-    parts = F.split(F.col(text), GAPS)
-    return F.coalesce(
-        F.size(parts)
-        - F.when(F.element_at(parts, 1) == "", 1).otherwise(0)
-        - F.when((F.size(parts) > 1) & (F.element_at(parts, -1) == ""), 1).otherwise(0),
-        F.lit(0)).cast("bigint")
+    parts = F.filter(F.split(F.col(text), GAPS), lambda part: part != "")
+    return F.coalesce(F.size(parts), F.lit(0)).cast("bigint")

@@ -28,4 +28,40 @@ FROM documents d JOIN reach ON reach.a = d.doc_id LEFT JOIN n ON n.doc_id = d.do
 GROUP BY d.doc_id
 """
 
-ORACLES = {"op6_near_dup": OP6}
+OP5 = f"""
+WITH d AS (
+  SELECT doc_id, source, CAST(coalesce(len({WORDS.format(text="text")}), 0) AS BIGINT) AS size,
+    md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
+s AS (
+  SELECT source, sum(size)::HUGEINT AS source_size,
+    row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM d GROUP BY source),
+w AS (
+  SELECT *, CASE (rank - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight FROM s),
+o AS (
+  SELECT *, row_number() OVER (ORDER BY source_size * (6 // weight), source NULLS LAST) AS place FROM w),
+x AS (
+  SELECT o.*, (SELECT sum(source_size) FROM o) AS total,
+    coalesce((SELECT sum(2 * p.source_size) FROM o p WHERE p.place < o.place), 0) AS caps_before,
+    (SELECT sum(p.weight) FROM o p WHERE p.place >= o.place) AS weight_left FROM o),
+y AS (
+  SELECT *, 4 * source_size * weight_left <= weight * (3 * total - 2 * caps_before) AS stops FROM x),
+z AS (
+  SELECT *, 3 * total - 2 * coalesce((SELECT sum(2 * source_size) FROM y WHERE stops), 0) AS rest_words,
+    coalesce((SELECT sum(weight) FROM y WHERE NOT stops), 0) AS sharing FROM y),
+t AS (
+  SELECT source, CAST(source_size AS BIGINT) AS source_size,
+    CASE WHEN stops THEN CAST(2 * source_size AS DOUBLE)
+      ELSE CAST(weight * rest_words AS DOUBLE) / CAST(sharing * 2 AS DOUBLE) END AS target FROM z),
+b AS (SELECT *, CAST(floor(target) AS BIGINT) AS budget FROM t),
+r AS (
+  SELECT d.doc_id, d.size, b.source_size, b.target, budget,
+    CASE WHEN b.source_size > 0 THEN budget // b.source_size ELSE 0 END AS laps,
+    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id NULLS FIRST, d.size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+  FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, size, source_size, target,
+  CAST(laps * size + greatest(0, least(size, budget - laps * source_size - ahead)) AS BIGINT) AS taken
+FROM r
+"""
+
+ORACLES = {"op5_mixing": OP5, "op6_near_dup": OP6}
