@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import fingerprint, language, mixing, near_dup, packing, secrets, sql
+from tablewright.llm import (
+    fingerprint, language, mixing, near_dup, packing, secrets, sql, vector_search, warc)
 from tablewright.llm.base import table
 
 
@@ -31,6 +32,14 @@ def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.top_scores(table(spark, sf_dir, "embeddings"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scanned(table(spark, sf_dir, "documents"))
 

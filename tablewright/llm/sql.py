@@ -64,4 +64,32 @@ SELECT doc_id, size, source_size, target,
 FROM r
 """
 
-ORACLES = {"op5_mixing": OP5, "op6_near_dup": OP6}
+OP8 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+# Base 32 writes five bits a character: four characters for five hexadecimal digits.
+OP9 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+g AS (SELECT html, max(page_id) AS keeper FROM p GROUP BY html)
+SELECT page_id, CAST(octet_length(encode(p.html)) AS BIGINT) AS payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST((CAST('0x' || substr(h, CAST((i // 4) * 5 + 1 AS BIGINT), 5) AS BIGINT)
+      >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31 AS BIGINT) + 1, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM p JOIN g ON p.html = g.html
+"""
+
+ORACLES = {"op5_mixing": OP5, "op6_near_dup": OP6, "op8_vector_search": OP8, "op9_warc": OP9}
