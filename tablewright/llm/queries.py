@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tablewright.llm import (
-    fingerprint, language, mixing, near_dup, packing, secrets, sql, vector_search, warc)
+    fingerprint, language, lm_score, mixing, near_dup, packing, secrets, sql, url_filter,
+    vector_search, warc)
 from tablewright.llm.base import table
 
 
@@ -19,6 +20,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(table(spark, sf_dir, "documents"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.scored(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
@@ -32,6 +37,10 @@ def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"))
+
+
 def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.top_scores(table(spark, sf_dir, "embeddings"))
 
