@@ -5,19 +5,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import near_dup
+from tablewright.llm import language, mixing, near_dup, packing, secrets
 from tablewright.llm.base import Work, table
 
+# Least calibrated probability of the predicted language. With four or more languages in the
+# corpus this is far above chance; texts of no language and without letters fall below it.
+LEAST_CONFIDENCE = 0.5
+
+
+def in_some_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is predicted with confidence; `und` ones go."""
+    model = language.learned(docs)
+    judged = language.with_language(docs, model)
+    return judged.where((F.col("lang_pred") != language.UNKNOWN)
+                        & (F.col("score") >= LEAST_CONFIDENCE)).select(docs.columns)
+
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each near-duplicate group (five-word shingles, 0.8)."""
-    kept = near_dup.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi")
-    return named.unionByName(docs.where(F.col("doc_id").isNull())).select(docs.columns)
+    """The document of smallest id of each near-duplicate group (five-word shingles, 0.8).
+
+    Rows that repeat a kept id stay; so do rows without an id.
+    """
+    gone = near_dup.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    gone = Work(spark, "gone").stored(gone, "gone")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets masked and `n_chars` counted anew."""
+    return secrets.masked(docs)
+
+
+def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; the last of a source's budget is cut."""
+    mix = mixing.repeated(mixing.mixed(docs), docs.columns)
+    return mix.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, each with its length bucket, batch and slot."""
+    return packing.packed(docs)
 
 
 STAGES = [
+    ("language", in_some_language),
     ("near_dup", one_of_each_group),
+    ("secrets", without_secrets),
+    ("mixing", to_target_weights),
+    ("packing", batches),
 ]
 
 # Learned decisions, hashes and random orders are beyond SQL; tests compare with brute force.
