@@ -8,8 +8,8 @@ its longest prefix with. The depth thus adapts to the region: in a sparse one a
 makes neighbours, in a crowded one only the longest do.
 
 Crowded regions need more than neighbours: a text at the rim of a large group may resemble only
-the few central ones. So each region's most linked text is proposed to all of its other texts
-that are still in another component: one candidate per text and region, never all pairs.
+the few central ones. So each region's most linked texts are proposed to all of its other texts
+that are still in another component: CENTRES candidates per text and region, never all pairs.
 
 Proposals are confirmed on the full sets, and confirmed links are closed into components.
 """
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm import words
@@ -27,10 +27,11 @@ from tablewright.llm.graph import components
 
 COLUMNS = 64          # length of a signature
 SKETCH = 48           # columns of which every forest row carries a byte, to estimate likeness
-ORDERS = 16           # trees of the forest
+ORDERS = 24           # trees of the forest
 DEPTH = 8             # signature columns an order sorts by
 LEAST_PREFIX = 3      # columns that neighbours share at least
 NEIGHBOURS = 3        # preceding rows looked at
+CENTRES = 4           # most linked members of a region that its others are held against
 
 FEATURES = "id bigint, n_shingles bigint, class binary, signature binary"
 FOREST = "tree int, prefix binary, id bigint, sketch binary"
@@ -208,7 +209,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80,
     Extra columns are ignored. An empty table gives an empty result.
 
     A pair at the threshold shares LEAST_PREFIX columns in at least one of ORDERS trees with
-    probability 1 - (1 - 0.8^3)^16, all but 1 in 100,000; more similar pairs are missed less.
+    probability 1 - (1 - 0.8^3)^24, all but 1 in 30 million; more similar pairs are missed less.
     """
     spark = docs.sparkSession
     work = Work(spark, "near-dup")
@@ -251,10 +252,14 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80,
         .join(roots.select(F.col("u").alias("id"), "v"), "id", "left")
         .select("tree", "prefix", "id", "sketch", F.coalesce("degree", F.lit(0)).alias("degree"),
                 F.coalesce("v", "id").alias("root")), "members")
-    centre = work.stored(
-        members.groupBy(*region).agg(F.max(F.struct("degree", "id", "root", "sketch")).alias("c"),
-                                     F.count("*").alias("size")).where("size > 2"), "centres")
-    more = (members.join(centre, region).where("root != c.root")
+    crowded = members.groupBy(*region).count().where(F.col("count") > NEIGHBOURS + 1)
+    members = work.stored(
+        members.join(work.stored(crowded.drop("count"), "crowded"), region, "left_semi"), "rows")
+    ranked = Window.partitionBy(*region).orderBy(F.desc("degree"), "id")
+    centres = work.stored(
+        members.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= CENTRES)
+        .select(*region, F.struct("id", "root", "sketch").alias("c")), "centres")
+    more = (members.join(centres, region).where("root != c.root")
             .select(F.least("id", F.col("c.id")).alias("a"),
                     F.greatest("id", F.col("c.id")).alias("b"), "sketch",
                     F.col("c.sketch").alias("other"))
