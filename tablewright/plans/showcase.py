@@ -83,7 +83,7 @@ def ingest_json(layers: Layers) -> DataFrame:
     spark = layers.spark
     base = shared_folder(spark, "ingest-json")
     layers.raw("claims").drop(fixed.SOURCE_FILE).write.json(f"{base}/claims")
-    back = files.read_json_text(spark, f"{base}/claims", glob="*.json", multi_line=False)
+    back = files.read_json_text(spark, f"{base}/claims", glob="*.json")
     typed = silver.claims(back).drop(fixed.SOURCE_FILE, fixed.LOAD_TIMESTAMP)
     return typed.withColumns({c: F.col(c).cast("bigint") for c in ("claim_id", "policy_id")})
 
