@@ -197,7 +197,7 @@ SELECT sales_id, ad_placed_on, sold_on, original_selling_price, region, state, c
   CAST(CASE WHEN sold_on IS NULL THEN date_diff('day', CAST(ad_placed_on AS DATE), {AS_OF}) END
     AS INT) AS days_unsold, src AS _source_file
 FROM (
-  SELECT TRY_CAST(sales_id AS INT) AS sales_id,
+  SELECT TRY_CAST(sales_id AS BIGINT) AS sales_id,
     try_strptime(ad_placed_on, '%d-%m-%Y %H:%M') AS ad_placed_on,
     try_strptime(sold_on, '%d-%m-%Y %H:%M') AS sold_on,
     TRY_CAST(original_selling_price AS DOUBLE) AS original_selling_price,
@@ -403,14 +403,19 @@ SELECT policy_number, 'Policy ' || policy_number || ' is a ' || policy_csl_tier
      || ' umbrella coverage' ELSE 'no umbrella coverage' END
   || '. It covers car ' || car_id || ' for customer ' || customer_id || '.' AS document
 FROM dim_policy"""
+_COUNTS = ("list_transform(['0','1','2','3','4','5','6','7','8','9','a','e','i','n','o','r','s','t'], "
+           "lambda c: CAST(length({0}) - length(replace({0}, c, '')) AS DOUBLE))")
+CTES["policy_vectors"] = f"""
+SELECT policy_number, {_COUNTS.format('document')} AS v FROM policy_docs"""
+CTES["question_vectors"] = f"""
+SELECT query_id, {_COUNTS.format("('Which policies resemble ' || query_id || '?')")} AS v FROM questions"""
 CTES["policy_hits"] = """
 SELECT query_id, policy_number, rank, 1.0 / (1.0 + distance) AS confidence FROM (
   SELECT query_id, policy_number, distance,
     row_number() OVER (PARTITION BY query_id ORDER BY distance, policy_number) AS rank
   FROM (SELECT q.query_id, p.policy_number,
-          list_sum(list_transform(list_zip(e.embedding, q.embedding),
-            lambda x: pow(CAST(x[1] AS DOUBLE) - CAST(x[2] AS DOUBLE), 2))) AS distance
-        FROM questions q, policy_docs p JOIN embeddings e ON e.vec_id = p.policy_number))
+          list_sum(list_transform(list_zip(p.v, q.v), lambda x: pow(x[1] - x[2], 2))) AS distance
+        FROM question_vectors q, policy_vectors p))
 WHERE rank <= 5"""
 CTES["issue_counts"] = """
 SELECT issue_id, CAST(a AS BIGINT) AS affected_records, CAST(t AS BIGINT) AS total_records FROM (
@@ -694,7 +699,11 @@ SELECT p.policy_number, p.policy_bind_date, p.policy_state, p.policy_annual_prem
 FROM policy_raw p
 LEFT JOIN (SELECT * FROM customers_raw WHERE src = 'customers_7') c ON p.customer_id = c.CustomerID
 LEFT JOIN cars_raw v ON p.car_id = v.car_id
-ORDER BY p.policy_number NULLS LAST LIMIT 100"""
+ORDER BY p.policy_number NULLS LAST, p.policy_bind_date NULLS LAST, p.policy_state NULLS LAST,
+  p.policy_annual_premium NULLS LAST, p.customer_id NULLS LAST, p.car_id NULLS LAST,
+  region NULLS FIRST, state NULLS FIRST, city NULLS FIRST, job NULLS FIRST, marital NULLS FIRST,
+  education NULLS FIRST, car_name NULLS FIRST, model NULLS FIRST, fuel NULLS FIRST,
+  transmission NULLS FIRST LIMIT 100"""
 FINAL["profile_nulls_claims"] = """
 SELECT 'ClaimID' AS column_name, count(*) AS total_rows, count(*) - count(ClaimID) AS null_rows
 FROM claims_raw
@@ -835,6 +844,15 @@ SELECT {_c}, count(*) AS "count" FROM dim_customer WHERE {_c} IS NOT NULL GROUP
 FINAL["topk_l2"] = """
 SELECT query_id, vec_id, CAST(rank AS INT) AS rank, CAST(round(CAST(CAST(distance AS VARCHAR) AS DECIMAL(38, 14)), 6) AS DOUBLE) AS distance,
   CAST(round(CAST(CAST(confidence AS VARCHAR) AS DECIMAL(38, 14)), 6) AS DOUBLE) AS confidence FROM retrieval_hits"""
+FINAL["topk_l2_all"] = """
+SELECT query_id, vec_id, CAST(rank AS INT) AS rank,
+  CAST(round(CAST(CAST(distance AS VARCHAR) AS DECIMAL(38, 14)), 6) AS DOUBLE) AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM (
+    SELECT q.vec_id AS query_id, e.vec_id,
+      list_sum(list_transform(list_zip(e.embedding, q.embedding),
+        lambda x: pow(CAST(x[1] AS DOUBLE) - CAST(x[2] AS DOUBLE), 2))) AS distance
+    FROM embeddings q, embeddings e))
+WHERE rank <= 5"""
 FINAL["retrieval_log"] = """
 SELECT query_id, string_agg(CAST(vec_id AS VARCHAR), ', ' ORDER BY rank) AS retrieved_ids,
   string_agg(printf('%.4f', confidence), ', ' ORDER BY rank) AS confidence_scores,
@@ -845,7 +863,7 @@ SELECT h.query_id, 'Which policies resemble ' || h.query_id || '?' AS question,
     [CAST(h.query_id % 5 AS INT) + 1] AS query_type,
   string_agg(CAST(h.policy_number AS VARCHAR), ', ' ORDER BY rank) AS retrieved_policy_ids,
   string_agg(printf('%.4f', confidence), ', ' ORDER BY rank) AS confidence_scores,
-  CAST(count(*) AS INT) AS num_chunks_retrieved, 'given' AS embedding_model,
+  CAST(count(*) AS INT) AS num_chunks_retrieved, 'counts' AS embedding_model,
   string_agg('[Policy ' || h.policy_number || ']: ' || document, chr(10) || chr(10) ORDER BY rank)
     AS answer, 'success' AS generation_status, 'template' AS model_name
 FROM policy_hits h JOIN policy_docs d ON h.policy_number = d.policy_number GROUP BY h.query_id"""

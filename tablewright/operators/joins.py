@@ -2,53 +2,57 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Lanes over which the rows of one left key are spread in an anti join.
-LANES = 8
-
 
-def orphans(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-            lanes: int = LANES) -> DataFrame:
+def orphans(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Rows of `left` whose key is not in `right`; a NULL key is never found.
 
-    The right side is reduced to its distinct keys before it moves, so repeated right keys
-    cost one row per task. The left rows of one key are spread over `lanes` reducers by the
-    task they come from, and the key list is copied to each lane; a left key with a third
-    of all rows is thus not one task's work. The lane depends only on the input partition,
-    so a recomputed task sends its rows to the same place. Whether the key list is
-    broadcast is left to Spark, which checks its size.
+    The right side is reduced to its distinct keys before it moves, so repeated right keys cost
+    one row per task. Its partitions are then left as they are by `coalesce`, which makes Spark
+    put a plain exchange on both sides of the join: adaptive execution can so split the rows of
+    a frequent left key, and replaces the join by a broadcast where the keys' size allows it.
     """
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = (
         right.where(F.col(right_key).isNotNull())
-        .select(F.col(right_key).alias("_key"))
-        .distinct()
-        .withColumn("_key_lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+        .select(F.col(right_key).alias("_key")).distinct().coalesce(max(2, parts))
     )
-    spread = left.withColumn("_lane", F.spark_partition_id() % F.lit(lanes))
-    found = (F.col(left_key) == F.col("_key")) & (F.col("_lane") == F.col("_key_lane"))
-    return spread.join(keys, found, "left_anti").drop("_lane")
+    return left.join(keys, F.col(left_key) == F.col("_key"), "left_anti")
 
 
 def key_coverage(pairs: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
     """How well each candidate key pair links two tables.
 
-    `pairs` holds (label, left, left key, right, right key). Both sides are reduced to one row
-    per key before the join; rows are counted through the per-key counts.
+    `pairs` holds (label, left, left key, right, right key). A left column is grouped once,
+    whatever the number of tables it is held against: their distinct keys, marked by table, meet
+    in one row per key, and rows are counted through the per-key counts.
     """
-    result: DataFrame | None = None
-    for label, left, left_key, right, right_key in pairs:
-        per_key = left.groupBy(F.col(left_key).alias("_left")).agg(
+    by_column: dict[tuple[int, str], list[tuple[str, DataFrame, str, DataFrame, str]]] = {}
+    for pair in pairs:
+        by_column.setdefault((id(pair[1]), pair[2]), []).append(pair)
+    reports = []
+    for (_, left_key), group in by_column.items():
+        per_key = group[0][1].groupBy(F.col(left_key).alias("_left")).agg(
             F.count(F.lit(1)).alias("n"))
-        keys = right.where(F.col(right_key).isNotNull()).select(
-            F.col(right_key).alias("_right")).distinct()
-        hit = F.col("_right").isNotNull()
-        report = per_key.join(keys, F.col("_left") == F.col("_right"), "left").agg(
-            F.sum("n").alias("total_rows"),
-            F.sum(F.when(hit, F.col("n")).otherwise(0)).alias("matched_rows"),
-            F.sum(F.when(hit, F.lit(0)).otherwise(F.col("n"))).alias("unmatched_rows"),
-        ).select(F.lit(label).alias("key_pair"), "total_rows", "matched_rows",
-                 "unmatched_rows")
-        result = report if result is None else result.unionByName(report)
-    return result
+        marked = [right.where(F.col(right_key).isNotNull())
+                  .select(F.col(right_key).cast("string").alias("_right"), F.lit(i).alias("_table"))
+                  for i, (_, _, _, right, right_key) in enumerate(group)]
+        found = reduce(DataFrame.unionByName, marked).groupBy("_right").agg(
+            *[F.max(F.col("_table") == i).alias(f"_in{i}") for i in range(len(group))])
+        joined = per_key.join(found, F.col("_left").cast("string") == F.col("_right"), "left")
+        matched = [F.sum(F.when(F.col(f"_in{i}"), F.col("n")).otherwise(0))
+                   for i in range(len(group))]
+        entries = F.array(*[F.struct(F.lit(pair[0]).alias("key_pair"),
+                                     F.col(f"_m{i}").alias("matched_rows"))
+                            for i, pair in enumerate(group)])
+        reports.append(
+            joined.agg(F.sum("n").alias("total_rows"),
+                       *[c.alias(f"_m{i}") for i, c in enumerate(matched)])
+            .select("total_rows", F.explode(entries).alias("e"))
+            .select("e.key_pair", "total_rows", "e.matched_rows",
+                    (F.col("total_rows") - F.col("e.matched_rows")).alias("unmatched_rows")))
+    return reduce(DataFrame.unionByName, reports)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .quantile import exact_quantile
+from .quantile import bracket, exact_quantile
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -99,14 +99,23 @@ def numeric_profile(df: DataFrame, columns: list[str], digits: int = 4) -> DataF
 
 
 def spread_profile(df: DataFrame, value: str, quantile: float, digits: int = 4) -> DataFrame:
-    """One row: mean, sample standard deviation, extremes and an exact quantile of a measure."""
+    """One row: mean, sample standard deviation, extremes and an exact quantile of a measure.
+
+    One pass, made at once, gives the four figures and the bracket of the quantile; the frame
+    returned holds them and makes the pass that finds the quantile.
+    """
     basic = df.agg(
         F.round(F.avg(value), digits).alias("mean"),
         F.round(F.stddev_samp(value), digits).alias("stddev"),
         F.max(value).alias("max"),
         F.min(value).alias("min"),
+        bracket(value, quantile).alias("_bracket"),
     )
-    return basic.withColumn("quantile", exact_quantile(df, value, quantile).scalar())
+    row = basic.first()
+    found = exact_quantile(df, value, quantile,
+                           between=row["_bracket"] or [None, None])
+    return found.select(*[F.lit(row[c]).cast(basic.schema[c].dataType).alias(c)
+                          for c in ("mean", "stddev", "max", "min")], "quantile")
 
 
 def described_columns(table: str, df: DataFrame) -> DataFrame:

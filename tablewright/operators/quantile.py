@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Rank error of the bracketing sketch is at most rows / ACCURACY (Spark's own default).
@@ -13,27 +13,36 @@ BINS = 1024
 _BELOW, _INSIDE, _ABOVE = 0, 1, 2
 
 
+def bracket(value: str, q: float, accuracy: int = ACCURACY) -> Column:
+    """Aggregate: two values between which the quantile lies, from a mergeable sketch."""
+    margin = 2.0 / accuracy
+    ends = F.array(F.lit(max(0.0, q - margin)), F.lit(min(1.0, q + margin)))
+    return F.percentile_approx(F.col(value).cast("double"), ends, F.lit(accuracy))
+
+
 def exact_quantile(df: DataFrame, value: str, q: float, accuracy: int = ACCURACY,
-                   bins: int = BINS) -> DataFrame:
+                   bins: int = BINS, *, between: list[float] | None = None) -> DataFrame:
     """Smallest value whose cumulative share reaches `q`; a one-row frame `quantile`.
 
-    A mergeable sketch brackets the wanted rank from both sides. One pass then counts the rows
-    below and above the bracket and folds the rows inside it by value, so ties and hot values
-    weigh one row per task. The values inside are ranked bin by bin: the only ordered list that
-    meets in one task is that of the bin totals. Should the bracket miss the rank, which the
+    `between` is the `bracket`, if the caller has it from a pass of its own; else it is computed
+    now. Both are two numbers. One pass then counts the rows below and above the bracket and
+    folds the rows inside it by value, so ties and hot values weigh one row per task. The values
+    inside are ranked bin by bin: the only ordered list that meets in one task is that of the bin
+    totals. A dense cluster of different values may lie in one bin; the bracket spans at most
+    4 / ACCURACY of the rows, which bounds it. Should the bracket miss the rank, which the
     sketch's guarantee rules out, the query fails instead of guessing.
     """
-    margin = 2.0 / accuracy
     values = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
-    ends = F.array(F.lit(max(0.0, q - margin)), F.lit(min(1.0, q + margin)))
-    bracket = values.agg(F.percentile_approx("v", ends, F.lit(accuracy)).alias("b")).scalar()
+    if between is None:
+        between = values.agg(bracket("v", q, accuracy).alias("b")).first()["b"]
+    ends = F.array(*[F.lit(x) for x in between or [None, None]]).cast("array<double>")
 
     low, high = F.col("b")[0], F.col("b")[1]
     zone = F.when(F.col("v") < low, _BELOW).when(F.col("v") <= high, _INSIDE).otherwise(_ABOVE)
     width = F.nullif(high - low, F.lit(0.0))
     position = F.coalesce(F.floor((F.col("v") - low) / width * bins), F.lit(0))
     folded = (
-        values.withColumn("b", bracket)
+        values.withColumn("b", ends)
         .select("v", zone.alias("zone"), position.alias("position"))
         .select(
             F.when(F.col("zone") == _INSIDE, F.col("v")).alias("v"),

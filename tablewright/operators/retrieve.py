@@ -3,21 +3,19 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.vectors import confidence, squared_l2
+from ..functions.vectors import confidence
 
-# Questions that every task may hold at once, in its closure or in one array column.
-MAX_QUERIES = 1024
-# Questions scored together against one Arrow batch: bounds the distance matrix.
+# Vectors that are scored against each other at a time, on either side.
+BLOCK = 4096
+# Questions of a block scored together: bounds the distance matrix.
 QUERY_BLOCK = 64
 
 
@@ -26,19 +24,25 @@ def topk_l2(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str
     """The `k` nearest corpus vectors of every query by squared L2 distance.
 
     Output: query id, corpus id, `rank` from 1, `distance`, `confidence`; ties go to the
-    smaller corpus id, corpus rows without a vector are left out. The corpus is read in place
-    and its vectors are never shuffled: each task reduces its own rows to k per query, and only
-    those meet. A question set of up to MAX_QUERIES rows travels with the tasks; a larger one
-    stays on the executors and is worked off in several passes over the corpus.
+    smaller corpus id. A vector that is NULL or empty, or holds a NULL, an infinite element or
+    one that is no number, takes no part, on either side; vectors of different lengths never
+    meet. A query that finds nothing has no row.
+
+    Both sides are packed into blocks where they are read, and blocks meet blocks: a block of
+    the corpus hands on k rows per query, and only those are shuffled. The path is the same for
+    any number of queries. Spark broadcasts the query blocks if their size allows it, and else
+    streams them past the corpus blocks task by task.
     """
-    asked = queries.select(query_id, vector)
-    stored = corpus.where(F.col(vector).isNotNull()).select(corpus_id, vector)
-    held = asked.limit(MAX_QUERIES + 1).collect()
-    if len(held) <= MAX_QUERIES:
-        candidates = _score_batches(held, stored, asked.schema[query_id].dataType, query_id,
-                                    corpus_id, k)
-    else:
-        candidates = _score_in_passes(asked, stored, query_id, corpus_id, vector)
+    asked = _blocks(queries, query_id, vector).select(
+        F.col("length").alias("q_length"), F.col("ids").alias("q_ids"),
+        F.col("cells").alias("q_cells"))
+    stored = _blocks(corpus, corpus_id, vector)
+    schema = T.StructType([
+        T.StructField(query_id, queries.schema[query_id].dataType),
+        T.StructField(corpus_id, corpus.schema[corpus_id].dataType),
+        T.StructField("distance", T.DoubleType())])
+    candidates = stored.crossJoin(asked).mapInArrow(
+        _score_blocks(k, [query_id, corpus_id]), schema)
     window = Window.partitionBy(query_id).orderBy("distance", corpus_id)
     return (
         candidates.withColumn("rank", F.row_number().over(window))
@@ -47,74 +51,84 @@ def topk_l2(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str
     )
 
 
-def _score_batches(held: list, corpus: DataFrame, id_type: T.DataType, query_id: str,
-                   corpus_id: str, k: int) -> DataFrame:
-    """Distances of whole Arrow batches to all held queries; k rows per query and batch."""
-    points = np.array([row[1] for row in held], dtype=np.float64)
+def _blocks(df: DataFrame, identity: str, vector: str) -> DataFrame:
+    """Usable vectors packed per partition: `length`, `ids`, `cells` (elements by vectors)."""
+    whole = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x.cast("double"))
+                     & (F.abs(x.cast("double")) < float("inf")))
+    rows = df.where(F.col(identity).isNotNull() & (F.size(vector) > 0) & whole).select(
+        F.col(identity).alias("_id"), F.col(vector).cast("array<double>").alias("_vector"))
+    schema = T.StructType([
+        T.StructField("length", T.IntegerType()),
+        T.StructField("ids", T.ArrayType(df.schema[identity].dataType)),
+        T.StructField("cells", T.BinaryType())])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[pa.Array, np.ndarray]]] = {}
+
+        def block(length: int) -> pa.RecordBatch:
+            parts = held.pop(length)
+            ids = pa.concat_arrays([ids for ids, _ in parts])
+            cells = np.concatenate([cells for _, cells in parts], axis=1)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([length], pa.int32()),
+                 pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                 pa.array([np.ascontiguousarray(cells).tobytes()], pa.binary())],
+                names=["length", "ids", "cells"])
+
+        for batch in batches:
+            vectors = batch.column(1)
+            starts = vectors.offsets.to_numpy()
+            flat = vectors.values.to_numpy()
+            lengths = np.diff(starts)
+            for length in map(int, np.unique(lengths)):
+                which = np.flatnonzero(lengths == length)
+                for at in range(0, len(which), BLOCK):
+                    part = which[at:at + BLOCK]
+                    cells = flat[starts[part][:, None] + np.arange(length)].T
+                    held.setdefault(length, []).append((batch.column(0).take(
+                        pa.array(part)), cells))
+                    if sum(len(ids) for ids, _ in held[length]) >= BLOCK:
+                        yield block(length)
+        for length in list(held):
+            yield block(length)
+
+    return rows.mapInArrow(pack, schema)
+
+
+def _score_blocks(k: int, names: list[str]) -> Callable:
+    """Distances of a corpus block to a query block; k rows per query."""
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, dims = batch.num_rows, points.shape[1] if len(points) else 0
-            if not rows or not len(points):
-                continue
-            if pc.any(pc.not_equal(pc.list_value_length(batch.column(1)), dims)).as_py():
-                raise ValueError(f"all vectors must have the queries' {dims} elements")
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-            columns = np.ascontiguousarray(flat.reshape(rows, dims).T, dtype=np.float64)
-            ids = batch.column(0).to_pylist()
-            which, picked, distances = [], [], []
-            for start in range(0, len(points), QUERY_BLOCK):
-                block = points[start:start + QUERY_BLOCK]
-                # Element by element, so the sum has the same order as a plain fold.
-                total = np.zeros((len(block), rows))
-                for d in range(dims):
-                    total += (columns[d] - block[:, d, None]) ** 2
-                for q, line in enumerate(total):
-                    near = range(rows)
-                    if rows > k:
-                        near = np.flatnonzero(line <= np.partition(line, k - 1)[k - 1])
-                    for i in heapq.nsmallest(k, near, key=lambda i: (line[i], ids[i])):  # noqa: B023
-                        which.append(start + q)
-                        picked.append(i)
-                        distances.append(line[i])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(which, pa.int32()), batch.column(0).take(pa.array(picked, pa.int64())),
-                 pa.array(distances, pa.float64())],
-                names=["_query", corpus_id, "distance"])
-
-    schema = T.StructType([T.StructField("_query", T.IntegerType()), corpus.schema[corpus_id],
-                           T.StructField("distance", T.DoubleType())])
-    names = F.array(*[F.lit(row[0]) for row in held]).cast(T.ArrayType(id_type))
-    return corpus.mapInArrow(best, schema).select(
-        F.get(names, F.col("_query")).alias(query_id), corpus_id, "distance")
-
-
-def _score_in_passes(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str,
-                     vector: str) -> DataFrame:
-    """All distances by built-in expressions, one share of the queries per pass.
-
-    Each share enters as one array through a scalar subquery, so the queries never reach the
-    driver. Shares are cut by hash to half of what an array may hold; the query fails if one
-    should exceed it. The ranking's group limit cuts the rows in each task.
-    """
-    passes = -(-2 * queries.count() // MAX_QUERIES)
-    share = F.pmod(F.xxhash64(query_id), F.lit(passes))
-
-    def one_pass(number: int) -> DataFrame:
-        entries = F.collect_list(F.struct(F.col(query_id).alias("qid"),
-                                          F.col(vector).alias("qv")))
-        packed = queries.where(share == number).agg(
-            F.when(F.count(F.lit(1)) <= MAX_QUERIES, entries)
-            .otherwise(F.raise_error(F.lit("a share of the queries exceeds its bound")))
-            .alias("q")).scalar()
-        scored = corpus.withColumn("_queries", packed).select(
-            corpus_id,
-            F.explode(F.transform("_queries", lambda q: F.struct(
-                q["qid"].alias(query_id),
-                squared_l2(F.col(vector), q["qv"]).alias("distance")))).alias("s"))
-        return scored.select(f"s.{query_id}", corpus_id, "s.distance")
-
-    return reduce(DataFrame.unionByName, [one_pass(n) for n in range(passes)])
+            for i in range(batch.num_rows):
+                row = {name: batch.column(name)[i] for name in batch.schema.names}
+                length = row["length"].as_py()
+                if length != row["q_length"].as_py():
+                    continue
+                columns = np.frombuffer(row["cells"].as_py()).reshape(length, -1)
+                points = np.frombuffer(row["q_cells"].as_py()).reshape(length, -1)
+                ids = row["ids"].as_py()
+                which, picked, distances = [], [], []
+                for start in range(0, points.shape[1], QUERY_BLOCK):
+                    block = points[:, start:start + QUERY_BLOCK]
+                    # Element by element, so the sum has the same order as a plain fold.
+                    total = np.zeros((block.shape[1], len(ids)))
+                    for d in range(length):
+                        total += (columns[d] - block[d, :, None]) ** 2
+                    for q, line in enumerate(total):
+                        near = range(len(ids))
+                        if len(ids) > k:
+                            near = np.flatnonzero(line <= np.partition(line, k - 1)[k - 1])
+                        for j in heapq.nsmallest(k, near, key=lambda j: (line[j], ids[j])):  # noqa: B023
+                            which.append(start + q)
+                            picked.append(j)
+                            distances.append(line[j])
+                yield pa.RecordBatch.from_arrays(
+                    [row["q_ids"].values.take(pa.array(which, pa.int64())),
+                     row["ids"].values.take(pa.array(picked, pa.int64())),
+                     pa.array(distances, pa.float64())], names=[*names, "distance"])
+
+    return best
 
 
 def assemble_context(hits: DataFrame, query_id: str, label: str, text: str) -> DataFrame:

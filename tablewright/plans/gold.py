@@ -5,7 +5,7 @@ Every function takes clean frames and returns a frame, so the layers can be stor
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import measures as m
@@ -77,9 +77,10 @@ def fact_claims(claims: DataFrame, policy: DataFrame, customers: DataFrame) -> D
 
     The two dimensions are joined first and the claims meet the result once, so the large side
     moves once, and claims without a policy do not pile up on a NULL customer. A claim without
-    a policy keeps NULL attributes, tier included.
+    a policy keeps NULL attributes, tier included. Customers are known to be one row per id;
+    saying so lets Spark leave their join out of any plan that uses no column of theirs.
     """
-    holders = customers.select("customer_id", "region", "state")
+    holders = customers.select("customer_id", "region", "state").dropDuplicates(["customer_id"])
     cover = policy.select(
         "policy_number", "policy_csl", coverage_tier().alias("policy_csl_tier"),
         "policy_deductable", "policy_annual_premium", "customer_id",
@@ -171,14 +172,37 @@ def unsold_by_model_region(sales: DataFrame) -> DataFrame:
     ).orderBy(F.desc("max_days_unsold"), "car_model", "region")
 
 
-def premium_by_tier(policies: DataFrame, claims: DataFrame) -> DataFrame:
-    """Premiums and claim exposure per tier; claims are summed per policy before they join."""
+def claim_measures(claims: DataFrame) -> DataFrame:
+    """What the premium rollup needs of clean claims, before any join."""
+    amounts = [F.col(f"{part}_amount") for part in ("injury", "property", "vehicle")]
+    return claims.select(
+        "policy_id",
+        F.coalesce((F.col("claim_rejected") == "Y").cast("int"), F.lit(0)).alias("is_rejected"),
+        null_safe_sum(*amounts).alias("total_claim_amount"))
+
+
+def premium_by_tier(policies: DataFrame, claims: DataFrame, joined_before: bool = True
+                    ) -> DataFrame:
+    """Premiums and claim exposure per tier; claims are summed per policy before they join.
+
+    `claims` are fact rows, in which a claim appears once per policy row of its number; with
+    `joined_before` off they are `claim_measures`, and the rows per number are counted here, on
+    the policies' own shuffle.
+    """
     per_policy = claims.groupBy("policy_id").agg(
         m.rows().alias("claims"), F.sum("is_rejected").alias("rejected"),
-        m.exact_sum("total_claim_amount").alias("claimed"))
+        m.exact_sum("total_claim_amount").alias("claimed"),
+        m.rest_sum("total_claim_amount").alias("claimed_rest"))
+    copies = F.lit(1)
+    if not joined_before:
+        copies = F.col("_copies")
+        policies = policies.withColumn(
+            "_copies", F.count("policy_number").over(Window.partitionBy("policy_number")))
     joined = policies.join(per_policy, F.col("policy_number") == F.col("policy_id"), "left")
-    filed = F.coalesce(F.sum("claims"), F.lit(0))
-    rejected = F.coalesce(F.sum("rejected"), F.lit(0))
+    filed = F.coalesce(F.sum(F.col("claims") * copies), F.lit(0))
+    rejected = F.coalesce(F.sum(F.col("rejected") * copies), F.lit(0))
+    claimed = F.sum((F.col("claimed") * copies.cast("decimal(19,0)")).cast("decimal(38,9)"))
+    rest = F.sum(F.col("claimed_rest") * copies)
     return joined.groupBy("policy_csl", "policy_csl_tier").agg(
         m.rows().alias("policy_count"),
         m.money_mean("policy_annual_premium").alias("avg_annual_premium"),
@@ -187,6 +211,5 @@ def premium_by_tier(policies: DataFrame, claims: DataFrame) -> DataFrame:
         m.rounded_mean("umbrella_limit").alias("avg_umbrella_limit"),
         filed.alias("total_claims_filed"),
         m.percent(rejected, F.greatest(filed, F.lit(1))).alias("overall_rejection_rate_pct"),
-        F.coalesce(F.round(F.sum("claimed"), 2).cast("double"), F.lit(0.0))
-        .alias("total_claims_exposure"),
+        F.coalesce(m.money_total(claimed, rest), F.lit(0.0)).alias("total_claims_exposure"),
     ).orderBy("policy_csl")

@@ -170,12 +170,16 @@ def documents(policies: DataFrame, claims: DataFrame, customers: DataFrame) -> D
         return F.round(F.col(a).cast("double") / F.nullif(F.col(b), F.lit(0)), digits)
 
     def dollars(a: str) -> Column:
-        return F.round(a, 2).cast("double")
+        return m.money_total(F.col(a), F.col(f"{a}_rest"))
+
+    def mean_dollars(a: str) -> Column:
+        return m.money_ratio(F.col(a), F.col(f"{a}_rest"), n)
 
     limit = F.col("umbrella_limit")
     by_policy = _by_each(
         policies, ["policy_csl_tier", "policy_state", "policy_deductable"],
         n=m.rows(), premium=m.exact_sum("policy_annual_premium"),
+        premium_rest=m.rest_sum("policy_annual_premium"),
         covered=m.count_where(limit > 0), bare=m.count_where(limit == 0),
         limits=F.sum(F.when(limit > 0, limit)))
     policy_doc = _document(
@@ -183,7 +187,7 @@ def documents(policies: DataFrame, claims: DataFrame, customers: DataFrame) -> D
         total_policies=_total(n),
         by_tier=_rows_of("policy_csl_tier", [F.col("policy_csl_tier")],
                          policy_csl_tier=F.col("policy_csl_tier"), count=n,
-                         avg_premium=ratio("premium"),
+                         avg_premium=mean_dollars("premium"),
                          total_revenue=dollars("premium")),
         by_state=_rows_of("policy_state", [-n, F.col("policy_state")],
                           policy_state=F.col("policy_state"), count=n),
@@ -195,17 +199,18 @@ def documents(policies: DataFrame, claims: DataFrame, customers: DataFrame) -> D
     rate = m.percent(F.col("rejected"), n, 1)
     by_claim = _by_each(
         claims, ["incident_severity", "region", "policy_csl_tier"],
-        n=m.rows(), rejected=F.sum("is_rejected"), amount=m.exact_sum("total_claim_amount"))
+        n=m.rows(), rejected=F.sum("is_rejected"), amount=m.exact_sum("total_claim_amount"),
+        amount_rest=m.rest_sum("total_claim_amount"))
     claim_doc = _document(
         "claims_performance", "Claims performance summary", by_claim,
         total_claims=_total(n),
         overall=_total_object(
             total_rejected=F.col("rejected"), total_approved=n - F.col("rejected"),
             rejection_rate_pct=rate, total_exposure=dollars("amount"),
-            avg_claim_amount=ratio("amount")),
+            avg_claim_amount=mean_dollars("amount")),
         by_severity=_rows_of("incident_severity", [F.col("incident_severity")],
                              incident_severity=F.col("incident_severity"), count=n,
-                             rejected=F.col("rejected"), avg_amount=ratio("amount")),
+                             rejected=F.col("rejected"), avg_amount=mean_dollars("amount")),
         by_region=_rows_of("region", [-rate, F.col("region")], skip_null=True,
                            region=F.col("region"), count=n, rejected=F.col("rejected"),
                            rejection_rate=rate, total_exposure=dollars("amount")),

@@ -196,12 +196,15 @@ def join_preview(policy: DataFrame, customers: DataFrame, cars: DataFrame, k: in
 
     A left join keeps at least one row per policy, so the first k joined rows come from the
     first k policies. They are picked before joining; k keys then narrow the other two tables
-    by a semi join, and neither of them is shuffled whole.
+    by a semi join, and neither of them is shuffled whole. All columns take part in the order:
+    policies of one number may be picked several times over in a plan, and it is always the same
+    ones.
     """
-    order = F.col("policy_number").asc_nulls_last()
-    first = policy.select("policy_number", "policy_bind_date", "policy_state",
-                          "policy_annual_premium", "customer_id", "car_id"
-                          ).orderBy(order).limit(k)
+    columns = ["policy_bind_date", "policy_state", "policy_annual_premium", "customer_id",
+               "car_id"]
+    order = [F.col("policy_number").asc_nulls_last(),
+             *[F.col(c).asc_nulls_last() for c in columns]]
+    first = policy.select("policy_number", *columns).orderBy(*order).limit(k)
     holders = customers.where(F.col(SOURCE) == fixed.MASTER_SOURCE).select(
         F.col("CustomerID").alias("customer_id"), F.col("Region").alias("region"),
         F.col("State").alias("state"), F.col("City").alias("city"), F.col("Job").alias("job"),
@@ -216,7 +219,8 @@ def join_preview(policy: DataFrame, customers: DataFrame, cars: DataFrame, k: in
     return (
         first.join(narrowed(holders, "customer_id"), "customer_id", "left")
         .join(narrowed(models, "car_id"), "car_id", "left")
-        .orderBy(order, "customer_id", "car_id").limit(k)
+        .orderBy(*order, "region", "state", "city", "job", "marital", "education", "car_name",
+                 "model", "fuel", "transmission").limit(k)
     )
 
 

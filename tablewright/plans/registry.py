@@ -109,7 +109,8 @@ def queries() -> dict[str, Query]:
         lambda x: gold.customers_by_region(x.dim_customer))
     registry["rollup_unsold_aging"] = on(lambda x: gold.unsold_by_model_region(x.fact_sales))
     registry["rollup_premium_by_tier"] = on(
-        lambda x: gold.premium_by_tier(x.dim_policy, x.fact_claims))
+        lambda x: gold.premium_by_tier(x.dim_policy, gold.claim_measures(x.clean("claims")),
+                                       joined_before=False))
     registry["gold_row_counts"] = on(_gold_sizes)
 
     # profiling of the raw tables
@@ -205,6 +206,7 @@ def queries() -> dict[str, Query]:
 
     # retrieval
     registry["topk_l2"] = showcase.topk
+    registry["topk_l2_all"] = showcase.nearest_to_all
     registry["retrieval_log"] = showcase.retrieval_log
     registry["retrieval_answer"] = on(showcase.retrieval_answer)
     registry["doc_text"] = on(lambda x: retrieval.policy_documents(x.dim_policy))

@@ -46,11 +46,14 @@ def embed(documents: DataFrame, text_column: str, encode: Encoder,
           output: str = "embedding") -> DataFrame:
     """Add an embedding column from a caller-supplied `encode(list[str]) -> list[list[float]]`.
 
-    Runs on the executors in Arrow batches; the library ships no encoder.
+    Runs on the executors in Arrow batches; the library ships no encoder. A NULL text has no
+    vector.
     """
     @F.pandas_udf("array<float>")
     def encoded(texts: pd.Series) -> pd.Series:
-        return pd.Series([[float(x) for x in vector] for vector in encode(list(texts))])
+        known = texts.dropna()
+        vectors = [[float(x) for x in vector] for vector in encode(list(known))]
+        return pd.Series(vectors, index=known.index, dtype=object).reindex(texts.index)
 
     return documents.withColumn(output, encoded(F.col(text_column)))
 
@@ -66,19 +69,14 @@ def answer(questions: DataFrame, documents: DataFrame, fn: enrich.Generator, mod
     """Retrieve, assemble context, generate an answer and log what was used, per question.
 
     `questions` has query_id, question, query_type, embedding; `documents` has policy_number,
-    document, embedding. Output: the retrieval history table. Every question costs a call of
-    the generator, so a batch is held to MAX_QUERIES questions.
+    document, embedding. Output: the retrieval history table, for any number of questions.
     """
-    if questions.limit(retrieve.MAX_QUERIES + 1).count() > retrieve.MAX_QUERIES:
-        raise ValueError(f"at most {retrieve.MAX_QUERIES} questions per batch")
     hits = retrieve.topk_l2(
         questions.select("query_id", "embedding"),
         documents.select("policy_number", "embedding"), "query_id", "policy_number",
         "embedding", k)
-    # k rows per question pick their texts. That is a bounded list, so it goes to the corpus
-    # and not the corpus to it.
-    with_text = documents.select("policy_number", "document").join(
-        F.broadcast(hits), "policy_number")
+    # k rows per question pick their texts; Spark broadcasts them if they are few.
+    with_text = documents.select("policy_number", "document").join(hits, "policy_number")
     context = retrieve.assemble_context(
         with_text.withColumn("_label", F.concat(F.lit("Policy "), "policy_number")),
         "query_id", "_label", "document")

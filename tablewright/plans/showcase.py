@@ -267,20 +267,37 @@ def quote_passages(prompt: str) -> str:
     return prompt.split("Passages: ", 1)[1].rsplit(" Question: ", 1)[0]
 
 
+# Characters whose counts make up a vector.
+COUNTED = "0123456789aeinorst"
+
+
+def character_counts(texts: list[str]) -> list[list[float]]:
+    """Encoder without a model: how often each of a few characters occurs."""
+    return [[float(text.count(c)) for c in COUNTED] for text in texts]
+
+
+def nearest_to_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding asked against all of them."""
+    vectors = raw.read(spark, sf_dir, "embeddings")
+    asked = vectors.select(F.col("vec_id").alias("query_id"), "embedding")
+    return retrieve.topk_l2(asked, vectors, "query_id", "vec_id", "embedding",
+                            fixed.TOP_K).select(
+        "query_id", "vec_id", "rank", F.round("distance", 6).alias("distance"))
+
+
 def retrieval_answer(layers: Layers) -> DataFrame:
-    """Questions answered over policy documents; embeddings are matched by policy number."""
+    """Questions answered over the documents of all policies."""
     spark, sf_dir = layers.spark, layers.sf_dir
-    vectors = raw.read(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("policy_number"), "embedding")
-    documents = retrieval.policy_documents(layers.dim_policy).join(vectors, "policy_number")
+    documents = retrieval.embed(retrieval.policy_documents(layers.dim_policy), "document",
+                                character_counts)
     types = F.array(*map(F.lit, fixed.QUERY_TYPES))
-    asked = questions(spark, sf_dir).select(
-        "query_id", "embedding",
+    asked = retrieval.embed(questions(spark, sf_dir).select(
+        "query_id",
         F.concat(F.lit("Which policies resemble "), F.col("query_id").cast("string"),
                  F.lit("?")).alias("question"),
         F.get(types, F.pmod("query_id", F.lit(len(fixed.QUERY_TYPES))).cast("int"))
-        .alias("query_type"))
-    return retrieval.answer(asked, documents, quote_passages, "template", "given").drop(
+        .alias("query_type")), "question", character_counts)
+    return retrieval.answer(asked, documents, quote_passages, "template", "counts").drop(
         "generated_at")
 
 

@@ -60,10 +60,17 @@ def harmonized_customers(raw: DataFrame) -> DataFrame:
 
 
 def customers(raw: DataFrame) -> DataFrame:
-    """Harmonized and reduced to one row per customer: the master file wins, then file order."""
+    """Harmonized and reduced to one row per customer: the master file wins, then file order.
+
+    Rows of one customer in one file are ordered by their values, so that the choice is fixed.
+    """
+    harmonized = harmonized_customers(raw)
     from_master = F.col(fixed.SOURCE_FILE).contains(fixed.MASTER_SOURCE)
-    order = [F.when(from_master, 0).otherwise(1), F.col(fixed.SOURCE_FILE)]
-    return quality.keep_first(harmonized_customers(raw), "customer_id", order)
+    values = [c for c in harmonized.columns
+              if c not in ("customer_id", fixed.SOURCE_FILE, fixed.LOAD_TIMESTAMP)]
+    order = [F.when(from_master, 0).otherwise(1), F.col(fixed.SOURCE_FILE),
+             *[F.col(c) for c in values]]
+    return quality.keep_first(harmonized, "customer_id", order)
 
 
 def claims(raw: DataFrame) -> DataFrame:
@@ -115,7 +122,7 @@ def sales(raw: DataFrame, as_of: str | None = None) -> DataFrame:
     placed = fn.as_timestamp(F.col("ad_placed_on"), fixed.MINUTE_FORMAT)
     sold = fn.as_timestamp(F.col("sold_on"), fixed.MINUTE_FORMAT)
     return harmonize.shape(quality.usable_rows(raw, SALES_COLUMNS), {
-        "sales_id": fn.as_int(F.col("sales_id")),
+        "sales_id": F.col("sales_id").try_cast("bigint"),
         "ad_placed_on": placed,
         "sold_on": sold,
         "original_selling_price": fn.as_double(F.col("original_selling_price")),

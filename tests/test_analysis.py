@@ -1,4 +1,5 @@
 import json
+import re
 
 import numpy as np
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import joins, profile, retrieve
 from tablewright.operators.quantile import exact_quantile
+from tablewright.plans import fixed_values as fixed
 from tablewright.plans import gold, kpi
 
 
@@ -108,10 +110,10 @@ def brute_force(queries, corpus, k):
     return out
 
 
-@pytest.mark.parametrize("bound", [1024, 4])
+@pytest.mark.parametrize("bound", [4096, 7])
 def test_topk_against_brute_force(spark, monkeypatch, bound):
-    """Held queries and queries in passes give the same, with many ties among the distances."""
-    monkeypatch.setattr(retrieve, "MAX_QUERIES", bound)
+    """Large blocks and small ones give the same, with many ties among the distances."""
+    monkeypatch.setattr(retrieve, "BLOCK", bound)
     monkeypatch.setattr(retrieve, "QUERY_BLOCK", 4)
     rng = np.random.default_rng(3)
     corpus = [(i, [float(x) for x in rng.integers(0, 4, 5)]) for i in range(200)]
@@ -146,11 +148,21 @@ def test_topk_of_a_small_corpus(spark):
                             "v", 5).count() == 0
 
 
-def test_vectors_of_another_length_are_refused(spark):
-    corpus = spark.createDataFrame([(1, [0.0, 1.0]), (2, [1.0])], "id long, v array<float>")
-    queries = spark.createDataFrame([(1, [0.0, 1.0])], "q long, v array<float>")
-    with pytest.raises(Exception, match="all vectors must have"):
-        retrieve.topk_l2(queries, corpus, "q", "id", "v", 2).collect()
+def test_one_rule_for_bad_vectors_and_any_number_of_questions(spark):
+    """NULL vectors, NULL and infinite elements and other lengths take no part."""
+    nan, inf = float("nan"), float("inf")
+    corpus = spark.createDataFrame(
+        [(1, [0.0, 1.0]), (2, [1.0]), (3, None), (4, [0.0, None]), (5, [nan, 0.0]),
+         (6, [inf, 0.0]), (7, []), (8, [5.0, 5.0])], "id long, v array<double>")
+    good = [(i, [float(i % 7), 1.0]) for i in range(3000)]
+    bad = [(10_000, None), (10_001, [None, 1.0]), (10_002, [nan, 1.0]), (10_003, [])]
+    short = [(20_000, [1.0])]
+    for some in (good[:1], good):
+        queries = spark.createDataFrame(some + bad + short, "q long, v array<double>")
+        got = {}
+        for r in retrieve.topk_l2(queries, corpus, "q", "id", "v", 2).collect():
+            got.setdefault(r.q, set()).add(r.id)
+        assert got == {**{q: {1, 8} for q, _ in some}, 20_000: {2}}
 
 
 def test_log_and_context(spark):
@@ -172,6 +184,73 @@ def test_fixed_calendar(spark):
     assert days.where("is_weekend = 1 AND day_name NOT IN ('Saturday','Sunday')").count() == 0
 
 
+def scans(df, column):
+    """Scans in the plan that read a column."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return len(re.findall(rf"Relation \[[^\]]*\b{column}#", plan))
+
+
+def test_rollups_join_what_they_use(layers):
+    severity = gold.severity_breakdown(layers.fact_claims)
+    for df in (severity, kpi.claims_overall(layers.fact_claims),
+               kpi.claims_by_severity(layers.fact_claims), kpi.claims_by_tier(layers.fact_claims)):
+        assert scans(df, "c_custkey") == 0 and scans(df, "o_orderkey") == 1
+    lean = gold.premium_by_tier(layers.dim_policy, gold.claim_measures(layers.clean("claims")),
+                                joined_before=False)
+    assert scans(lean, "o_orderkey") == 1 and scans(lean, "c_custkey") == 0
+    assert lean.collect() == gold.premium_by_tier(layers.dim_policy, layers.fact_claims).collect()
+
+
+def test_premiums_when_policy_numbers_repeat(spark):
+    policy = spark.createDataFrame(
+        [(1, "100/300", "Low", 500, 10.0, 0), (1, "100/300", "Low", 500, 20.0, 0),
+         (2, "100/300", "Low", 500, 30.0, 0), (None, "100/300", "Low", 500, 1.0, 0)],
+        "policy_number long, policy_csl string, policy_csl_tier string, policy_deductable int, "
+        "policy_annual_premium double, umbrella_limit int")
+    claims = spark.createDataFrame(
+        [(1, 1, 5.0), (1, 0, 6.0), (2, 0, 2e16), (None, 1, 7.0)],
+        "policy_id long, is_rejected int, total_claim_amount double")
+    fact = claims.join(policy.select("policy_number"),
+                       F.col("policy_id") == F.col("policy_number"), "left").drop("policy_number")
+    lean = gold.premium_by_tier(policy, claims, joined_before=False).collect()
+    assert lean == gold.premium_by_tier(policy, fact).collect()
+    assert lean[0].total_claims_filed == 9 and lean[0].total_claims_exposure == 2e16 + 44
+
+
+def test_calibration_reads_claims_three_times(layers):
+    from tablewright.plans import scoring
+    claims = layers.clean("claims")
+    scored = scoring.score(claims, scoring.computed_statistics(claims))
+    assert scans(scored, "l_orderkey") <= 4
+
+
+def test_preview_of_tied_policies_keeps_holders_and_cars(spark):
+    from tablewright.plans import profiling
+    n = 200
+    policy = spark.range(n).repartition(8).select(
+        F.lit(1).cast("long").alias("policy_number"), F.lit("2000-01-01").alias("policy_bind_date"),
+        F.lit("S").alias("policy_state"), F.lit("1").alias("policy_annual_premium"),
+        F.col("id").alias("customer_id"), F.col("id").alias("car_id"))
+    customers = spark.range(n).select(
+        F.lit(fixed.MASTER_SOURCE).alias(fixed.SOURCE_FILE), F.col("id").alias("CustomerID"),
+        *[F.lit("x").alias(c) for c in ("Region", "State", "City", "Job", "Marital", "Education")])
+    cars = spark.range(n).select(F.col("id").alias("car_id"), *[
+        F.lit("y").alias(c) for c in ("name", "model", "fuel", "transmission")])
+    rows = profiling.join_preview(policy, customers, cars).collect()
+    assert len(rows) == 100 and all(r.region == "x" and r.car_name == "y" for r in rows)
+
+
+def test_orphans_with_a_hot_key(spark):
+    from tablewright.operators import joins
+    left = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    right = spark.range(0, 30_000, 2).select(F.col("id").alias("r")).unionByName(
+        spark.createDataFrame([(None,), (4,), (4,)], "r long"))
+    got = joins.orphans(left.unionByName(spark.createDataFrame([(None, 1)], "k long, id long")),
+                        right, "k", "r")
+    assert got.count() == 30_000 - 10_000 + 1
+
+
 def test_facts_keep_their_grain(layers):
     assert layers.fact_claims.count() == layers.clean("claims").count()
     assert layers.fact_sales.count() == layers.clean("sales").count()
