@@ -22,6 +22,7 @@ PIECE = 1 << 20                # characters counted at a time
 SAMPLE = 3000                  # learning rows at most, about; an equal share for each language
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.01
+LEAST_ASIDE = 20               # rows below which the temperature stays 1
 UNKNOWN = "und"
 
 _tables: dict[str, np.ndarray] = {}
@@ -168,7 +169,7 @@ def fit(samples: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
     learn = np.flatnonzero(~aside)
     weights = _ftrl([rows[i] for i in learn], labels[learn], len(languages))
     temperature = 1.0
-    if aside.any() and len(languages) > 1:
+    if aside.sum() >= LEAST_ASIDE and len(languages) > 1:
         scores = np.stack([rows[i][1] @ weights[rows[i][0]] for i in np.flatnonzero(aside)])
         temperature = _temperature(scores, labels[aside])
     return Model(languages, idf, weights, temperature)
