@@ -974,3 +974,18 @@ SELECT issue_id, table_name, column_name, severity, affected_records, ai_explana
 FINAL["scored_view"] = """
 SELECT incident_severity, count(*) AS high_claims, max(anomaly_score) AS max_score
 FROM tiered WHERE priority_tier = 'HIGH' GROUP BY incident_severity"""
+
+
+# ----------------------------------------------------------------- landing with the defaults
+def _arrived(table: str, source: str, key: str, rescued: str = "0") -> str:
+    return (f"SELECT '{table}' AS table_name, count(*) AS row_count, count({key}) AS keyed_rows, "
+            f"count(DISTINCT {key}) AS distinct_keys, CAST({rescued} AS BIGINT) AS rescued_rows "
+            f"FROM {source}")
+
+
+FINAL["ingest_defaults"] = "\nUNION ALL ".join([
+    _arrived("customers", "customers_raw", "COALESCE(CustomerID, Customer_ID, cust_id)"),
+    _arrived("claims", "claims_raw", "ClaimID"),
+    _arrived("policy", "policy_raw", "policy_number", "count_if(policy_number % 97 = 0)"),
+    _arrived("sales", "sales_raw", "sales_id"),
+    _arrived("cars", "cars_raw", "car_id")])

@@ -1,7 +1,7 @@
 """Names, word lists, limits, patterns and formats that results depend on.
 
-Everything here is data. The operators take these values as parameters; none of them is
-hard-wired elsewhere in the library.
+Everything here is data, and the operators take these values as parameters. Column lists of
+tables are next to the code that builds them.
 """
 
 # ---------------------------------------------------------------- ingest (fixed values)
@@ -24,13 +24,27 @@ CUSTOMER_VARIANTS = {
     "marital": ["Marital", "Marital_status"],
     "education": ["Education", "Edu"],
 }
+# Columns that each customer file has, by file, and those that all have.
+CUSTOMER_HEADERS = {
+    "customers_1": ["CustomerID", "Reg", "City", "Marital_status", "Education", "HHInsurance"],
+    "customers_2": ["Customer_ID", "Region", "City_in_state", "Job", "Edu"],
+    "customers_3": ["cust_id", "Region", "City", "Job", "Marital", "Education", "HHInsurance"],
+    "customers_4": ["CustomerID", "Region", "City", "Job", "Marital", "HHInsurance"],
+    "customers_5": ["CustomerID", "Region", "City", "Job", "Marital", "Education",
+                    "HHInsurance"],
+    "customers_6": ["CustomerID", "Region", "City", "Job", "Marital_status", "Education",
+                    "HHInsurance"],
+    "customers_7": ["CustomerID", "Region", "City", "Job", "Marital", "Education",
+                    "HHInsurance"],
+}
+CUSTOMER_COMMON = ["State", "Default", "Balance", "CarLoan"]
 REGION_CODES = {"E": "East", "W": "West", "C": "Central", "S": "South"}
 MARITAL_VALUES = ["single", "married", "divorced"]
 EDUCATION_VALUES = ["primary", "secondary", "tertiary", "NA"]
 EDUCATION_TYPOS = {"terto": "tertiary"}
 MASTER_SOURCE = "customers_7"
 
-# ---------------------------------------------------------------- sentinels, patterns
+# ---------------------------------------------------------------- sentinels, patterns (fixed values)
 AMOUNT_SENTINELS = ["NULL", ""]
 UNKNOWN_SENTINELS = ["?"]
 NUMBER_PATTERN = r"([\d.]+)"
@@ -38,7 +52,7 @@ EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 DATE_FORMAT = "yyyy-MM-dd"
 MINUTE_FORMAT = "dd-MM-yyyy HH:mm"
 
-# ---------------------------------------------------------------- row rules
+# ---------------------------------------------------------------- row rules (fixed values)
 # (rule name, column, predicate that a good row satisfies, reason when it does not)
 CUSTOMER_RULES = [
     ("valid_customer_id", "customer_id", "customer_id IS NOT NULL", "null customer_id"),
@@ -79,17 +93,17 @@ CAR_RULES = [
     ("valid_seats", "seats", "seats > 0", "invalid seats"),
 ]
 
-# ---------------------------------------------------------------- coverage tiers
+# ---------------------------------------------------------------- coverage tiers (fixed values)
 CSL_TIERS = {"100/300": "Low", "250/500": "Medium", "500/1000": "High"}
 CSL_TIER_DEFAULT = "Unknown"
 
-# ---------------------------------------------------------------- calendar
+# ---------------------------------------------------------------- calendar (fixed values)
 CALENDAR_START = "2010-01-01"
 CALENDAR_DAYS = 4018
 DATE_KEY_FORMAT = "yyyyMMdd"
 WEEKEND_DAYS = [1, 7]
 
-# ---------------------------------------------------------------- claim scoring
+# ---------------------------------------------------------------- claim scoring (fixed values)
 AMOUNT_MEAN = 12652.40
 AMOUNT_STD = 10743.84
 AMOUNT_P95 = 35665.0
@@ -123,7 +137,7 @@ SCORE_RULES = [
     ]),
 ]
 
-# ---------------------------------------------------------------- generation and retrieval
+# ---------------------------------------------------------------- generation, retrieval (fixed values)
 STATUS_SUCCESS = "success"
 STATUS_FAILED = "failed"
 STATUS_NOT_FLAGGED = "not_flagged"

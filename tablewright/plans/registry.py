@@ -221,6 +221,7 @@ def queries() -> dict[str, Query]:
     registry["ingest_stream"] = on(showcase.ingest_stream)
     registry["ingest_rescued"] = on(showcase.ingest_rescued)
     registry["ingest_json"] = on(showcase.ingest_json)
+    registry["ingest_defaults"] = on(showcase.ingest_defaults)
     registry["ingest_batch_typed"] = on(showcase.ingest_typed)
     registry["publish_table"] = on(showcase.publish_table)
     registry["publish_metadata"] = on(showcase.publish_metadata)

@@ -7,6 +7,7 @@ of the session.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,27 +22,11 @@ from . import fixed_values as fixed
 from . import kpi, profiling, raw, retrieval, scoring, silver
 from .layers import Layers
 
-# Columns each customer file really has.
-_COMMON = ["State", "Default", "Balance", "CarLoan"]
-CUSTOMER_HEADERS = {
-    "customers_1": ["CustomerID", "Reg", "City", "Marital_status", "Education", "HHInsurance"],
-    "customers_2": ["Customer_ID", "Region", "City_in_state", "Job", "Edu"],
-    "customers_3": ["cust_id", "Region", "City", "Job", "Marital", "Education", "HHInsurance"],
-    "customers_4": ["CustomerID", "Region", "City", "Job", "Marital", "HHInsurance"],
-    "customers_5": ["CustomerID", "Region", "City", "Job", "Marital", "Education",
-                    "HHInsurance"],
-    "customers_6": ["CustomerID", "Region", "City", "Job", "Marital_status", "Education",
-                    "HHInsurance"],
-    "customers_7": ["CustomerID", "Region", "City", "Job", "Marital", "Education",
-                    "HHInsurance"],
-}
-
-
 def land_customers(customers: DataFrame, root: str) -> None:
     """Write the stacked customers back as CSV files, each source under its own header."""
-    for depth, (source, columns) in enumerate(CUSTOMER_HEADERS.items()):
+    for depth, (source, columns) in enumerate(fixed.CUSTOMER_HEADERS.items()):
         folder = f"{root}/unit {depth}/{source}" if depth else f"{root}/{source}"
-        customers.where(F.col(fixed.SOURCE_FILE) == source).select(*columns, *_COMMON) \
+        customers.where(F.col(fixed.SOURCE_FILE) == source).select(*columns, *fixed.CUSTOMER_COMMON) \
             .write.option("header", "true").csv(folder)
 
 
@@ -108,6 +93,86 @@ def landing_to_gold(layers: Layers) -> DataFrame:
     return spark.table(f"{schema}.agg_claim_rejection_by_policy_region")
 
 
+def _rename_parts(spark: SparkSession, folder: str, name: str) -> None:
+    """Give the data files of a written folder a landing name; `{n}` in it is their number."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    system = jvm_path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted(status.getPath().getName() for status in system.listStatus(jvm_path(folder))
+                   if status.getPath().getName().startswith("part-"))
+    for n, part in enumerate(parts):
+        target = jvm_path(f"{folder}/{name.replace('{n}', str(n))}")
+        system.mkdirs(target.getParent())
+        system.rename(jvm_path(f"{folder}/{part}"), target)
+
+
+def _write_raw_csv(df: DataFrame, columns: list[str], folder: str, extra: str) -> None:
+    """CSV files in which each record has one value more than the header has names."""
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    lines = df.select(F.concat_ws(",", *values, F.lit(extra)).alias(",".join(columns)))
+    # One column, whose name is the header; with another separator commas are plain text.
+    lines.write.option("header", "true").option("sep", "\u0001").csv(folder)
+
+
+def ingest_defaults(layers: Layers) -> DataFrame:
+    """Land all five sources under their own names, ingest them with the default globs and
+    formats, and count what arrived: rows, keys, rows with rescued data.
+
+    Among the files are line-delimited JSON and arrays, over-long records, a header of more than
+    64 KiB and names with brackets.
+    """
+    from . import bronze
+
+    spark = layers.spark
+    base = shared_folder(spark, "ingest-defaults")
+    land = f"{base}/landing"
+
+    customers = layers.raw("customers")
+    for source, columns in fixed.CUSTOMER_HEADERS.items():
+        folder = f"{land}/{source}"
+        rows = customers.where(F.col(fixed.SOURCE_FILE) == source).select(
+            *columns, *fixed.CUSTOMER_COMMON)
+        if source == "customers_2":
+            rows = rows.withColumns({f"{'wide' * 750}_{i}": F.lit("") for i in range(30)})
+        rows.write.option("header", "true").csv(folder)
+        _rename_parts(spark, folder, f"{source}-{{n}}.csv")
+
+    claims = layers.raw("claims").drop(fixed.SOURCE_FILE)
+    claims.where("ClaimID % 2 = 0").write.json(f"{land}/lines")
+    _rename_parts(spark, f"{land}/lines", "claims_{n}.json")
+    claims.where("ClaimID % 2 = 1").select(
+        F.concat(F.lit("["), F.to_json(F.struct("*")), F.lit("]"))).write.text(f"{land}/arrays")
+    _rename_parts(spark, f"{land}/arrays", "claims_[{n}].json")
+
+    policy = layers.raw("policy").drop(fixed.SOURCE_FILE)
+    overlong = F.coalesce(F.col("policy_number") % 97 == 0, F.lit(False))
+    policy.where(~overlong).write.option("header", "true").csv(f"{land}/policy")
+    _rename_parts(spark, f"{land}/policy", "{n}/policy.csv")
+    _write_raw_csv(policy.where(overlong), policy.columns, f"{land}/overlong", "beyond")
+    _rename_parts(spark, f"{land}/overlong", "{n}/policy.csv")
+
+    sales = layers.raw("sales")
+    for source, name in (("sales_1", "sales_1-{n}.csv"), ("sales_2", "Sales_[2]-{n}.csv"),
+                         ("sales_4", "new sales_4-{n}.csv")):
+        sales.where(F.col(fixed.SOURCE_FILE) == source).drop(fixed.SOURCE_FILE).write.option(
+            "header", "true").csv(f"{land}/{source}")
+        _rename_parts(spark, f"{land}/{source}", name)
+    layers.raw("cars").drop(fixed.SOURCE_FILE).write.option("header", "true").csv(f"{land}/cars")
+    _rename_parts(spark, f"{land}/cars", "{n}/cars.csv")
+
+    tables_in = bronze.ingest_all(spark, land, f"{base}/bronze")
+    keys = {"customers": F.coalesce("CustomerID", "Customer_ID", "cust_id"),
+            "claims": F.col("ClaimID"), "policy": F.col("policy_number"),
+            "sales": F.col("sales_id"), "cars": F.col("car_id")}
+    return reduce(DataFrame.unionByName, [
+        tables_in[table].agg(
+            F.count(F.lit(1)).alias("row_count"), F.count(key).alias("keyed_rows"),
+            F.count_distinct(key).alias("distinct_keys"),
+            F.count(fixed.RESCUED).alias("rescued_rows"),
+        ).select(F.lit(table).alias("table_name"), "row_count", "keyed_rows", "distinct_keys",
+                 "rescued_rows")
+        for table, key in keys.items()])
+
+
 def batch_tables(layers: Layers) -> DataFrame:
     """Load CSV and JSON files as tables with inferred types; count their rows."""
     from ..operators.profile import row_counts
