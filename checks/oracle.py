@@ -391,7 +391,8 @@ SELECT claim_id, 'Prepare an investigation brief for claim ' || claim_id || ' un
   || authorities_contacted || '. Risk score ' || anomaly_score || '/100 (' || priority_tier
   || '), triggered by: ' || triggered_rules
   || '. State what is suspicious, the risk factors in this claim''s own numbers, and the next '
-  || 'steps for the adjuster.' AS prompt
+  || 'steps for the adjuster. Answer in three sections: Suspicious Findings, Risk Factors, '
+  || 'Recommended Actions.' AS prompt
 FROM tiered WHERE priority_tier IN ('HIGH', 'MEDIUM')"""
 CTES["policy_docs"] = """
 SELECT policy_number, 'Policy ' || policy_number || ' is a ' || policy_csl_tier
@@ -787,6 +788,13 @@ FROM tiered"""
 FINAL["generation_status"] = """
 SELECT CASE WHEN priority_tier <> 'LOW' THEN 'success' ELSE 'not_flagged' END AS generation_status,
   count(*) AS cnt FROM tiered GROUP BY 1"""
+FINAL["generation_failures"] = """
+SELECT priority_tier, generation_status, CASE WHEN generation_status <> 'not_flagged' THEN 'refusing' END AS model_name,
+  count(*) AS row_count, CAST(count_if(generation_status = 'failed') AS BIGINT) AS error_texts
+FROM (SELECT priority_tier, CASE WHEN priority_tier = 'LOW' THEN 'not_flagged'
+        WHEN incident_severity = 'Trivial Damage' THEN 'failed' ELSE 'success' END AS generation_status
+      FROM tiered)
+GROUP BY priority_tier, generation_status"""
 FINAL["issue_report"] = """
 SELECT m.issue_id, m.table_name, m.column_name, m.rule_name, m.issue_type, m.severity,
   c.affected_records, c.total_records,
@@ -894,6 +902,7 @@ SELECT CAST(car_id AS INT) AS car_id, name, CAST(km_driven AS INT) AS km_driven,
 FINAL["publish_table"] = "SELECT * FROM dim_policy"
 
 _PIPELINE = {
+    "dim_date": "SELECT 4018",
     **{t: f"SELECT count(*) FROM {t}_clean" for t in
        ("customers", "claims", "policy", "sales", "cars")},
     **{f"{t}_failed": f"SELECT count(*) FROM {t}_failed" for t in
@@ -914,53 +923,61 @@ FINAL["stored_pipeline"] = "\nUNION ALL ".join(
     f"SELECT '{name}' AS table_name, ({count}) AS row_count" for name, count in _PIPELINE.items())
 
 
-def _figure(domain: str, figure: str, value: str) -> str:
-    return (f"SELECT '{domain}' AS domain_name, '{figure}' AS figure, "
-            f"CAST(({value}) AS DOUBLE) AS value")
-
-
 def _half_up(value: str, digits: int) -> str:
     return f"round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 14)), {digits})"
 
 
 _P, _C, _K = "policy_portfolio", "claims_performance", "customer_profile"
 _REJECTED = "CAST(sum(is_rejected) AS DOUBLE) * 100.0 / count(*)"
+_PREMIUMS = "CAST(sum(CAST(policy_annual_premium AS DECIMAL(20, 4))) AS DOUBLE)"
+_CLAIMED = "CAST(sum(CAST(total_claim_amount AS DECIMAL(20, 4))) AS DOUBLE)"
+
+
+def _figures(domain: str, section: str, source: str, member: str | None, **measures: str) -> str:
+    """Rows (domain, section, member, measure, value) of one section: one per group and measure."""
+    columns = ", ".join(f"CAST({sql} AS DOUBLE) AS m{i}" for i, sql in enumerate(measures.values()))
+    grouped = f"SELECT {member or 'NULL'} AS g, {columns} FROM {source}" + (
+        f" GROUP BY {member}" if member else "")
+    return "\nUNION ALL ".join(
+        f"SELECT '{domain}' AS domain_name, '{section}' AS section, CAST(g AS VARCHAR) AS member, "
+        f"'{name}' AS measure, m{i} AS value FROM ({grouped}) t"
+        for i, name in enumerate(measures))
+
+
+_N = {"count": "count(*)"}
+_RATE_1 = _half_up(_REJECTED, 1)
+_BALANCE = _half_up("CAST(sum(balance) AS DOUBLE) / count(balance)", 2)
+_KNOWN = "(SELECT * FROM {0} WHERE {1} IS NOT NULL) s"
 FINAL["kpi_document_figures"] = "\nUNION ALL ".join([
-    _figure(_P, "total_policies", "SELECT count(*) FROM dim_policy"),
-    _figure(_P, "umbrella.with_umbrella", "SELECT count_if(umbrella_limit > 0) FROM dim_policy"),
-    _figure(_P, "umbrella.without_umbrella",
-            "SELECT count_if(umbrella_limit = 0) FROM dim_policy"),
-    _figure(_P, "by_tier[0].avg_premium",
-            f"SELECT {_half_up('CAST(sum(CAST(policy_annual_premium AS DECIMAL(20, 4))) AS DOUBLE) / count(policy_annual_premium)', 2)} FROM dim_policy "
-            "WHERE policy_csl_tier = (SELECT min(policy_csl_tier) FROM dim_policy)"),
-    _figure(_P, "by_state[0].count",
-            "SELECT max(n) FROM (SELECT count(*) AS n FROM dim_policy GROUP BY policy_state)"),
-    _figure(_P, "by_deductible[0].count",
-            "SELECT count(*) FROM dim_policy WHERE policy_deductable = "
-            "(SELECT min(policy_deductable) FROM dim_policy)"),
-    _figure(_C, "total_claims", "SELECT count(*) FROM fact_claims"),
-    _figure(_C, "overall.total_rejected", "SELECT sum(is_rejected) FROM fact_claims"),
-    _figure(_C, "overall.rejection_rate_pct",
-            f"SELECT {_half_up(_REJECTED, 1)} FROM fact_claims"),
-    _figure(_C, "overall.avg_claim_amount",
-            f"SELECT {_half_up('CAST(sum(CAST(total_claim_amount AS DECIMAL(20, 4))) AS DOUBLE) / count(total_claim_amount)', 2)} FROM fact_claims"),
-    _figure(_C, "by_severity[0].rejected",
-            "SELECT sum(is_rejected) FROM fact_claims WHERE incident_severity = "
-            "(SELECT min(incident_severity) FROM fact_claims)"),
-    _figure(_C, "by_region[0].rejection_rate",
-            f"SELECT max(r) FROM (SELECT {_half_up(_REJECTED, 1)} AS r FROM fact_claims "
-            "WHERE region IS NOT NULL GROUP BY region)"),
-    _figure(_C, "by_coverage_tier[0].count",
-            "SELECT count(*) FROM fact_claims WHERE policy_csl_tier = "
-            "(SELECT min(policy_csl_tier) FROM fact_claims)"),
-    _figure(_K, "total_customers", "SELECT count(*) FROM dim_customer"),
-    _figure(_K, "risk_indicators.customers_with_default",
-            "SELECT sum(default_flag) FROM dim_customer"),
-    _figure(_K, "risk_indicators.avg_balance",
-            f"SELECT {_half_up('avg(balance)', 2)} FROM dim_customer"),
-    *[_figure(_K, f"by_{c}[0].count",
-              f"SELECT max(n) FROM (SELECT count(*) AS n FROM dim_customer "
-              f"WHERE {c} IS NOT NULL GROUP BY {c})") for c in ("region", "education", "marital")],
+    _figures(_P, "total_policies", "dim_policy", None, value="count(*)"),
+    _figures(_P, "by_tier", "dim_policy", "policy_csl_tier", **_N,
+             avg_premium=_half_up(f"{_PREMIUMS} / count(*)", 2),
+             total_revenue=_half_up(_PREMIUMS, 2)),
+    _figures(_P, "by_state", "dim_policy", "policy_state", **_N),
+    _figures(_P, "umbrella", "dim_policy", None, with_umbrella="count_if(umbrella_limit > 0)",
+             without_umbrella="count_if(umbrella_limit = 0)",
+             avg_umbrella_amount="round(avg(CASE WHEN umbrella_limit > 0 THEN umbrella_limit END))"),
+    _figures(_P, "by_deductible", "dim_policy", "policy_deductable", **_N),
+    _figures(_C, "total_claims", "fact_claims", None, value="count(*)"),
+    _figures(_C, "overall", "fact_claims", None, total_rejected="sum(is_rejected)",
+             total_approved="count(*) - sum(is_rejected)", rejection_rate_pct=_RATE_1,
+             total_exposure=_half_up(_CLAIMED, 2),
+             avg_claim_amount=_half_up(f"{_CLAIMED} / count(*)", 2)),
+    _figures(_C, "by_severity", "fact_claims", "incident_severity", **_N,
+             rejected="sum(is_rejected)", avg_amount=_half_up(f"{_CLAIMED} / count(*)", 2)),
+    _figures(_C, "by_region", _KNOWN.format("fact_claims", "region"), "region", **_N,
+             rejected="sum(is_rejected)", rejection_rate=_RATE_1,
+             total_exposure=_half_up(_CLAIMED, 2)),
+    _figures(_C, "by_coverage_tier", _KNOWN.format("fact_claims", "policy_csl_tier"),
+             "policy_csl_tier", **_N, rejection_rate=_RATE_1),
+    _figures(_K, "total_customers", "dim_customer", None, value="count(*)"),
+    _figures(_K, "by_region", "dim_customer", "region", **_N, avg_balance=_BALANCE),
+    _figures(_K, "risk_indicators", "dim_customer", None,
+             customers_with_default="sum(default_flag)",
+             customers_with_hh_insurance="sum(hh_insurance)",
+             customers_with_car_loan="sum(car_loan)", avg_balance=_BALANCE),
+    _figures(_K, "by_education", _KNOWN.format("dim_customer", "education"), "education", **_N),
+    _figures(_K, "by_marital", _KNOWN.format("dim_customer", "marital"), "marital", **_N),
 ])
 
 FINAL["landing_to_gold"] = FINAL["rollup_rejection_by_tier_region"]
@@ -989,3 +1006,43 @@ FINAL["ingest_defaults"] = "\nUNION ALL ".join([
     _arrived("policy", "policy_raw", "policy_number", "count_if(policy_number % 97 = 0)"),
     _arrived("sales", "sales_raw", "sales_id"),
     _arrived("cars", "cars_raw", "car_id")])
+
+
+# ------------------------------------------------------------------ documentation of columns
+_COLUMN_TYPES = {
+    "dim_policy": "policy_number bigint, policy_bind_date date, policy_state string, "
+                  "policy_csl string, policy_csl_tier string, policy_deductable int, "
+                  "policy_annual_premium double, umbrella_limit int, car_id bigint, "
+                  "customer_id bigint",
+    "dim_customer": "customer_id bigint, region string, state string, city string, job string, "
+                    "marital string, education string, default_flag int, balance int, "
+                    "hh_insurance int, car_loan int",
+    "fact_claims": "claim_id bigint, policy_id bigint, customer_id bigint, policy_csl string, "
+                   "policy_csl_tier string, policy_deductable int, policy_annual_premium double, "
+                   "region string, state string, incident_severity string, "
+                   "incident_type string, collision_type string, incident_state string, "
+                   "incident_city string, authorities_contacted string, "
+                   "property_damage string, police_report_available string, "
+                   "claim_rejected string, is_rejected int, injury_amount double, "
+                   "property_amount double, vehicle_amount double, total_claim_amount double, "
+                   "number_of_vehicles_involved int, bodily_injuries int, witnesses int",
+}
+
+
+def _documented() -> str:
+    from tablewright.plans.pipeline import COLUMN_COMMENTS
+
+    def text(value: str) -> str:
+        return "'" + value.replace("'", "''") + "'"
+
+    rows = []
+    for table, columns in _COLUMN_TYPES.items():
+        for column in columns.split(", "):
+            name, kind = column.split(" ")
+            rows.append(f"({text(table)}, {text(name)}, {text(kind)}, "
+                        f"{text(COLUMN_COMMENTS[table][name])})")
+    return (f"SELECT * FROM (VALUES {', '.join(rows)}) "
+            "AS t(table_name, col_name, data_type, \"comment\")")
+
+
+FINAL["publish_metadata"] = _documented()

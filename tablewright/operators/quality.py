@@ -209,7 +209,8 @@ def count_issues(df: DataFrame, issues: list[Issue], source: str | None = None)
 
 
 def issue_registry(counts: DataFrame, issues: list[Issue]) -> DataFrame:
-    """Counts joined with the issue metadata, one row per issue, with the affected ratio."""
+    """Counts joined with the issue metadata, one row per issue, with the affected ratio and the
+    time of the count."""
     def text(attribute: str) -> Column:
         pairs = [F.lit(p) for i in issues for p in (i.issue_id, getattr(i, attribute))]
         return F.create_map(*pairs)[F.col("issue_id")]
@@ -227,4 +228,5 @@ def issue_registry(counts: DataFrame, issues: list[Issue]) -> DataFrame:
         ratio.alias("affected_ratio"),
         text("description").alias("description"),
         text("fix").alias("suggested_fix"),
+        F.current_timestamp().alias("detected_at"),
     )

@@ -86,7 +86,8 @@ EXPLANATION_PROMPT = (
     "Explain data issue {issue_id} to a compliance officer. Table {table}, column {column}, "
     "rule {rule}, type {kind}, severity {severity}: {affected} of {total} rows ({percent}%). "
     "Finding: {description}. Fix: {fix}. Cover the finding, its business impact, the root "
-    "cause, the remediation applied and how to prevent it."
+    "cause, the remediation applied and how to prevent it, each in a section of its own: Finding, "
+    "Business Impact, Root Cause, Remediation, Prevention."
 )
 
 
@@ -100,9 +101,9 @@ def explanation_prompt() -> Column:
         description=F.col("description"), fix=F.col("suggested_fix"))
 
 
-def explanation_report(issues: DataFrame, fn: enrich.Generator, model_name: str) -> DataFrame:
+def explanation_report(issues: DataFrame, fn: enrich.Generator | None, model_name: str) -> DataFrame:
     """The registry with a generated explanation per issue instead of description and fix."""
     prepared = issues.withColumn("_prompt", explanation_prompt()).drop(
-        "description", "suggested_fix")
+        "description", "suggested_fix", "detected_at")
     return enrich.generate(prepared, "_prompt", fn, model_name, output="ai_explanation",
                            error_prefix=fixed.ERROR_PREFIX)

@@ -240,13 +240,21 @@ def documents(policies: DataFrame, claims: DataFrame, customers: DataFrame) -> D
 
 SUMMARY_PROMPT = (
     "{title}. Write an executive summary from these figures only, citing each number used, "
-    "and close with two or three recommendations. Figures: {figures}"
+    "and close with two or three recommendations. Context: {context} Figures: {figures}"
 )
+# What a reader of each domain's summary wants to know.
+CONTEXTS = {
+    "policy_portfolio": "mix of tiers, premium income, umbrella uptake and spread over states.",
+    "claims_performance": "rejections and exposure by severity, region and coverage tier.",
+    "customer_profile": "where customers live, their balances, defaults and other products.",
+}
 
 
-def insight_report(docs: DataFrame, fn: enrich.Generator, model_name: str) -> DataFrame:
+def insight_report(docs: DataFrame, fn: enrich.Generator | None, model_name: str) -> DataFrame:
     """KPI documents with a generated executive summary each."""
+    contexts = F.create_map(*[F.lit(x) for pair in CONTEXTS.items() for x in pair])
     prompt = text.template(SUMMARY_PROMPT, title=F.col("summary_title"),
+                           context=contexts[F.col("domain_name")],
                            figures=F.col("kpi_data_json"))
     return enrich.generate(docs.withColumn("_prompt", prompt), "_prompt", fn, model_name,
                            output="ai_executive_summary", error_prefix=fixed.ERROR_PREFIX)

@@ -40,6 +40,10 @@ COMMENTS = {
 }
 
 
+COMMENTS |= {f"{table}_failed": f"Rows of {table} that failed a rule, with the reason"
+             for table in SILVER}
+
+
 # What the columns of the main tables mean.
 _COVERAGE = {
     "policy_csl": "Combined single limit, per person / per accident in thousands of dollars",

@@ -29,7 +29,7 @@ def _rule_counts(layers: Layers) -> DataFrame:
 
 def _issues(layers: Layers) -> DataFrame:
     return issues.registry({t: layers.raw(t) for t in ("customers", "claims", "sales",
-                                                       "policy")})
+                                                       "policy")}).drop("detected_at")
 
 
 def _orphans(left: str, left_key: str, right: str, right_key: str) -> Query:
@@ -177,6 +177,7 @@ def queries() -> dict[str, Query]:
     registry["scored_output"] = on(lambda x: showcase.scored_report(_scored(x)))
     registry["generation_status"] = on(
         lambda x: scoring.status_counts(scoring.scored_report(_scored(x))))
+    registry["generation_failures"] = on(lambda x: showcase.generation_failures(_scored(x)))
     registry["issue_report"] = on(showcase.issue_report)
     registry["issue_preview"] = on(showcase.issue_preview)
     registry["generate_in_sql"] = on(showcase.generate_in_sql)

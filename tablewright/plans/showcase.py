@@ -159,7 +159,9 @@ def ingest_defaults(layers: Layers) -> DataFrame:
     layers.raw("cars").drop(fixed.SOURCE_FILE).write.option("header", "true").csv(f"{land}/cars")
     _rename_parts(spark, f"{land}/cars", "{n}/cars.csv")
 
-    tables_in = bronze.ingest_all(spark, land, f"{base}/bronze")
+    schema = f"bronze_{uuid.uuid4().hex[:8]}"
+    bronze.ingest_all(spark, land, f"{base}/bronze", schema=schema)
+    tables_in = {table: spark.table(f"{schema}.{table}") for table in bronze.DECLARED}
     keys = {"customers": F.coalesce("CustomerID", "Customer_ID", "cust_id"),
             "claims": F.col("ClaimID"), "policy": F.col("policy_number"),
             "sales": F.col("sales_id"), "cars": F.col("car_id")}
@@ -256,31 +258,51 @@ def stored_pipeline(layers: Layers) -> DataFrame:
     schema = f"run_{uuid.uuid4().hex[:8]}"
     pipeline.run_on(spark, layers.sf_dir, schema, shared_folder(spark, "pipeline"))
     names = [*pipeline.SILVER, *[f"{t}_failed" for t in pipeline.SILVER],
-             *[n for n in pipeline.COMMENTS if n not in pipeline.SILVER and n != "dim_date"]]
+             *[n for n in pipeline.COMMENTS
+               if n.removesuffix("_failed") not in pipeline.SILVER]]
     return row_counts({n: spark.table(f"{schema}.{n}") for n in names})
 
 
+def _members(section: Column, name: str, group: str) -> Column:
+    """The rows of a document's list: section, group name, all other fields."""
+    rows = F.from_json(section, "array<map<string,string>>")
+    return F.transform(rows, lambda row: F.struct(
+        F.lit(name).alias("section"), row[group].alias("member"),
+        F.map_filter(row, lambda key, _: key != group).alias("values")))
+
+
 def document_figures(layers: Layers) -> DataFrame:
-    """Figures read back out of the KPI documents, one row per domain and figure."""
+    """Every figure of the KPI documents, read back out of them: domain, section, member of the
+    section (its group's name, or none) and measure."""
     docs = kpi.documents(layers.dim_policy, layers.fact_claims, layers.dim_customer)
-    paths = {
-        "policy_portfolio": ["total_policies", "umbrella.with_umbrella",
-                             "umbrella.without_umbrella", "by_tier[0].avg_premium",
-                             "by_state[0].count", "by_deductible[0].count"],
-        "claims_performance": ["total_claims", "overall.total_rejected",
-                               "overall.rejection_rate_pct", "overall.avg_claim_amount",
-                               "by_severity[0].rejected", "by_region[0].rejection_rate",
-                               "by_coverage_tier[0].count"],
-        "customer_profile": ["total_customers", "risk_indicators.customers_with_default",
-                             "risk_indicators.avg_balance", "by_region[0].count",
-                             "by_education[0].count", "by_marital[0].count"],
-    }
-    figures = F.array(*[
-        F.struct(F.lit(domain).alias("d"), F.lit(path).alias("figure"),
-                 F.get_json_object("kpi_data_json", f"$.{path}").cast("double").alias("value"))
-        for domain, names in paths.items() for path in names])
-    return docs.select("domain_name", F.explode(figures).alias("f")).where(
-        "domain_name = f.d").select("domain_name", "f.figure", "f.value")
+    objects = {"policy_portfolio": ["umbrella"], "claims_performance": ["overall"],
+               "customer_profile": ["risk_indicators"]}
+    totals = {"policy_portfolio": "total_policies", "claims_performance": "total_claims",
+              "customer_profile": "total_customers"}
+    lists = {"policy_portfolio": {"by_tier": "policy_csl_tier", "by_state": "policy_state",
+                                  "by_deductible": "policy_deductable"},
+             "claims_performance": {"by_severity": "incident_severity", "by_region": "region",
+                                    "by_coverage_tier": "policy_csl_tier"},
+             "customer_profile": {"by_region": "region", "by_education": "education",
+                                  "by_marital": "marital"}}
+    parts = []
+    for domain in totals:
+        doc = docs.where(F.col("domain_name") == domain).select(
+            F.from_json("kpi_data_json", "map<string,string>").alias("sections"))
+        entries = [F.array(F.struct(
+            F.lit(totals[domain]).alias("section"), F.lit(None).cast("string").alias("member"),
+            F.create_map(F.lit("value"), F.col("sections")[totals[domain]]).alias("values")))]
+        for name in objects[domain]:
+            entries.append(F.array(F.struct(
+                F.lit(name).alias("section"), F.lit(None).cast("string").alias("member"),
+                F.from_json(F.col("sections")[name], "map<string,string>").alias("values"))))
+        for name, group in lists[domain].items():
+            entries.append(_members(F.col("sections")[name], name, group))
+        parts.append(doc.select(F.explode(F.concat(*entries)).alias("e")).select(
+            F.lit(domain).alias("domain_name"), "e.section", "e.member",
+            F.explode("e.values").alias("measure", "text")))
+    return reduce(DataFrame.unionByName, parts).select(
+        "domain_name", "section", "member", "measure", F.col("text").cast("double").alias("value"))
 
 
 def email_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -362,18 +384,18 @@ def retrieval_answer(layers: Layers) -> DataFrame:
                  F.lit("?")).alias("question"),
         F.get(types, F.pmod("query_id", F.lit(len(fixed.QUERY_TYPES))).cast("int"))
         .alias("query_type")), "question", character_counts)
-    return retrieval.answer(asked, documents, quote_passages, "template", "counts").drop(
+    return retrieval.answer(asked, documents, enrich.each(quote_passages), "template", "counts").drop(
         "generated_at")
 
 
 def generate_in_sql(layers: Layers) -> DataFrame:
     """The generator called from SQL text, on one prompt per region."""
     spark = layers.spark
-    enrich.register_generator(spark, "generate_text", scoring.summary_line)
+    enrich.register_generator(spark, "generate_text", enrich.each(scoring.summary_line))
     by_region = kpi.claims_by_region(layers.fact_claims)
     return spark.sql(
         "SELECT region, generate_text('template', concat('Region ', region, ' has ', "
-        "`count`, ' claims of which ', rejected, ' were rejected. Summarize.')) AS summary "
+        "`count`, ' claims of which ', rejected, ' were rejected. Summarize.')).reply AS summary "
         "FROM {kpis}", kpis=by_region)
 
 
@@ -386,18 +408,33 @@ def scored_report(scored: DataFrame) -> DataFrame:
     return scoring.scored_report(scored).drop("generated_at")
 
 
+def refuse_trifles(prompts: list[str]) -> list[enrich.Reply]:
+    """Generator that fails on trivial damage, as a model may on some prompts."""
+    return [ValueError("nothing to investigate") if "Trivial Damage" in prompt
+            else scoring.summary_line(prompt) for prompt in prompts]
+
+
+def generation_failures(scored: DataFrame) -> DataFrame:
+    """How generation ended for claims of each tier, under a generator that fails on some."""
+    report = scoring.scored_report(scored, refuse_trifles, "refusing")
+    return report.groupBy("priority_tier", "generation_status", "model_name").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(F.col("ai_investigation_brief").startswith(
+            f"{fixed.ERROR_PREFIX}nothing to investigate")).alias("error_texts"))
+
+
 def issue_report(layers: Layers) -> DataFrame:
     from . import issues
 
     registry = issues.registry({t: layers.raw(t) for t in
                                 ("customers", "claims", "sales", "policy")})
-    return issues.explanation_report(registry, scoring.summary_line, "template").drop(
+    return issues.explanation_report(registry, None, "template").drop(
         "generated_at")
 
 
 def insight_report(layers: Layers) -> DataFrame:
     docs = kpi.documents(layers.dim_policy, layers.fact_claims, layers.dim_customer)
-    return kpi.insight_report(docs, scoring.summary_line, "template").drop("generated_at")
+    return kpi.insight_report(docs, None, "template").drop("generated_at")
 
 
 def described(layers: Layers) -> DataFrame:
