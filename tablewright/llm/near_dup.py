@@ -11,7 +11,10 @@ Crowded regions need more than neighbours: a text at the rim of a large group ma
 the few central ones. So each region's most linked texts are proposed to all of its other texts
 that are still in another component: CENTRES candidates per text and region, never all pairs.
 
-Proposals are confirmed on the full sets, and confirmed links are closed into components.
+Proposals are confirmed on the full sets, and confirmed links are closed into components. What
+is then still outside a region's largest component is held against the whole region, blocks of
+rows against blocks of rows, on the full sets: no pair that shares a region stays untested because
+the region is crowded, and only links leave the tasks.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ LEAST_PREFIX = 3      # columns that neighbours share at least
 NEIGHBOURS = 3        # preceding rows looked at
 CENTRES = 4           # most linked members of a region that its others are held against
 
+BLOCK = 256           # rows of a region compared at a time
+
 FEATURES = "id bigint, n_shingles bigint, class binary, signature binary"
 FOREST = "tree int, prefix binary, id bigint, sketch binary"
 PROPOSED = "kind int, a bigint, b bigint, tree int, prefix binary, sketch binary"
@@ -95,6 +100,19 @@ def _sets(n: int):
     return run
 
 
+def _set_bytes(n: int):
+    def run(batches):
+        for batch in batches:
+            values, offsets = words.shingles(*words.hashed(batch.column(1).to_pylist()), n)
+            raw = values.astype("<u8").tobytes()
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0),
+                pa.array([raw[8 * s:8 * e] for s, e in zip(offsets[:-1], offsets[1:],
+                                                           strict=True)], pa.binary()),
+            ], names=["id", "members"])
+    return run
+
+
 def _forest(batches):
     orders = _orders()
     for batch in batches:
@@ -179,6 +197,77 @@ def _alike(likeness: float):
     return run
 
 
+def _linked(asked: list[dict], rows: list[dict], likeness: float, percent: int):
+    """Links of the asked rows to rows of other components: one per row and component."""
+    sets = [np.frombuffer(r["members"], "<u8") for r in rows]
+    sizes = np.array([len(s) for s in sets])
+    roots = np.array([r["root"] for r in rows], np.int64)
+    ids = np.array([r["id"] for r in rows], np.int64)
+    sketches = np.frombuffer(b"".join(r["sketch"] for r in rows), np.uint8).reshape(-1, SKETCH)
+    for one in asked:
+        own = np.frombuffer(one["members"], "<u8")
+        alike = (sketches == np.frombuffer(one["sketch"], np.uint8)).mean(1) >= likeness
+        fits = np.minimum(sizes, len(own)) * 100 >= np.maximum(sizes, len(own)) * percent
+        near = np.flatnonzero(alike & fits & (roots != one["root"]))
+        if not len(near):
+            continue
+        values = np.concatenate([sets[k] for k in near])
+        place = np.minimum(np.searchsorted(own, values), len(own) - 1)
+        starts = np.concatenate(([0], np.cumsum(sizes[near])[:-1]))
+        shared = np.add.reduceat((own[place] == values).astype(np.int64), starts)
+        hits = near[100 * shared >= percent * (len(own) + sizes[near] - shared)]
+        _, first = np.unique(roots[hits], return_index=True)
+        for k in hits[first]:
+            yield int(one["id"]), int(ids[k])
+
+
+def _compared(likeness: float, percent: int):
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                found = list(_linked(row["asked"], row["rows"], likeness, percent))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([a for a, _ in found], pa.int64()),
+                     pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+    return run
+
+
+def _completed(members: DataFrame, roots: DataFrame, docs: DataFrame, n: int, percent: int,
+               likeness: float, work: Work) -> DataFrame:
+    """Links between rows of one region that are in different components.
+
+    `members` has tree, prefix, id, sketch. Only regions of several components are looked at, and
+    in them only rows outside the largest one ask; each is held against all rows of the region.
+    """
+    region = ["tree", "prefix"]
+    rows = work.stored(
+        members.select(*region, "id", "sketch")
+        .join(roots.select(F.col("u").alias("id"), "v"), "id", "left")
+        .select(*region, "id", "sketch", F.coalesce("v", "id").alias("root")), "rooted")
+    mixed = (rows.groupBy(*region, "root").count().groupBy(*region)
+             .agg(F.max(F.struct("count", (-F.col("root")).alias("r"))).alias("main"),
+                  F.sum("count").alias("n"))
+             .where("n > main.count")
+             .select(*region, (-F.col("main.r")).alias("main"),
+                     F.ceil(F.col("n") / BLOCK).alias("blocks")))
+    rows = work.stored(rows.join(work.stored(mixed, "mixed"), region), "asking")
+    ids = work.stored(rows.select("id").distinct(), "ids")
+    sets = work.stored(docs.join(ids, "id", "left_semi").select("id", "text")
+                       .mapInArrow(_set_bytes(n), "id bigint, members binary"), "packed")
+    blocks = work.stored(
+        rows.join(sets, "id")
+        .groupBy(*region, F.pmod(F.xxhash64("id"), "blocks").alias("block"))
+        .agg(F.collect_list(F.struct("id", "root", "sketch", "members",
+                                     (F.col("root") != F.col("main")).alias("asks")))
+             .alias("rows")), "blocks")
+    asked = blocks.select(*region, F.filter("rows", lambda r: r["asks"]).alias("asked")) \
+        .where(F.size("asked") > 0)
+    found = asked.join(blocks.select(*region, "rows"), region).select("asked", "rows")
+    return work.stored(
+        found.mapInArrow(_compared(likeness, percent), "a bigint, b bigint").distinct(),
+        "completed")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int, work: Work) -> DataFrame:
     """The pairs whose full sets reach the threshold; sets are made anew from the whole texts."""
     ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
@@ -271,6 +360,10 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80,
         if not late.isEmpty():
             merged = roots.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(late)
             roots = components(merged, work)
+    last = _completed(members, roots, docs, shingle, percent, likeness, work)
+    if not last.isEmpty():
+        merged = roots.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(last)
+        roots = components(merged, work)
 
     named = work.stored(
         classes.select("class", "rep")
