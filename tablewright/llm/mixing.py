@@ -55,8 +55,8 @@ def _targets(sources: DataFrame) -> DataFrame:
     share = (F.col("weight").cast(wide) * F.col("left")).cast("double") \
         / (F.col("sharing") * denominator).cast("double")
     target = F.when(F.col("stops"), F.col("cap").cast("double")).otherwise(share)
-    return rows.select("sk", "source_size", target.alias("target"),
-                       F.floor(target).cast("bigint").alias("budget"))
+    return rows.select("__sk", "source_size", target.alias("target"),
+                       F.floor(target).cast("bigint").alias("__budget"))
 
 
 def mixed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -81,32 +81,32 @@ def mixed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(*docs.columns).withColumn("size", word_count(text_col)) \
         .drop(*[c for c in added if c != "size"])
     rows = (rows
-            .withColumn("sk", F.coalesce(F.concat(F.lit("s"), F.col(source_col)), F.lit("n")))
-            .withColumn("key", F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))))\
-        .withColumn("cell", F.substring("key", 1, CELL_DIGITS))
+            .withColumn("__sk", F.coalesce(F.concat(F.lit("s"), F.col(source_col)), F.lit("n")))
+            .withColumn("__key", F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))))\
+        .withColumn("__cell", F.substring("__key", 1, CELL_DIGITS))
 
     cells = work.stored(
-        rows.groupBy("sk", "cell").agg(F.sum("size").alias("words"),
+        rows.groupBy("__sk", "__cell").agg(F.sum("size").alias("words"),
                                        F.first(source_col).alias("source")), "cells")
     targets = work.stored(
-        _targets(cells.groupBy("sk").agg(F.sum("words").alias("source_size"),
+        _targets(cells.groupBy("__sk").agg(F.sum("words").alias("source_size"),
                                          F.first("source").alias("source"))), "targets")
-    ahead = Window.partitionBy("sk").orderBy("cell") \
+    ahead = Window.partitionBy("__sk").orderBy("__cell") \
         .rowsBetween(Window.unboundedPreceding, -1)
     starts = work.stored(
-        cells.withColumn("start", F.coalesce(F.sum("words").over(ahead), F.lit(0)))
-        .join(targets, "sk").select("sk", "cell", "start", "source_size", "target", "budget"),
+        cells.withColumn("__start", F.coalesce(F.sum("words").over(ahead), F.lit(0)))
+        .join(targets, "__sk").select("__sk", "__cell", "__start", "source_size", "target", "__budget"),
         "starts")
 
-    inside = Window.partitionBy("sk", "cell").orderBy("key", id_col, "size") \
+    inside = Window.partitionBy("__sk", "__cell").orderBy("__key", id_col, "size") \
         .rowsBetween(Window.unboundedPreceding, -1)
-    laps = F.expr("CASE WHEN source_size > 0 THEN budget div source_size ELSE 0 END")
+    laps = F.expr("CASE WHEN source_size > 0 THEN __budget div source_size ELSE 0 END")
     return (
-        rows.withColumn("ahead", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-        .join(starts, ["sk", "cell"])
-        .withColumn("rest", F.col("budget") - laps * F.col("source_size"))
+        rows.withColumn("__ahead", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+        .join(starts, ["__sk", "__cell"])
+        .withColumn("__rest", F.col("__budget") - laps * F.col("source_size"))
         .withColumn("taken", laps * F.col("size") + F.greatest(F.lit(0), F.least(
-            F.col("size"), F.col("rest") - F.col("start") - F.col("ahead"))))
+            F.col("size"), F.col("__rest") - F.col("__start") - F.col("__ahead"))))
         .select(*[c for c in docs.columns if c not in added],
                 "size", "source_size", "target", F.col("taken").cast("bigint").alias("taken")))
 
@@ -121,6 +121,6 @@ def repeated(mix: DataFrame, columns: list[str], *, text_col: str = "text") -> D
     head = F.array_join(F.slice(words, 1, part), " ")
     copies = F.concat(F.array_repeat(F.lit(False), whole),
                       F.array_repeat(F.lit(True), F.when(part > 0, 1).otherwise(0)))
-    rows = mix.where("taken > 0").withColumn("cut", F.explode(copies))
-    text = F.when(F.col("cut"), head).otherwise(F.col(text_col))
+    rows = mix.where("taken > 0").withColumn("__cut", F.explode(copies))
+    text = F.when(F.col("__cut"), head).otherwise(F.col(text_col))
     return rows.withColumn(text_col, text).select(*columns)

@@ -146,6 +146,16 @@ def test_mix_of_uneven_sources(spark):
     check_mix(got.collect(), [r[:3] for r in rows])
 
 
+def test_mix_keeps_other_columns(spark):
+    names = ["key", "cell", "sk", "start", "budget", "ahead", "rest", "cut", "weight", "words"]
+    docs = edge_docs(spark).select("doc_id", "text", "source", *[
+        F.lit(n).alias(n) for n in names])
+    rows = mixing.mixed(docs).collect()
+    assert all(r[n] == n for r in rows for n in names) and len(rows) == len(ROWS)
+    out = mixing.repeated(mixing.mixed(docs), docs.columns)
+    assert out.columns == docs.columns and {r.cut for r in out.collect()} == {"cut"}
+
+
 def test_mix_of_awkward_rows(spark):
     got = mixing.mixed(edge_docs(spark)).collect()
     assert len(got) == len(ROWS)
