@@ -6,6 +6,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from edge_cases import LONG, PROSE, ROWS, edge_docs, groups, no_docs, shingle_set, words
@@ -239,6 +240,32 @@ def test_lm_network_beats_word_frequencies(spark):
     assert np.isfinite(scores).all()
 
 
+def test_lm_network_learns_from_every_position(spark, monkeypatch):
+    """Every context that occurs has moved from its start, in one shard and in many."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet") \
+        .select(F.col("doc_id").alias("id"), "text")
+    ids, offsets = lm_score.word_ids([r.text for r in docs.select("text").collect()])
+    start = lm_score.Network()
+    for words_a_shard in (10 ** 6, 30_000):
+        monkeypatch.setattr(lm_score, "SHARD_WORDS", words_a_shard, raising=False)
+        bands, network = lm_score.fitted(docs, Work(spark, "test"))
+        contexts = bands.contexts(ids, offsets)
+        for column, (now, then) in enumerate(zip(network.tables, start.tables)):
+            seen = np.unique(contexts[:, column])
+            assert (now[seen] != then[seen]).any(1).all()
+
+
+def test_lm_average_keeps_what_one_shard_has_learned():
+    def row(shard, part, weight):
+        return {"shard": shard, "slice": 0, "part": np.array(part, "<f4").tobytes(),
+                "weight": np.array(weight, "<f4").tobytes()}
+    rows = pa.Table.from_pylist([row(1, [0, 1, 7], [3, lm_score.UNTOUCHED, lm_score.UNTOUCHED]),
+                                 row(0, [4, 5, 7], [1, 10, lm_score.UNTOUCHED])])
+    got = lm_score._averaged((pa.scalar(0), pa.scalar(0)), rows).to_pylist()[0]
+    assert np.frombuffer(got["part"], "<f4") == pytest.approx([1, 5, 7], rel=1e-5)
+    assert np.frombuffer(got["weight"], "<f4") == pytest.approx([4, 10, 0], abs=1e-5)
+
+
 def test_lm_scores_of_awkward_rows(spark):
     got = lm_score.scored(edge_docs(spark)).collect()
     assert len(got) == len(ROWS)
