@@ -3,7 +3,8 @@
 A value in credential context need not be long to be a secret. Its guess cost is the logarithm of
 the guesses an attacker needs who knows words, dates, repeats and keyboard walks: the least sum
 over all ways to cut the value into such spans and single brute-forced characters, found by
-dynamic programming from left to right.
+dynamic programming from left to right. The words are a short fixed list and the words that most
+documents of the corpus hold outside such values, so that prose (`password: required`) is cheap.
 """
 
 from __future__ import annotations
@@ -11,9 +12,11 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Mapping
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,9 +46,18 @@ COMMON = (
     "user root guest default changeme sample example shadow sunshine princess football baseball "
     "summer winter spring autumn love access server system public private token demo temp pass "
     "word house green blue red black white night day star moon sun the and for you all this that "
-    "with from have not are was will one two three four five").split()
+    "with from have not are was will one two three four five required optional invalid expired "
+    "incorrect missing protected forgotten changed string none null true false value field hidden "
+    "redacted undefined unknown encrypted placeholder authentication authorization bearer "
+    "management manager policy length strength protection generator recovery").split()
 RANKS = {word: rank for rank, word in enumerate(COMMON, 1)}
 LONGEST = max(map(len, COMMON))
+
+# Words of the corpus: so many, in so many documents at least.
+CORPUS_WORDS, LEAST_DOCUMENTS = 20_000, 3
+LONGEST_WORD = 24
+WORD = re.compile(r"(?<![a-z])[a-z]{4,%d}(?![a-z])" % LONGEST_WORD)
+COUNTED_AT_A_TIME = 100_000    # distinct words a task holds
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz",
         "0123456789")
 STEPS = {a + b for row in ROWS for a, b in zip(row, row[1:])} \
@@ -74,16 +86,18 @@ def _ends(value: str, follows) -> list[int]:
     return ends
 
 
-def spans_of(value: str) -> Iterator[tuple[int, int, float]]:
-    """Start, end and cost of every span that a guesser tries as a whole."""
+def spans_of(value: str, words: Mapping[str, int] = {}) -> Iterator[tuple[int, int, float]]:
+    """Start, end and cost of every span that a guesser tries as a whole. `words` has the ranks
+    of words besides the fixed ones."""
+    longest = max(LONGEST, LONGEST_WORD) if words else LONGEST
     low = value.lower()
     if len(low) != len(value):                    # a character whose lower case is longer
         low = value
     repeats = _ends(low, lambda a, b: a == b)
     walks = _ends(low, lambda a, b: a + b in STEPS)
     for i in range(len(low)):
-        for j in range(i + 3, min(len(low), i + LONGEST) + 1):
-            rank = RANKS.get(low[i:j])
+        for j in range(i + 3, min(len(low), i + longest) + 1):
+            rank = RANKS.get(low[i:j]) or words.get(low[i:j])
             if rank:
                 shift = 0.0 if value[i:j] in (low[i:j], low[i:j].title()) else 0.5
                 yield i, j, SPAN_COST + math.log10(rank + 1) + shift
@@ -95,10 +109,10 @@ def spans_of(value: str) -> Iterator[tuple[int, int, float]]:
                 yield i, ends[i], SPAN_COST + math.log10(alphabet * (ends[i] - i))
 
 
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, words: Mapping[str, int] = {}) -> float:
     """Least cost of a segmentation into spans and brute-forced characters; 0 for an empty value."""
     starting: dict[int, list[tuple[int, float]]] = {}
-    for i, j, cost in spans_of(value):
+    for i, j, cost in spans_of(value, words):
         starting.setdefault(i, []).append((j, cost))
     best = [0.0] + [math.inf] * len(value)
     for i, c in enumerate(value):
@@ -108,12 +122,12 @@ def guess_cost(value: str) -> float:
     return best[-1]
 
 
-def find(text: str | None) -> list[tuple[str, int, int]]:
+def find(text: str | None, words: Mapping[str, int] = {}) -> list[tuple[str, int, int]]:
     """Spans (kind, start, end) in code points, by start, then kind. A null text is empty.
 
     Base patterns are matched left to right without overlap, each on its own; then matches that
     are too short are dropped. `guess` is a value in credential context that is not inside an
-    `assign` match, holds something other than letters and costs LEAST_COST or more.
+    `assign` match and costs LEAST_COST or more.
     """
     if not text:
         return []
@@ -133,7 +147,7 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
             while at < len(known) and known[at][1] <= m.start(1):
                 at += 1
             inside = at < len(known) and known[at][0] < m.end(1)
-            if not inside and not m[1].isalpha() and guess_cost(m[1]) >= LEAST_COST:
+            if not inside and guess_cost(m[1], words) >= LEAST_COST:
                 found.append(("guess", *m.span(1)))
     return sorted(found, key=lambda span: (span[1], KINDS.index(span[0]), span[2]))
 
@@ -142,9 +156,9 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
 
-def masked_text(text: str | None) -> str | None:
+def masked_text(text: str | None, words: Mapping[str, int] = {}) -> str | None:
     """The text with every span, overlapping ones as one, replaced by [SECRET]."""
-    spans = find(text)
+    spans = find(text, words)
     if not spans:
         return text
     parts, at = [], 0
@@ -158,10 +172,44 @@ def masked_text(text: str | None) -> str | None:
 FOUND = "n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string"
 
 
-def _report(texts: pd.Series) -> pd.DataFrame:
+def _words_counted(batches):
+    def counted():
+        return pa.RecordBatch.from_arrays(
+            [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
+            names=["word", "n"])
+
+    counts: Counter[str] = Counter()
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            low = (text or "").lower()
+            if any(hint in low for hint in CREDENTIAL_HINTS):
+                low = CREDENTIAL.sub(" ", low)
+            counts.update(set(WORD.findall(low)))
+            if len(counts) >= COUNTED_AT_A_TIME:
+                yield counted()
+                counts.clear()
+    yield counted()
+
+
+def corpus_words(docs: DataFrame, *, text_col: str = "text") -> dict[str, int]:
+    """Ranks, behind the fixed words, of the CORPUS_WORDS words that most documents hold.
+
+    A word counts where it stands outside credential values, so that a value is not made cheap by
+    being repeated; a word of fewer than LEAST_DOCUMENTS documents does not count. Of equally
+    frequent words the first in code-point order ranks first.
+    """
+    ready(docs.sparkSession)
+    counts = docs.select(text_col).mapInArrow(_words_counted, "word string, n bigint") \
+        .groupBy("word").agg(F.sum("n").alias("n"))
+    top = counts.where(F.col("n") >= LEAST_DOCUMENTS).orderBy(F.desc("n"), "word") \
+        .limit(CORPUS_WORDS).toArrow().column("word").to_pylist()
+    return {word: rank for rank, word in enumerate(top, len(COMMON) + 1)}
+
+
+def _report(texts: pd.Series, words: Mapping[str, int]) -> pd.DataFrame:
     rows = []
     for text in texts:
-        spans = find(text)
+        spans = find(text, words)
         base = [span for span in spans if span[0] != "guess"]
         kinds = [kind for kind, _, _ in base]
         rows.append((kinds.count("assign"), kinds.count("access"), kinds.count("hex"),
@@ -169,8 +217,8 @@ def _report(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
 
-def _masked(texts: pd.Series) -> pd.Series:
-    return texts.map(masked_text, na_action="ignore")
+def _masked(texts: pd.Series, words: Mapping[str, int]) -> pd.Series:
+    return texts.map(lambda text: masked_text(text, words), na_action="ignore")
 
 
 def scanned(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -180,8 +228,8 @@ def scanned(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     rows included, are carried along; extra columns are ignored; no rows give no rows. Each text
     is scanned whole, in time that grows with its length.
     """
-    ready(docs.sparkSession)
-    report = F.pandas_udf(lambda texts: _report(texts), FOUND)
+    words = corpus_words(docs, text_col=text_col)
+    report = F.pandas_udf(lambda texts: _report(texts, words), FOUND)
     return docs.select(F.col(id_col).alias("doc_id"), report(text_col).alias("found")) \
         .select("doc_id", "found.*")
 
@@ -189,8 +237,8 @@ def scanned(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
 def masked(docs: DataFrame, *, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """The same rows and columns with secrets masked, and the length column, if there is one,
     holding the new number of code points. Null texts stay null."""
-    ready(docs.sparkSession)
-    mask = F.pandas_udf(lambda texts: _masked(texts), "string")
+    words = corpus_words(docs, text_col=text_col)
+    mask = F.pandas_udf(lambda texts: _masked(texts, words), "string")
     out = docs.withColumn(text_col, mask(text_col))
     if length_col in docs.columns:
         out = out.withColumn(length_col, F.coalesce(F.length(text_col), F.col(length_col))

@@ -401,6 +401,20 @@ def test_guess_spans():
     assert secrets.masked_text(both) == "[SECRET]"
 
 
+def test_letters_alone_can_be_secrets(spark):
+    values = ["XqZrTvKpLdNwBh", "qkzvxwjpfm", "zxqwvkjpr", "wvbnqxzkhjt"]
+    text = "pwd=%s passphrase: %s password: %s credential: %s" % tuple(values)
+    assert [text[a:b] for kind, a, b in secrets.find(text) if kind == "guess"] == values
+    assert secrets.find("password: required, token: invalid, pass: Authentication") == []
+    # A word of the corpus is cheap; a value that many documents hold as a value is not.
+    rows = [(i, f"the konfiguration of part {i}, pwd=qkzvxwjpfm") for i in range(5)]
+    rows += [(9, "passphrase: Konfiguration pwd=qkzvxwjpfm")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert set(secrets.corpus_words(docs)) == {"konfiguration", "part"}
+    got = {r.doc_id: r.text for r in secrets.masked(docs).collect()}
+    assert got == {i: t.replace("qkzvxwjpfm", "[SECRET]") for i, t in rows}
+
+
 def test_secret_query(spark, documents, texts):
     got = {r.doc_id: r for r in secrets.scanned(documents).collect()}
     for doc_id, text in texts:
