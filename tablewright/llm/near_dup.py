@@ -19,6 +19,8 @@ the region is crowded, and only links leave the tasks.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -28,8 +30,9 @@ from tablewright.llm import words
 from tablewright.llm.base import Work, partitions
 from tablewright.llm.graph import components
 
-COLUMNS = 64          # length of a signature
+COLUMNS = 72          # length of a signature: ORDERS * LEAST_PREFIX
 SKETCH = 48           # columns of which every forest row carries a byte, to estimate likeness
+SKETCH_MISS = 1e-9    # most probable loss of a pair at the threshold to the sketch test
 ORDERS = 24           # trees of the forest
 DEPTH = 8             # signature columns an order sorts by
 LEAST_PREFIX = 3      # columns that neighbours share at least
@@ -50,9 +53,24 @@ def _multipliers() -> np.ndarray:
 
 
 def _orders() -> np.ndarray:
-    """Signature columns of each tree, most significant first."""
+    """Signature columns of each tree, most significant first. No two trees share one of their
+    first LEAST_PREFIX columns, so that trees miss a pair independently."""
     rng = np.random.default_rng(21)
-    return np.stack([rng.permutation(COLUMNS)[:DEPTH] for _ in range(ORDERS)])
+    first = rng.permutation(COLUMNS).reshape(ORDERS, LEAST_PREFIX)
+    return np.stack([np.concatenate((own, rng.permutation(np.setdiff1d(np.arange(COLUMNS), own))
+                                     [:DEPTH - LEAST_PREFIX])) for own in first])
+
+
+def _sketch_floor(percent: int) -> float:
+    """Largest share of agreeing sketch columns that a pair at the threshold falls short of with
+    a probability of SKETCH_MISS at most."""
+    p, below, k = percent / 100, 0.0, 0
+    while k < SKETCH:
+        below += math.comb(SKETCH, k) * p ** k * (1 - p) ** (SKETCH - k)
+        if below > SKETCH_MISS:
+            break
+        k += 1
+    return k / SKETCH
 
 
 def _signatures(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -197,18 +215,16 @@ def _alike(likeness: float):
     return run
 
 
-def _linked(asked: list[dict], rows: list[dict], likeness: float, percent: int):
+def _linked(asked: list[dict], rows: list[dict], percent: int):
     """Links of the asked rows to rows of other components: one per row and component."""
     sets = [np.frombuffer(r["members"], "<u8") for r in rows]
     sizes = np.array([len(s) for s in sets])
     roots = np.array([r["root"] for r in rows], np.int64)
     ids = np.array([r["id"] for r in rows], np.int64)
-    sketches = np.frombuffer(b"".join(r["sketch"] for r in rows), np.uint8).reshape(-1, SKETCH)
     for one in asked:
         own = np.frombuffer(one["members"], "<u8")
-        alike = (sketches == np.frombuffer(one["sketch"], np.uint8)).mean(1) >= likeness
         fits = np.minimum(sizes, len(own)) * 100 >= np.maximum(sizes, len(own)) * percent
-        near = np.flatnonzero(alike & fits & (roots != one["root"]))
+        near = np.flatnonzero(fits & (roots != one["root"]))
         if not len(near):
             continue
         values = np.concatenate([sets[k] for k in near])
@@ -221,11 +237,11 @@ def _linked(asked: list[dict], rows: list[dict], likeness: float, percent: int):
             yield int(one["id"]), int(ids[k])
 
 
-def _compared(likeness: float, percent: int):
+def _compared(percent: int):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                found = list(_linked(row["asked"], row["rows"], likeness, percent))
+                found = list(_linked(row["asked"], row["rows"], percent))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([a for a, _ in found], pa.int64()),
                      pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
@@ -233,17 +249,17 @@ def _compared(likeness: float, percent: int):
 
 
 def _completed(members: DataFrame, roots: DataFrame, docs: DataFrame, n: int, percent: int,
-               likeness: float, work: Work) -> DataFrame:
+               work: Work) -> DataFrame:
     """Links between rows of one region that are in different components.
 
-    `members` has tree, prefix, id, sketch. Only regions of several components are looked at, and
+    `members` has tree, prefix, id. Only regions of several components are looked at, and
     in them only rows outside the largest one ask; each is held against all rows of the region.
     """
     region = ["tree", "prefix"]
     rows = work.stored(
-        members.select(*region, "id", "sketch")
+        members.select(*region, "id")
         .join(roots.select(F.col("u").alias("id"), "v"), "id", "left")
-        .select(*region, "id", "sketch", F.coalesce("v", "id").alias("root")), "rooted")
+        .select(*region, "id", F.coalesce("v", "id").alias("root")), "rooted")
     mixed = (rows.groupBy(*region, "root").count().groupBy(*region)
              .agg(F.max(F.struct("count", (-F.col("root")).alias("r"))).alias("main"),
                   F.sum("count").alias("n"))
@@ -257,14 +273,14 @@ def _completed(members: DataFrame, roots: DataFrame, docs: DataFrame, n: int, pe
     blocks = work.stored(
         rows.join(sets, "id")
         .groupBy(*region, F.pmod(F.xxhash64("id"), "blocks").alias("block"))
-        .agg(F.collect_list(F.struct("id", "root", "sketch", "members",
+        .agg(F.collect_list(F.struct("id", "root", "members",
                                      (F.col("root") != F.col("main")).alias("asks")))
              .alias("rows")), "blocks")
     asked = blocks.select(*region, F.filter("rows", lambda r: r["asks"]).alias("asked")) \
         .where(F.size("asked") > 0)
     found = asked.join(blocks.select(*region, "rows"), region).select("asked", "rows")
     return work.stored(
-        found.mapInArrow(_compared(likeness, percent), "a bigint, b bigint").distinct(),
+        found.mapInArrow(_compared(percent), "a bigint, b bigint").distinct(),
         "completed")
 
 
@@ -297,15 +313,14 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80,
     are one node. A row without an id is in no group: its `component_id` is null and it is kept.
     Extra columns are ignored. An empty table gives an empty result.
 
-    A pair at the threshold shares LEAST_PREFIX columns in at least one of ORDERS trees with
-    probability 1 - (1 - 0.8^3)^24, all but 1 in 30 million; more similar pairs are missed less.
+    A pair at 0.8 shares LEAST_PREFIX columns in at least one of ORDERS trees, which have no such
+    column in common, with probability 1 - (1 - 0.8^3)^24, all but 1 in 30 million; more similar
+    pairs are missed less. The sketch test, always on the same columns, adds 1 in 10^9 at most.
     """
     spark = docs.sparkSession
     work = Work(spark, "near-dup")
     n_parts = partitions(spark)
-    # Four deviations below the threshold, for an estimate from SKETCH columns.
-    floor = percent / 100
-    likeness = floor - 4.3 * (floor * (1 - floor) / SKETCH) ** 0.5
+    likeness = _sketch_floor(percent)
     docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
 
     features = work.stored(docs.mapInArrow(_features(shingle), FEATURES), "features")
@@ -360,7 +375,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80,
         if not late.isEmpty():
             merged = roots.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(late)
             roots = components(merged, work)
-    last = _completed(members, roots, docs, shingle, percent, likeness, work)
+    last = _completed(members, roots, docs, shingle, percent, work)
     if not last.isEmpty():
         merged = roots.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(last)
         roots = components(merged, work)

@@ -308,6 +308,17 @@ def test_near_duplicates_in_a_crowded_region(spark):
     assert {r.doc_id: r.component_id for r in got} == groups(rows, 2)
 
 
+def test_near_duplicate_misses_are_as_rare_as_stated():
+    first = near_dup._orders()[:, :near_dup.LEAST_PREFIX]
+    assert len(np.unique(first)) == first.size
+    assert all(len(set(order)) == near_dup.DEPTH for order in near_dup._orders().tolist())
+    for percent in (50, 80, 85, 100):
+        p, n = percent / 100, near_dup.SKETCH
+        least = near_dup._sketch_floor(percent) * n
+        short = [math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(n + 1) if k < least]
+        assert sum(short) <= 1e-9
+
+
 def test_near_duplicates_of_awkward_rows(spark):
     got = near_dup.near_duplicates(edge_docs(spark), shingle=2).collect()
     assert len(got) == len(ROWS)
