@@ -92,4 +92,30 @@ SELECT page_id, CAST(octet_length(encode(p.html)) AS BIGINT) AS payload_bytes,
 FROM p JOIN g ON p.html = g.html
 """
 
-ORACLES = {"op5_mixing": OP5, "op6_near_dup": OP6, "op8_vector_search": OP8, "op9_warc": OP9}
+# Terms are runs of digits, letters and non-ASCII characters; the second table numbers item rows.
+TERMS = ("regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+         "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')")
+
+OP13 = f"""
+WITH d AS (SELECT row_number() OVER () AS doc, doc_id, {TERMS} AS ts FROM documents),
+i AS (SELECT row_number() OVER () AS item, item_id, {TERMS} AS ts FROM benchmark),
+s AS (SELECT count(*) AS n_docs, sum(len(ts))::BIGINT AS words FROM d WHERE len(ts) > 0),
+tf AS (SELECT doc, t, count(*) AS tf FROM (SELECT doc, unnest(ts) AS t FROM d) GROUP BY doc, t),
+df AS (
+  SELECT t, CAST(floor(1000 * ln((2 * CAST(any_value(n_docs) AS DOUBLE) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, s GROUP BY t),
+q AS (SELECT item, t, count(*) AS c FROM (SELECT item, unnest(ts) AS t FROM i) GROUP BY item, t),
+p AS (
+  SELECT q.item, tf.doc, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf
+    + 12 * (100 - 25 + (25 * len(d.ts) * n_docs) // words)))) AS BIGINT) AS score
+  FROM q JOIN df ON df.t = q.t JOIN tf ON tf.t = q.t JOIN d ON d.doc = tf.doc, s
+  GROUP BY q.item, tf.doc),
+r AS (
+  SELECT item_id, doc_id, score, CAST(row_number() OVER (
+    PARTITION BY p.item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM p JOIN d ON d.doc = p.doc JOIN i ON i.item = p.item WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+ORACLES = {"op5_mixing": OP5, "op6_near_dup": OP6, "op8_vector_search": OP8, "op9_warc": OP9,
+           "op13_lexical_search": OP13}
