@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tablewright.llm import (
-    fingerprint, language, lexical_search, lm_score, mixing, near_dup, packing, secrets, sql,
-    url_filter, vector_search, warc)
+    fingerprint, graph_search, language, lexical_search, lm_score, mixing, near_dup, packing,
+    secrets, sql, url_filter, vector_search, warc)
 from tablewright.llm.base import table
 
 
@@ -53,6 +53,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scanned(table(spark, sf_dir, "documents"))
 
 
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_search.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
