@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablewright.llm import (
     fingerprint, graph_search, language, lexical_search, lm_score, mixing, near_dup, packing,
-    secrets, sql, url_filter, vector_search, warc)
+    phrases, secrets, sql, url_filter, vector_search, warc)
 from tablewright.llm.base import table
 
 
@@ -57,6 +57,10 @@ def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_search.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
