@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm import bitmap
 from tablewright.llm.base import Work
-from tablewright.llm.words import mix
+from tablewright.llm.words import hash_bytes, mix
 
 WORDS = 4                      # longest phrase
 LEAST = 30                     # least count of a phrase
@@ -50,44 +50,70 @@ PHRASES = "lang string, phrase binary, words int, copies bigint"
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def tokens_of(raw: bytes) -> list[bytes]:
-    """Words of a UTF-8 text in order, with END between pieces and WINDOW times after the last."""
-    return raw.translate(TOKEN_BYTES).replace(b"\n", b" . ").split() + [END] * WINDOW
-
-
-class _Numbers:
-    """Numbers of the tokens of one batch, from 0 (END), and a hash of each."""
-
-    def __init__(self):
-        self.number: dict[bytes, int] = defaultdict(count().__next__)
-        self.number[END]
-
-    def of(self, tokens: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
-
-    def hashes(self) -> np.ndarray:
-        return np.array([xxhash.xxh64_intdigest(t) for t in self.number], np.uint64)
+def normal(raw: bytes) -> bytes:
+    """The words of a UTF-8 text and END between pieces, each after a blank."""
+    return b" ".join([b"", *raw.translate(TOKEN_BYTES).replace(b"\n", b" . ").split()])
+
+
+class Tokens:
+    """Tokens of bytes in which each follows a blank: where they lie, their hashes, which are words."""
+
+    def __init__(self, raw: bytes):
+        self.raw, data = raw, np.frombuffer(raw, np.uint8)
+        self.first = np.flatnonzero(data == 32) + 1
+        self.end = np.append(self.first[1:] - 1, len(raw))
+        self.hash = hash_bytes(raw)
+        self.word = (self.end - self.first != 1) | (data[self.first] != END[0])
+
+    def text(self, at, upto) -> list[bytes]:
+        """The texts from each token `at` to the one before `upto`."""
+        raw = self.raw
+        return [raw[a:b] for a, b in zip(self.first[at].tolist(), self.end[upto - 1].tolist(),
+                                         strict=True)]
+
+    def numbers(self) -> np.ndarray:
+        """Equal numbers for equal tokens, from 0; different ones for others."""
+        _, first, number = np.unique(self.hash, return_index=True, return_inverse=True)
+        data, like = np.frombuffer(self.raw, np.uint8), first[number]
+        sizes = self.end - self.first
+        same = (sizes == sizes[like]).all()
+        if same:
+            gap = np.repeat(self.first[like] - self.first, sizes)
+            own = np.flatnonzero(data != 32)
+            same = (data[own] == data[own + gap]).all()
+        if not same:        # two tokens share a hash: number them by their bytes
+            place = defaultdict(count().__next__)
+            number = np.fromiter(map(place.__getitem__, self.raw[1:].split(b" ")), np.int64,
+                                 len(number))
+        return number
 
 
 def parsed(texts: list[tuple[str, bytes]]) -> Counter:
     """How often each (lang, chunk, words of its own) occurs in some texts."""
-    numbers, found = _Numbers(), Counter()
-    split = [tokens_of(raw) for _, raw in texts]
-    ids = [numbers.of(tokens) for tokens in split]
-    hashes = numbers.hashes()
-    for (lang, _), tokens, own in zip(texts, split, ids, strict=True):
-        size = len(tokens) - WINDOW
-        if size <= 0:
-            continue
-        rolled = np.zeros(size, np.uint64)
-        for k in range(WINDOW):
-            rolled = mix(rolled * STEP + hashes[own[k:size + k]])
-        starts = np.flatnonzero(rolled % np.uint64(CHUNK) == 0)
-        starts = np.concatenate(([0], starts[starts > 0])).tolist()
-        inside = np.concatenate(([0], np.cumsum(own[:size] != 0))).tolist()
-        for at, end in zip(starts, [*starts[1:], size], strict=True):
-            if inside[end] > inside[at]:
-                found[lang, b" ".join(tokens[at:end + WINDOW]), inside[end] - inside[at]] += 1
+    split = [(lang, some) for lang, raw in texts if (some := normal(raw))]
+    found: Counter = Counter()
+    if not split:
+        return found
+    tail = b" " + b" ".join([END] * WINDOW)
+    tokens = Tokens(b"".join([some + tail for _, some in split]))
+    sizes = np.array([some.count(b" ") + WINDOW for _, some in split])
+    firsts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    rolled = np.zeros(len(tokens.hash) - WINDOW + 1, np.uint64)
+    for k in range(WINDOW):
+        rolled = mix(rolled * STEP + tokens.hash[k:k + len(rolled)])
+    begins = np.append(rolled % np.uint64(CHUNK) == 0, np.zeros(WINDOW - 1, bool))
+    for k in range(1, WINDOW + 1):
+        begins[firsts + sizes - k] = False       # what follows the text
+    begins[firsts] = True
+    at = np.flatnonzero(begins)
+    text = np.searchsorted(firsts, at, "right") - 1
+    upto = np.minimum(np.append(at[1:], len(begins)), (firsts + sizes - WINDOW)[text])
+    inside = np.concatenate(([0], np.cumsum(tokens.word)))
+    words = inside[upto] - inside[at]
+    at, upto, text, words = (a[words > 0] for a in (at, upto, text, words))
+    langs = [lang for lang, _ in split]
+    found.update(zip([langs[t] for t in text.tolist()], tokens.text(at, upto + WINDOW),
+                     words.tolist(), strict=True))
     return found
 
 
@@ -123,39 +149,34 @@ def summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class Chunks:
-    """Distinct chunks as arrays of tokens, with the phrases that begin at each token of their own."""
+    """Distinct chunks as arrays of tokens, with the phrases that begin at each word of their own."""
 
     def __init__(self, langs: list[str], chunks: list[bytes], copies: list[int]):
-        numbers = _Numbers()
-        split = [c.split(b" ") for c in chunks]
-        sizes = np.array([len(s) for s in split], np.int64)
-        self.ids = numbers.of([t for s in split for t in s])
-        self.words, self.hash = list(numbers.number), numbers.hashes()
+        self.tokens = Tokens(b" " + b" ".join(chunks))
+        sizes = np.array([c.count(b" ") + 1 for c in chunks], np.int64)
         self.langs, lang = np.unique(np.array(langs, object), return_inverse=True)
         self.lang = np.repeat(lang, sizes)
         self.copies = np.repeat(np.array(copies, np.int64), sizes)
         seeds = np.array([xxhash.xxh64_intdigest(x) for x in self.langs], np.uint64)
-        ends = np.cumsum(sizes)
         # The last tokens of a chunk belong to the next one.
-        self.own = np.arange(len(self.ids)) < np.repeat(ends - WINDOW, sizes)
-        self.own &= self.ids != 0
-        self.rolled = [mix(seeds[self.lang] + self.hash[self.ids])]
+        self.own = np.arange(sizes.sum()) < np.repeat(np.cumsum(sizes) - WINDOW, sizes)
+        self.rolled = [mix(seeds[self.lang] + self.tokens.hash)]
 
     def hashes(self, n: int) -> np.ndarray:
         """Hash of the n words from each token on, in the token's language."""
         while len(self.rolled) < n:
             k = len(self.rolled)
             longer = self.rolled[-1].copy()
-            longer[:-k] = mix(longer[:-k] * STEP + self.hash[self.ids[k:]])
+            longer[:-k] = mix(longer[:-k] * STEP + self.tokens.hash[k:])
             self.rolled.append(longer)
         return self.rolled[n - 1]
 
     def starts(self, n: int, tables: list[np.ndarray]) -> np.ndarray:
         """Tokens at which a phrase of n words begins whose shorter phrases, and which itself where
         its level has a table, may be frequent. tables[i] is that of phrases of i + 2 words."""
-        at = np.flatnonzero(self.own)
+        at = np.flatnonzero(self.own & self.tokens.word)
         for k in range(1, n):
-            at = at[self.ids[at + k] != 0]
+            at = at[self.tokens.word[at + k]]
         for words, table in enumerate(tables[:n - 1], 2):
             hashes = self.hashes(words) % np.uint64(TABLE_BITS)
             for k in range(n - words + 1):
@@ -169,21 +190,24 @@ class Chunks:
         return pa.RecordBatch.from_arrays([pa.array(hashes[first]), pa.array(sums)],
                                           names=["hash", "copies"])
 
-    def phrases(self, n: int, tables: list[np.ndarray]) -> pa.RecordBatch:
-        """Distinct phrases of n words, each with its number of occurrences."""
-        at = self.starts(n, tables)
-        keys = self.lang[at]
-        for k in range(n):
-            # Numbers of distinct (phrase so far, word) pairs stay small: the product cannot overflow.
-            keys = np.unique(keys * len(self.words) + self.ids[at + k], return_inverse=True)[1]
-        first, sums = summed(keys, self.copies[at])
-        first = at[first]
-        texts = [b" ".join([self.words[i] for i in row])
-                 for row in self.ids[first[:, None] + np.arange(n)].tolist()]
-        return pa.RecordBatch.from_arrays([
-            pa.array(self.langs[self.lang[first]], pa.string()), pa.array(texts, pa.binary()),
-            pa.array(np.full(len(first), n), pa.int32()), pa.array(sums)],
-            names=["lang", "phrase", "words", "copies"])
+    def phrases(self, tables: list[np.ndarray]):
+        """Distinct phrases of each number of words, with their numbers of occurrences."""
+        number = self.tokens.numbers()
+        many = int(number.max()) + 1
+        for n in range(1, WORDS + 1):
+            at = self.starts(n, tables)
+            keys = self.lang[at]
+            for k in range(n):
+                if k > 1:       # ranks of the pairs so far, so that products stay small
+                    keys = np.unique(keys, return_inverse=True)[1]
+                keys = keys * many + number[at + k]
+            first, sums = summed(keys, self.copies[at])
+            first = at[first]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(self.langs[self.lang[first]], pa.string()),
+                pa.array(self.tokens.text(first, first + n), pa.binary()),
+                pa.array(np.full(len(first), n), pa.int32()), pa.array(sums)],
+                names=["lang", "phrase", "words", "copies"])
 
 
 def _counted(answer, tables):
@@ -229,7 +253,7 @@ def counts(docs: DataFrame, work: Work, *, least: int = LEAST, text_col: str = "
         tables.append(spark.sparkContext.broadcast(table))
 
     found = chunks.mapInArrow(
-        _counted(lambda c, t: [c.phrases(n, t) for n in range(1, WORDS + 1)], tables), PHRASES)
+        _counted(lambda c, t: c.phrases(t), tables), PHRASES)
     return work.stored(
         found.groupBy("lang", "phrase", "words").agg(F.sum("copies").alias("f"))
         .where(F.col("f") >= least)

@@ -68,6 +68,11 @@ def _pieces(raw: bytes):
     yield raw[at:]
 
 
+def hash_bytes(raw: bytes) -> np.ndarray:
+    """Hash of each word of UTF-8 bytes, with letters as they are."""
+    return np.concatenate([_hash_piece(piece)[0] for piece in _pieces(raw)])
+
+
 def hashed(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts in a row, and the offsets at which each text's words begin.
 
