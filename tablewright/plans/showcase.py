@@ -117,8 +117,8 @@ def ingest_defaults(layers: Layers) -> DataFrame:
     """Land all five sources under their own names, ingest them with the default globs and
     formats, and count what arrived: rows, keys, rows with rescued data.
 
-    Among the files are line-delimited JSON and arrays, over-long records, a header of more than
-    64 KiB and names with brackets.
+    Among the files are four layouts of JSON, over-long records, a header of more than 64 KiB and
+    names with brackets.
     """
     from . import bronze
 
@@ -137,11 +137,18 @@ def ingest_defaults(layers: Layers) -> DataFrame:
         _rename_parts(spark, folder, f"{source}-{{n}}.csv")
 
     claims = layers.raw("claims").drop(fixed.SOURCE_FILE)
-    claims.where("ClaimID % 2 = 0").write.json(f"{land}/lines")
-    _rename_parts(spark, f"{land}/lines", "claims_{n}.json")
-    claims.where("ClaimID % 2 = 1").select(
-        F.concat(F.lit("["), F.to_json(F.struct("*")), F.lit("]"))).write.text(f"{land}/arrays")
-    _rename_parts(spark, f"{land}/arrays", "claims_[{n}].json")
+    # One object per line, an array per line, pretty-printed, and all objects on one line.
+    rows = claims.select("ClaimID", F.struct("*").alias("row"))
+    layouts = {
+        "claims_{n}.json": F.to_json("row"),
+        "claims_[{n}].json": F.concat(F.lit("["), F.to_json("row"), F.lit("]")),
+        "claims_long_{n}.json": F.to_json("row", {"pretty": "true"}),
+        "claims_wide_{n}.json": F.to_json("row")}
+    for part, (name, value) in enumerate(layouts.items()):
+        folder = f"{land}/layout_{part}"
+        rows.where(F.col("ClaimID") % len(layouts) == part).select(value).write.option(
+            "lineSep", " " if "wide" in name else "\n").text(folder)
+        _rename_parts(spark, folder, name)
 
     policy = layers.raw("policy").drop(fixed.SOURCE_FILE)
     overlong = F.coalesce(F.col("policy_number") % 97 == 0, F.lit(False))
