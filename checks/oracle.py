@@ -900,6 +900,15 @@ FINAL["ingest_batch_typed"] = """
 SELECT CAST(car_id AS INT) AS car_id, name, CAST(km_driven AS INT) AS km_driven, fuel, transmission,
   mileage, engine, max_power, torque, CAST(seats AS INT) AS seats, model FROM cars_raw"""
 FINAL["publish_table"] = "SELECT * FROM dim_policy"
+FINAL["publish_after_failure"] = FINAL["publish_table"]
+FINAL["ingest_evolving"] = "\nUNION ALL ".join(
+    f"SELECT '{column}' AS column_name, '{kind}' AS data_type, {types} AS types, "
+    f"{since} AS since_batch, count({column}) AS value_count FROM policy_raw "
+    f"WHERE COALESCE(policy_number, 0) % 3 >= {since}"
+    for column, kind, types, since in (
+        ("policy_number", "bigint", 1, 0), ("policy_annual_premium", "double", 2, 0),
+        ("policy_csl", "string", 1, 0), ("umbrella_limit", "bigint", 1, 1),
+        ("policy_state", "string", 1, 2)))
 
 _PIPELINE = {
     "dim_date": "SELECT 4018",

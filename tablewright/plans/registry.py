@@ -221,10 +221,12 @@ def queries() -> dict[str, Query]:
     # sources and sinks
     registry["ingest_stream"] = on(showcase.ingest_stream)
     registry["ingest_rescued"] = on(showcase.ingest_rescued)
+    registry["ingest_evolving"] = on(showcase.ingest_evolving)
     registry["ingest_json"] = on(showcase.ingest_json)
     registry["ingest_defaults"] = on(showcase.ingest_defaults)
     registry["ingest_batch_typed"] = on(showcase.ingest_typed)
     registry["publish_table"] = on(showcase.publish_table)
+    registry["publish_after_failure"] = on(showcase.publish_after_failure)
     registry["publish_metadata"] = on(showcase.publish_metadata)
     registry["ingest_batch_tables"] = on(showcase.batch_tables)
     registry["landing_to_gold"] = on(showcase.landing_to_gold)

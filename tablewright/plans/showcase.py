@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +64,34 @@ def ingest_rescued(layers: Layers) -> DataFrame:
         F.count(rescued["Job"]).alias("rescued_jobs"))
 
 
+def ingest_evolving(layers: Layers) -> DataFrame:
+    """Ingest policies in three waves, each with a column more and wider values than the last; what
+    the schema log tells of each column, and how many values the typed table has in it."""
+    spark = layers.spark
+    base = shared_folder(spark, "ingest-evolving")
+    raw_policy = layers.raw("policy").withColumn(
+        "wave", F.coalesce(F.col("policy_number"), F.lit(0)) % 3)
+    columns = ["policy_number", "policy_annual_premium", "policy_csl"]
+    for wave, more in enumerate(([], ["umbrella_limit"], ["umbrella_limit", "policy_state"])):
+        rows = raw_policy.where(F.col("wave") == wave)
+        if wave == 0:
+            rows = rows.withColumn("policy_annual_premium",
+                                   F.floor("policy_annual_premium").cast("bigint"))
+        rows.select(*more, *columns).write.option("header", "true").csv(f"{base}/in/{wave}")
+        ingest.ingest(spark, f"{base}/in", "*.csv", f"{base}/table", f"{base}/checkpoint",
+                      infer_types=True)
+    table = ingest.stored(spark, f"{base}/table", typed=True)
+    history = ingest.schema_history(spark, f"{base}/table")
+    newest = history.groupBy("column_name").agg(
+        F.max_by("data_type", "version").alias("data_type"),
+        F.count_distinct("data_type").cast("int").alias("types"),
+        F.min("since_batch").cast("int").alias("since_batch"))
+    names = [*columns, "umbrella_limit", "policy_state"]
+    counted = table.agg(*[F.count(c).alias(c) for c in names]).unpivot(
+        [], names, "column_name", "value_count")
+    return newest.join(counted, "column_name")
+
+
 def ingest_json(layers: Layers) -> DataFrame:
     """Write the raw claims as JSON lines, read them back as text, clean them."""
     spark = layers.spark
@@ -226,6 +255,20 @@ def publish_table(layers: Layers) -> DataFrame:
     return layers.spark.table(_publish(layers, "dim_policy"))
 
 
+def publish_after_failure(layers: Layers) -> DataFrame:
+    """Publish the policy dimension, then fail in the middle of replacing it; what is there after."""
+    name = _publish(layers, "dim_policy")
+    root = shared_folder(layers.spark, "publish")
+    broken = layers.dim_policy.withColumn("policy_number", F.when(
+        F.col("policy_number") % 2 == 0, F.raise_error(F.lit("lost"))).otherwise(
+        F.col("policy_number")).cast("bigint"))
+    try:
+        tables.publish(broken, tables.TableSpec(name), path=root)
+    except PySparkException:
+        return layers.spark.table(name)
+    raise RuntimeError("the write was to fail")
+
+
 def publish_metadata(layers: Layers) -> DataFrame:
     """Publish the three main tables and show the documentation of their columns."""
     from .pipeline import COLUMN_COMMENTS
