@@ -989,6 +989,10 @@ FINAL["kpi_document_figures"] = "\nUNION ALL ".join([
     _figures(_K, "by_marital", _KNOWN.format("dim_customer", "marital"), "marital", **_N),
 ])
 
+FINAL["dedup_incremental"] = FINAL["dedup_priority"]
+for _t in ("rejection_by_tier_region", "severity", "customers_by_region", "unsold_aging",
+           "premium_by_tier"):
+    FINAL[f"incremental_{_t}"] = FINAL[f"rollup_{_t}"]
 FINAL["landing_to_gold"] = FINAL["rollup_rejection_by_tier_region"]
 FINAL["ingest_batch_tables"] = "\nUNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}_raw"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import joins, profile, quality
 from ..session import tune
 from . import fixed_values as fixed
-from . import gold, issues, kpi, profiling, raw, retrieval, scoring, showcase, silver
+from . import gold, increments, issues, kpi, profiling, raw, retrieval, scoring, showcase, silver
 from .layers import Layers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,6 +218,12 @@ def queries() -> dict[str, Query]:
     registry["by_deductible"] = on(lambda x: retrieval.with_deductible(x.dim_policy, 2000))
     registry["tier_by_state"] = on(lambda x: retrieval.tier_by_state(x.dim_policy, "High"))
 
+    # kept up to date batch by batch
+    registry["dedup_incremental"] = on(showcase.dedup_incremental)
+    for name in increments.ROLLUPS:
+        registry[f"incremental_{name}"] = on(
+            lambda x, name=name: showcase.rollup_incremental(x, name))
+
     # sources and sinks
     registry["ingest_stream"] = on(showcase.ingest_stream)
     registry["ingest_rescued"] = on(showcase.ingest_rescued)

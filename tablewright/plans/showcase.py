@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.cleaning import matches
-from ..operators import enrich, quality, retrieve
+from ..operators import enrich, incremental, quality, retrieve
 from ..session import shared_folder
 from ..sources import files, tables
 from ..streaming import ingest
 from . import fixed_values as fixed
-from . import kpi, profiling, raw, retrieval, scoring, silver
+from . import increments, kpi, profiling, raw, retrieval, scoring, silver
 from .layers import Layers
 
 def land_customers(customers: DataFrame, root: str) -> None:
@@ -227,6 +227,41 @@ def batch_tables(layers: Layers) -> DataFrame:
     return row_counts({t: spark.table(f"{prefix}{t}") for t in ("policy", "cars", "claims")})
 
 
+def dedup_incremental(layers: Layers) -> DataFrame:
+    """Customers in three batches that come out of order, the second one twice; the winners."""
+    spark = layers.spark
+    rows = silver.harmonized_customers(layers.raw("customers"))
+    part = F.pmod(F.xxhash64(fixed.SOURCE_FILE, "state", "balance"), F.lit(3))
+    runs = incremental.Runs(spark, shared_folder(spark, "winners"))
+    winners = incremental.Winners(runs, "customer_id", silver.customer_order)
+    for batch in (2, 0, 0, 1):
+        winners.update(batch, rows.where(part == batch))
+        if batch == 2:
+            winners.compact()
+    return winners.current()
+
+
+def rollup_incremental(layers: Layers, name: str) -> DataFrame:
+    """One rollup after three batches: each brings a third of the claims and listings, the master
+    file comes last, so that customers change, and policies and cars come after rows that need them."""
+    spark = layers.spark
+    state = increments.IncrementalGold(spark, shared_folder(spark, "increments"), layers.as_of, (name,))
+
+    def third(table: str, key: str) -> Column:
+        return F.pmod(F.xxhash64(F.lit(table), key), F.lit(3))
+
+    master = F.col(fixed.SOURCE_FILE).contains(fixed.MASTER_SOURCE)
+    part = {"customers": F.when(master, 2).otherwise(F.pmod(F.xxhash64("Balance"), F.lit(2))),
+            "claims": third("claims", "ClaimID"), "policy": third("policy", "policy_number"),
+            "sales": third("sales", "sales_id"), "cars": third("cars", "car_id")}
+    for batch in range(3):
+        state.update(batch, {t: layers.raw(t).where(p == batch) for t, p in part.items()})
+        if batch == 1:
+            state.compact()
+    state.update(0, {t: layers.raw(t) for t in part})        # taken in before: changes nothing
+    return state.result(name)
+
+
 def issue_preview(layers: Layers) -> DataFrame:
     """The first three rows of the issue report, as shown after it is written."""
     return issue_report(layers).select(

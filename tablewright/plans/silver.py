@@ -65,12 +65,16 @@ def customers(raw: DataFrame) -> DataFrame:
     Rows of one customer in one file are ordered by their values, so that the choice is fixed.
     """
     harmonized = harmonized_customers(raw)
+    return quality.keep_first(harmonized, "customer_id", customer_order(harmonized))
+
+
+def customer_order(harmonized: DataFrame) -> list[Column]:
+    """Which row of a customer wins."""
     from_master = F.col(fixed.SOURCE_FILE).contains(fixed.MASTER_SOURCE)
     values = [c for c in harmonized.columns
               if c not in ("customer_id", fixed.SOURCE_FILE, fixed.LOAD_TIMESTAMP)]
-    order = [F.when(from_master, 0).otherwise(1), F.col(fixed.SOURCE_FILE),
-             *[F.col(c) for c in values]]
-    return quality.keep_first(harmonized, "customer_id", order)
+    return [F.when(from_master, 0).otherwise(1), F.col(fixed.SOURCE_FILE),
+            *[F.col(c) for c in values]]
 
 
 def claims(raw: DataFrame) -> DataFrame:

@@ -111,3 +111,65 @@ def test_a_failed_write_leaves_the_table(spark, tmp_path):
             got = tables.publish(rows, tables.TableSpec("kept_other"), **option)
             assert got.count() == n and got.where("b = 1").count() == n // 2
     assert not [t.name for t in spark.catalog.listTables() if tables.VERSION[:-1] in t.name]
+
+
+def test_winners_do_not_depend_on_the_order_of_batches(spark, tmp_path):
+    from tablewright.operators import incremental, quality
+
+    rng = random.Random(6)
+    rows = [(rng.choice([None, *range(12)]), rng.randrange(50), f"v{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "k int, rank int, v string")
+
+    def order(frame):
+        return [F.col("rank"), F.col("v")]
+
+    want = sorted(quality.keep_first(df, "k", order(df)).collect(), key=repr)
+    parts = [spark.createDataFrame(rows[at::4], df.schema) for at in range(4)]
+    for turn, batches in enumerate(([0, 1, 2, 3], [3, 3, 1, 0, 2, 2], [2, 0, 3, 1])):
+        winners = incremental.Winners(
+            incremental.Runs(spark, str(tmp_path / f"w{turn}")), "k", order)
+        assert winners.current() is None
+        for batch in batches:
+            winners.update(batch, parts[batch])
+            if turn == 2 and batch == 3:
+                winners.compact()
+                winners.update(0, parts[0])          # merged already: changes nothing
+        assert sorted(winners.current().collect(), key=repr) == want
+
+
+def test_a_batch_that_fails_changes_nothing(spark, tmp_path):
+    from tablewright.operators.incremental import Runs
+
+    runs = Runs(spark, str(tmp_path / "r"))
+    runs.put(1, spark.range(5))
+    with pytest.raises(PySparkException):
+        runs.put(2, spark.range(5).select(F.when(F.col("id") > 3, F.raise_error(F.lit("x")))
+                                          .otherwise(F.col("id")).cast("long").alias("id")))
+    assert runs.read().count() == 5 and runs.read(without=1).count() == 0
+    runs.put(2, spark.range(2))
+    runs.put(2, spark.range(3))
+    assert runs.read().count() == 8 and runs.read(without=2).count() == 5
+    assert runs.settled(1) and not runs.settled(2) and not runs.settled(7)
+
+
+def test_rollups_can_be_taken_back(spark, tmp_path):
+    from tablewright.operators.incremental import Rollup, Runs
+    from tablewright.plans import increments
+
+    rest, money = increments._money("m", "amount")
+    rollup = Rollup({"g": F.col("g"), **rest}, money, lambda parts: parts.groupBy("g").agg(
+        F.sum("n").alias("n"), increments._money_sum("m").alias("total"),
+        increments._money_mean("m").alias("mean")))
+
+    def frame(rows):
+        return spark.createDataFrame(rows, "g string, amount double")
+
+    first = [("a", 0.1), ("a", 0.2), ("a", float("inf")), ("b", 1e300), (None, None), ("c", 5.0)]
+    runs = Runs(spark, str(tmp_path / "r"))
+    runs.put(0, rollup.partial(frame(first)))
+    runs.put(1, rollup.partial(frame([("a", 0.3), ("d", None)]),
+                               frame([("a", float("inf")), ("b", 1e300), ("c", 5.0)])))
+    got = {r.g: (r.n, r.total, r["mean"]) for r in rollup.result(runs).collect()}
+    assert got == {"a": (3, 0.6, 0.2), None: (1, None, None), "d": (1, None, None)}
+    runs.compact(rollup.merged)
+    assert {r.g: (r.n, r.total, r["mean"]) for r in rollup.result(runs).collect()} == got
