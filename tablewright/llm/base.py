@@ -13,6 +13,9 @@ from tablewright.session import shared_folder
 # and carriage return.
 GAPS = "[\\x20\\x09-\\x0D]+"
 
+# Short rows (a few numbers) that one task handles where their number is known.
+ROWS_PER_TASK = 50_000
+
 # Rows handed to Python at a time: few, because a single text may be very long.
 ROWS_PER_BATCH = "512"
 
@@ -37,13 +40,18 @@ class Work:
         self.count += 1
         return os.path.join(self.folder, f"{self.count:03d}-{name}")
 
-    def stored(self, df: DataFrame, name: str) -> DataFrame:
-        """Write the rows once and read them back."""
+    def stored(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """Write the rows once and read them back. `rows`: about how many short rows there are."""
         path = self.path(name)
-        df.write.parquet(path)
+        (df if rows is None else few(df, rows)).write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """The rows in no more tasks than so many short rows need; never in more than they have."""
+    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -13,13 +13,14 @@ that are still in another component: CENTRES candidates per text and region, nev
 
 Proposals are confirmed on the full sets, and confirmed links are closed into components. What
 is then still outside a region's largest component is held against the whole region, blocks of
-rows against blocks of rows, on the full sets: no pair that shares a region stays untested because
+some bytes against blocks of some bytes, on the full sets: no pair that shares a region stays untested because
 the region is crowded, and only links leave the tasks.
 """
 
 from __future__ import annotations
 
 import math
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm import words
-from tablewright.llm.base import Work, partitions
+from tablewright.llm.base import Work, few, partitions
 from tablewright.llm.graph import components
 
 COLUMNS = 72          # length of a signature: ORDERS * LEAST_PREFIX
@@ -39,7 +40,7 @@ LEAST_PREFIX = 3      # columns that neighbours share at least
 NEIGHBOURS = 3        # preceding rows looked at
 CENTRES = 4           # most linked members of a region that its others are held against
 
-BLOCK = 256           # rows of a region compared at a time
+BLOCK_BYTES = 1 << 20 # full sets of a region held against each other at a time, on either side
 
 FEATURES = "id bigint, n_shingles bigint, class binary, signature binary"
 FOREST = "tree int, prefix binary, id bigint, sketch binary"
@@ -52,6 +53,7 @@ def _multipliers() -> np.ndarray:
         + np.uint64(1)
 
 
+@cache
 def _orders() -> np.ndarray:
     """Signature columns of each tree, most significant first. No two trees share one of their
     first LEAST_PREFIX columns, so that trees miss a pair independently."""
@@ -215,16 +217,24 @@ def _alike(likeness: float):
     return run
 
 
-def _linked(asked: list[dict], rows: list[dict], percent: int):
-    """Links of the asked rows to rows of other components: one per row and component."""
+def _linked(asked: list[dict], rows: list[dict], percent: int, tree: int):
+    """Links of the asked rows to rows of other components: one per row and component.
+
+    Two rows that share a region of an earlier tree as well are left to that one.
+    """
     sets = [np.frombuffer(r["members"], "<u8") for r in rows]
     sizes = np.array([len(s) for s in sets])
     roots = np.array([r["root"] for r in rows], np.int64)
     ids = np.array([r["id"] for r in rows], np.int64)
+    first = _orders()[:tree, :LEAST_PREFIX]
+    prefixes = np.frombuffer(b"".join(r["signature"] for r in rows), np.uint32) \
+        .reshape(len(rows), COLUMNS)[:, first]
     for one in asked:
         own = np.frombuffer(one["members"], "<u8")
         fits = np.minimum(sizes, len(own)) * 100 >= np.maximum(sizes, len(own)) * percent
         near = np.flatnonzero(fits & (roots != one["root"]))
+        mine = np.frombuffer(one["signature"], np.uint32)[first]
+        near = near[~(prefixes[near] == mine).all(2).any(1)]
         if not len(near):
             continue
         values = np.concatenate([sets[k] for k in near])
@@ -232,8 +242,8 @@ def _linked(asked: list[dict], rows: list[dict], percent: int):
         starts = np.concatenate(([0], np.cumsum(sizes[near])[:-1]))
         shared = np.add.reduceat((own[place] == values).astype(np.int64), starts)
         hits = near[100 * shared >= percent * (len(own) + sizes[near] - shared)]
-        _, first = np.unique(roots[hits], return_index=True)
-        for k in hits[first]:
+        _, some = np.unique(roots[hits], return_index=True)
+        for k in hits[some]:
             yield int(one["id"]), int(ids[k])
 
 
@@ -241,44 +251,56 @@ def _compared(percent: int):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                found = list(_linked(row["asked"], row["rows"], percent))
+                found = list(_linked(row["asked"], row["rows"], percent, row["tree"]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([a for a, _ in found], pa.int64()),
                      pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
     return run
 
 
-def _completed(members: DataFrame, roots: DataFrame, docs: DataFrame, n: int, percent: int,
-               work: Work) -> DataFrame:
+def _completed(members: DataFrame, roots: DataFrame, classes: DataFrame, docs: DataFrame, n: int,
+               percent: int, work: Work) -> DataFrame:
     """Links between rows of one region that are in different components.
 
     `members` has tree, prefix, id. Only regions of several components are looked at, and
-    in them only rows outside the largest one ask; each is held against all rows of the region.
+    in them only rows outside the largest one ask; each is held against all rows of the region,
+    and two rows that share regions of several trees are compared in the first of them only.
     """
     region = ["tree", "prefix"]
+    count = members.count()
     rows = work.stored(
         members.select(*region, "id")
         .join(roots.select(F.col("u").alias("id"), "v"), "id", "left")
-        .select(*region, "id", F.coalesce("v", "id").alias("root")), "rooted")
-    mixed = (rows.groupBy(*region, "root").count().groupBy(*region)
+        .select(*region, "id", F.coalesce("v", "id").alias("root")), "rooted", count)
+    mixed = (few(rows.groupBy(*region, "root").count(), count).groupBy(*region)
              .agg(F.max(F.struct("count", (-F.col("root")).alias("r"))).alias("main"),
                   F.sum("count").alias("n"))
-             .where("n > main.count")
-             .select(*region, (-F.col("main.r")).alias("main"),
-                     F.ceil(F.col("n") / BLOCK).alias("blocks")))
-    rows = work.stored(rows.join(work.stored(mixed, "mixed"), region), "asking")
-    ids = work.stored(rows.select("id").distinct(), "ids")
+             .where("n > main.count").select(*region, (-F.col("main.r")).alias("main")))
+    rows = work.stored(
+        rows.join(work.stored(mixed, "mixed", count), region)
+        .select(*region, "id", "root", (F.col("root") != F.col("main")).alias("asks")),
+        "asking", count)
+    ids = work.stored(few(rows, count).select("id").distinct(), "ids", count)
     sets = work.stored(docs.join(ids, "id", "left_semi").select("id", "text")
                        .mapInArrow(_set_bytes(n), "id bigint, members binary"), "packed")
-    blocks = work.stored(
-        rows.join(sets, "id")
-        .groupBy(*region, F.pmod(F.xxhash64("id"), "blocks").alias("block"))
-        .agg(F.collect_list(F.struct("id", "root", "members",
-                                     (F.col("root") != F.col("main")).alias("asks")))
-             .alias("rows")), "blocks")
-    asked = blocks.select(*region, F.filter("rows", lambda r: r["asks"]).alias("asked")) \
-        .where(F.size("asked") > 0)
-    found = asked.join(blocks.select(*region, "rows"), region).select("asked", "rows")
+    size = F.octet_length("members")
+    sizes = work.stored(
+        few(rows.join(sets.select("id", size.alias("size")), "id"), count).groupBy(*region).agg(
+            F.ceil(F.sum("size") / BLOCK_BYTES).alias("blocks"),
+            F.ceil(F.sum(F.when(F.col("asks"), F.col("size"))) / BLOCK_BYTES).alias("asking")),
+        "sizes", count)
+    full = (rows.join(sizes, region).join(sets, "id")
+            .join(classes.select(F.col("rep").alias("id"), "signature"), "id"))
+
+    def blocks(some: DataFrame, parts: str, name: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("id"), F.col(parts)).alias("block")
+        return work.stored(
+            some.groupBy(*region, block)
+            .agg(F.collect_list(F.struct("id", "root", "members", "signature")).alias(name))
+            .drop("block"), name)
+
+    asked, blocks = blocks(full.where("asks"), "asking", "asked"), blocks(full, "blocks", "rows")
+    found = asked.join(blocks, region).select("tree", "asked", "rows")
     return work.stored(
         found.mapInArrow(_compared(percent), "a bigint, b bigint").distinct(),
         "completed")
@@ -288,7 +310,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int, work: Wo
     """The pairs whose full sets reach the threshold; sets are made anew from the whole texts."""
     ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     sets = work.stored(
-        docs.join(work.stored(ends, "ends"), "id", "left_semi").select("id", "text")
+        docs.join(work.stored(ends, "ends", 2 * pairs.count()), "id", "left_semi").select("id", "text")
         .mapInArrow(_sets(n), "id bigint, members array<bigint>"), "sets")
     left = sets.select(F.col("id").alias("a"), F.col("members").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("members").alias("y"))
@@ -340,8 +362,9 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80,
         .coalesce(1).sortWithinPartitions(*by_order)
         .mapInArrow(_neighbours(likeness, rim=False), PROPOSED), "ends")
     proposed = streamed.where(F.col("kind") != RIM).unionByName(ends)
+    count = proposed.count()
     pairs = work.stored(
-        proposed.where(F.col("kind") == PAIR).select("a", "b").distinct(), "pairs")
+        proposed.where(F.col("kind") == PAIR).select("a", "b").distinct(), "pairs", count)
     links = _confirmed(pairs, docs, shingle, percent, work)
     roots = components(links, work)
 
@@ -352,17 +375,18 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80,
     members = work.stored(
         proposed.where(F.col("kind") == MEMBER)
         .select("tree", "prefix", F.col("a").alias("id"), "sketch").distinct()
-        .join(work.stored(degree, "degree"), "id", "left")
+        .join(work.stored(degree, "degree", count), "id", "left")
         .join(roots.select(F.col("u").alias("id"), "v"), "id", "left")
         .select("tree", "prefix", "id", "sketch", F.coalesce("degree", F.lit(0)).alias("degree"),
-                F.coalesce("v", "id").alias("root")), "members")
+                F.coalesce("v", "id").alias("root")), "members", count)
     crowded = members.groupBy(*region).count().where(F.col("count") > NEIGHBOURS + 1)
     members = work.stored(
-        members.join(work.stored(crowded.drop("count"), "crowded"), region, "left_semi"), "rows")
+        members.join(work.stored(crowded.drop("count"), "crowded", count), region, "left_semi"),
+        "rows", count)
     ranked = Window.partitionBy(*region).orderBy(F.desc("degree"), "id")
     centres = work.stored(
         members.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= CENTRES)
-        .select(*region, F.struct("id", "root", "sketch").alias("c")), "centres")
+        .select(*region, F.struct("id", "root", "sketch").alias("c")), "centres", count)
     more = (members.join(centres, region).where("root != c.root")
             .select(F.least("id", F.col("c.id")).alias("a"),
                     F.greatest("id", F.col("c.id")).alias("b"), "sketch",
@@ -375,7 +399,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80,
         if not late.isEmpty():
             merged = roots.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(late)
             roots = components(merged, work)
-    last = _completed(members, roots, docs, shingle, percent, work)
+    last = _completed(members, roots, classes, docs, shingle, percent, work)
     if not last.isEmpty():
         merged = roots.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(last)
         roots = components(merged, work)
