@@ -137,6 +137,18 @@ SCORE_RULES = [
     ]),
 ]
 
+# ------------------------------------- columns of each customer file (fixed values; None: it has none)
+CUSTOMER_COLUMNS: dict[str, dict[str, str | None]] = {
+    "customers_1": {"id": "CustomerID", "region": "Reg", "city": "City", "education": "Education"},
+    "customers_2": {"id": "Customer_ID", "region": "Region", "city": "City_in_state",
+                    "education": "Edu"},
+    "customers_3": {"id": "cust_id", "region": "Region", "city": "City", "education": "Education"},
+    "customers_4": {"id": "CustomerID", "region": "Region", "city": "City", "education": None},
+    "customers_5": {"id": "CustomerID", "region": "Region", "city": "City", "education": "Education"},
+    "customers_6": {"id": "CustomerID", "region": "Region", "city": "City", "education": "Education"},
+    "customers_7": {"id": "CustomerID", "region": "Region", "city": "City", "education": "Education"},
+}
+
 # ---------------------------------------------------------------- generation, retrieval (fixed values)
 STATUS_SUCCESS = "success"
 STATUS_FAILED = "failed"

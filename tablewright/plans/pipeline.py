@@ -69,7 +69,7 @@ COLUMN_COMMENTS = {
         "job": "Occupation",
         "marital": "Marital status, NULL where the source does not record it",
         "education": "Education level, NULL where the source does not record it",
-        "default_flag": "1 if the customer has defaulted, else 0",
+        "default_flag": "1 after a missed repayment, else 0",
         "balance": "Account balance in dollars",
         "hh_insurance": "1 with household insurance, else 0",
         "car_loan": "1 with a car loan, else 0",

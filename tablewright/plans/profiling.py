@@ -12,23 +12,12 @@ from . import fixed_values as fixed
 from .raw import SALES_COLUMNS
 
 SOURCE = fixed.SOURCE_FILE
-SOURCES = [f"customers_{n}" for n in range(1, 8)]
-
-# Physical column behind each logical one, per source (None: the source has no such column).
-PHYSICAL: dict[str, dict[str, str | None]] = {
-    "id": dict(zip(SOURCES, ["CustomerID", "Customer_ID", "cust_id", "CustomerID", "CustomerID",
-                             "CustomerID", "CustomerID"], strict=True)),
-    "region": dict(zip(SOURCES, ["Reg"] + ["Region"] * 6, strict=True)),
-    "city": dict(zip(SOURCES, ["City", "City_in_state"] + ["City"] * 5, strict=True)),
-    "education": dict(zip(SOURCES, ["Education", "Edu", "Education", None, "Education",
-                                    "Education", "Education"], strict=True)),
-}
 
 
 def _physical(logical: str) -> Column:
     return harmonize.by_source(F.col(SOURCE), {
-        s: None if c is None else F.col(c).cast("string")
-        for s, c in PHYSICAL[logical].items()})
+        s: None if columns[logical] is None else F.col(columns[logical]).cast("string")
+        for s, columns in fixed.CUSTOMER_COLUMNS.items()})
 
 
 def table_sizes(raw: dict[str, DataFrame]) -> DataFrame:
@@ -55,7 +44,7 @@ def customer_nulls(customers: DataFrame) -> DataFrame:
         "state": F.col("State"), "city": _physical("city"),
         "education": _physical("education"),
     }, by=[SOURCE])
-    absent = [s for s, c in PHYSICAL["education"].items() if c is None]
+    absent = [s for s, c in fixed.CUSTOMER_COLUMNS.items() if c["education"] is None]
     missing = (F.col("column_name") == "education") & F.col(SOURCE).isin(absent)
     return counted.select(F.col(SOURCE).alias("table_name"), "column_name", "total_rows",
                           F.when(~missing, F.col("null_rows")).alias("null_rows"))
@@ -68,7 +57,7 @@ def region_values(customers: DataFrame) -> DataFrame:
 
 
 def education_values(customers: DataFrame) -> DataFrame:
-    having = [s for s, c in PHYSICAL["education"].items() if c is not None]
+    having = [s for s, c in fixed.CUSTOMER_COLUMNS.items() if c["education"] is not None]
     return profile.value_counts(
         customers.where(F.col(SOURCE).isin(having)).select(
             F.col(SOURCE).alias("table_name"), _physical("education").alias("education")),
