@@ -989,6 +989,7 @@ FINAL["kpi_document_figures"] = "\nUNION ALL ".join([
     _figures(_K, "by_marital", _KNOWN.format("dim_customer", "marital"), "marital", **_N),
 ])
 
+FINAL["split_counts"] = FINAL["rule_counts"]
 FINAL["dedup_incremental"] = FINAL["dedup_priority"]
 for _t in ("rejection_by_tier_region", "severity", "customers_by_region", "unsold_aging",
            "premium_by_tier"):

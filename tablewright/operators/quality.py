@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import all_null, any_null
@@ -62,15 +62,18 @@ def failing(df: DataFrame, checks: list[Rule]) -> DataFrame:
     )
 
 
-def write_split(df: DataFrame, checks: list[Rule], path: str) -> tuple[DataFrame, DataFrame]:
+def write_split(df: DataFrame, checks: list[Rule], path: str,
+                counts: Observation | None = None) -> tuple[DataFrame, DataFrame]:
     """Store both halves with one pass over the input; return readers for (clean, failed).
 
-    The transform behind `df` runs once. Each reader scans its own folder only.
+    The transform behind `df` runs once. Each reader scans its own folder only. With `counts`, the
+    same pass counts the rows that fail each rule; `observed_counts` tells them afterwards.
     """
     passed = F.coalesce(F.expr(_all_pass(checks)), F.lit(False))
     reason = F.concat_ws(", ", *[rule.message() for rule in checks])
     flagged = df.withColumn(REASON, F.when(~passed, reason)).withColumn(PASSED, passed)
-    flagged.write.mode("overwrite").partitionBy(PASSED).parquet(path)
+    watched = flagged if counts is None else flagged.observe(counts, *_rule_aggregates(checks))
+    watched.write.mode("overwrite").partitionBy(PASSED).parquet(path)
     # Read through the root with the schema given: a half without rows has no folder, but is
     # still an empty table.
     stored = df.sparkSession.read.schema(flagged.schema).parquet(path)
@@ -78,12 +81,26 @@ def write_split(df: DataFrame, checks: list[Rule], path: str) -> tuple[DataFrame
             stored.where(~F.col(PASSED)).drop(PASSED))
 
 
+def _rule_aggregates(checks: list[Rule]) -> list[Column]:
+    return [F.count(F.lit(1)).alias("total_rows"),
+            *[F.count_if(rule.failed()).alias(f"f{i}") for i, rule in enumerate(checks)]]
+
+
+def observed_counts(spark: SparkSession, counts: Observation, checks: list[Rule], table: str
+                    ) -> DataFrame:
+    """What `rule_counts` tells, from the counts that a `write_split` took on its way."""
+    seen = counts.get
+    total = seen["total_rows"]
+    return spark.createDataFrame(
+        [(table, rule.name, total, total - seen[f"f{i}"], seen[f"f{i}"])
+         for i, rule in enumerate(checks)],
+        "table_name string, rule_name string, total_rows bigint, passed_rows bigint, "
+        "failed_rows bigint")
+
+
 def rule_counts(df: DataFrame, checks: list[Rule], table: str) -> DataFrame:
     """One row per rule: rows checked, passed, failed. One scan whatever the number of rules."""
-    counted = df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *[F.count_if(rule.failed()).alias(f"f{i}") for i, rule in enumerate(checks)],
-    )
+    counted = df.agg(*_rule_aggregates(checks))
     per_rule = F.array(*[
         F.struct(F.lit(rule.name).alias("rule_name"), F.col(f"f{i}").alias("failed_rows"))
         for i, rule in enumerate(checks)

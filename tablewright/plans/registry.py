@@ -218,6 +218,8 @@ def queries() -> dict[str, Query]:
     registry["by_deductible"] = on(lambda x: retrieval.with_deductible(x.dim_policy, 2000))
     registry["tier_by_state"] = on(lambda x: retrieval.tier_by_state(x.dim_policy, "High"))
 
+    registry["split_counts"] = on(showcase.split_counts)
+
     # kept up to date batch by batch
     registry["dedup_incremental"] = on(showcase.dedup_incremental)
     for name in increments.ROLLUPS:

@@ -10,7 +10,7 @@ import uuid
 from functools import reduce
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -334,6 +334,16 @@ def split_once(layers: Layers) -> DataFrame:
     ).groupBy("part", "reason").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def split_counts(layers: Layers) -> DataFrame:
+    """Store the halves of all five tables; the counts of every rule, taken by the same passes."""
+    parts = []
+    for table, checks in silver.CHECKS.items():
+        counts = Observation()
+        quality.write_split(layers.typed(table), checks, shared_folder(layers.spark, "split"), counts)
+        parts.append(quality.observed_counts(layers.spark, counts, checks, table))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def stored_pipeline(layers: Layers) -> DataFrame:
     """Build and publish every layer, then count what each published table holds."""
     from ..operators.profile import row_counts
