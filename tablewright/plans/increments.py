@@ -65,13 +65,14 @@ def _flagged(condition: Column) -> Column:
     return F.count_if(condition)
 
 
-_REJECTED = {"rejected": F.coalesce(F.sum("is_rejected"), F.lit(0).cast("bigint"))}
+def _rejected() -> dict[str, Column]:
+    return {"rejected": F.coalesce(F.sum("is_rejected"), F.lit(0).cast("bigint"))}
 
 
 def _rejection() -> Rollup:
     rest, claimed = _money("claimed", "total_claim_amount")
     keys = _keys("policy_csl", "policy_csl_tier", "region")
-    return Rollup({**keys, **rest}, {**_REJECTED, **claimed}, lambda parts: parts.groupBy(*keys).agg(
+    return Rollup({**keys, **rest}, {**_rejected(), **claimed}, lambda parts: parts.groupBy(*keys).agg(
         F.sum("n").alias("total_claims"), F.sum("rejected").alias("rejected_claims"),
         m.percent(F.sum("rejected"), F.sum("n")).alias("rejection_rate_pct"),
         _money_mean("claimed").alias("avg_claim_amount"),
@@ -81,7 +82,7 @@ def _rejection() -> Rollup:
 def _severity() -> Rollup:
     rest, claimed = _money("claimed", "total_claim_amount")
     keys = _keys("incident_severity")
-    sums = {**_REJECTED, **claimed, **_whole("bodily_injuries"),
+    sums = {**_rejected(), **claimed, **_whole("bodily_injuries"),
             **_whole("number_of_vehicles_involved")}
     return Rollup({**keys, **rest}, sums, lambda parts: parts.groupBy(*keys).agg(
         F.sum("n").alias("total_claims"), F.sum("rejected").alias("rejected_claims"),
@@ -124,7 +125,7 @@ def _premiums() -> Rollup:
     premium_rest, premium = _money("premium", "policy_annual_premium")
     claimed_rest, claimed = _money("claimed", "total_claim_amount")
     sums = {**premium, **_whole("policy_deductable"), **_whole("umbrella_limit"),
-            **_REJECTED, **claimed}
+            **_rejected(), **claimed}
 
     def finish(parts: DataFrame) -> DataFrame:
         policies = parts.where("is_policy")
