@@ -737,6 +737,34 @@ FINAL["key_coverage"] = "\nUNION ALL ".join(
     for table, rk, extra in (("policy", "policy_number", ""),
                              ("customers", "CustomerID", " AND src = 'customers_7'"))
     for lk in ("PolicyID", "ClaimID"))
+_PATHS = (("nation", "n_regionkey", "region", "r_regionkey"),
+          ("customer", "c_nationkey", "nation", "n_nationkey"),
+          ("supplier", "s_nationkey", "nation", "n_nationkey"),
+          ("orders", "o_custkey", "customer", "c_custkey"),
+          ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+          ("lineitem", "l_partkey", "part", "p_partkey"),
+          ("lineitem", "l_suppkey", "supplier", "s_suppkey"))
+FINAL["join_paths"] = "\nUNION ALL ".join(
+    f"SELECT '{t}.{c} -> {u}.{k}' AS key_pair, count(*) AS total_rows, "
+    f"CAST(count_if({c} IN (SELECT {k} FROM {u})) AS BIGINT) AS matched_rows, "
+    f"CAST(count(*) - count_if({c} IN (SELECT {k} FROM {u})) AS BIGINT) AS unmatched_rows FROM {t}"
+    for t, c, u, k in _PATHS)
+_RENAMED = {"Customer_ID": "CustomerID", "cust_id": "CustomerID", "Reg": "Region",
+            "City_in_state": "City", "Edu": "Education", "Marital_status": "Marital"}
+_SWAPPED = {"Education": "Marital", "Marital_status": "Education"}
+FINAL["column_matches"] = "\nUNION ALL ".join(
+    f"SELECT src AS source_table, '{c}' AS physical_column, CASE WHEN src = 'customers_6' THEN "
+    f"'{_SWAPPED.get(c, _RENAMED.get(c, c))}' ELSE '{_RENAMED.get(c, c)}' END AS logical_column "
+    f"FROM customers_raw WHERE src <> 'customers_7' GROUP BY src "
+    f"HAVING count({c.replace('Default', 'Defaulted')}) > 0"
+    for c in ("CustomerID", "Region", "State", "City", "Job", "Marital", "Education", "Default",
+              "Balance", "HHInsurance", "CarLoan", *_RENAMED))
+FINAL["matched_union"] = """
+SELECT src AS _source_file, COALESCE(CustomerID, Customer_ID, cust_id) AS CustomerID,
+  COALESCE(Region, Reg) AS Region, State, COALESCE(City, City_in_state) AS City, Job,
+  CASE WHEN src = 'customers_6' THEN Education ELSE COALESCE(Marital, Marital_status) END AS Marital,
+  CASE WHEN src = 'customers_6' THEN Marital_status ELSE COALESCE(Education, Edu) END AS Education,
+  Defaulted AS "Default", Balance, HHInsurance, CarLoan FROM customers_raw"""
 FINAL["profile_numeric"] = "\nUNION ALL ".join(
     f"SELECT '{c}' AS column_name, CAST(round(CAST(CAST(avg({c}) AS VARCHAR) AS DECIMAL(38, 14)), 4) AS DOUBLE) AS mean, "
     f"CAST(round(CAST(CAST(stddev_samp({c}) AS VARCHAR) AS DECIMAL(38, 14)), 4) AS DOUBLE) AS stddev FROM claims_clean"
@@ -788,6 +816,14 @@ FROM tiered"""
 FINAL["generation_status"] = """
 SELECT CASE WHEN priority_tier <> 'LOW' THEN 'success' ELSE 'not_flagged' END AS generation_status,
   count(*) AS cnt FROM tiered GROUP BY 1"""
+FINAL["generation_resumed"] = """
+SELECT claim_id, priority_tier, CASE WHEN priority_tier <> 'LOW' THEN 'Prepare an investigation brief for claim '
+    || claim_id || ' under policy ' || policy_id || '.' END AS brief,
+  CASE WHEN priority_tier <> 'LOW' THEN 'success' ELSE 'not_flagged' END AS generation_status,
+  CASE WHEN priority_tier <> 'LOW' THEN 'template' END AS model_name,
+  CASE WHEN priority_tier <> 'LOW' THEN incident_severity IS DISTINCT FROM 'Trivial Damage' END
+    AS from_first_run
+FROM tiered"""
 FINAL["generation_failures"] = """
 SELECT priority_tier, generation_status, CASE WHEN generation_status <> 'not_flagged' THEN 'refusing' END AS model_name,
   count(*) AS row_count, CAST(count_if(generation_status = 'failed') AS BIGINT) AS error_texts

@@ -156,6 +156,9 @@ def queries() -> dict[str, Query]:
     registry["anti_claims_policy"] = _orphans("claims", "PolicyID", "policy", "policy_number")
     registry["key_coverage"] = on(lambda x: profiling.claim_joinability(
         x.raw("claims"), x.raw("policy"), x.raw("customers")))
+    registry["join_paths"] = showcase.join_paths
+    registry["column_matches"] = on(showcase.column_matches)
+    registry["matched_union"] = on(showcase.matched_union)
     registry["profile_numeric"] = on(
         lambda x: profile.numeric_profile(x.clean("claims"), scoring.AMOUNTS))
     registry["profile_amounts"] = on(
@@ -177,6 +180,7 @@ def queries() -> dict[str, Query]:
     registry["scored_output"] = on(lambda x: showcase.scored_report(_scored(x)))
     registry["generation_status"] = on(
         lambda x: scoring.status_counts(scoring.scored_report(_scored(x))))
+    registry["generation_resumed"] = on(lambda x: showcase.generation_resumed(_scored(x)))
     registry["generation_failures"] = on(lambda x: showcase.generation_failures(_scored(x)))
     registry["issue_report"] = on(showcase.issue_report)
     registry["issue_preview"] = on(showcase.issue_preview)

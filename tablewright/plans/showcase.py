@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.cleaning import matches
-from ..operators import enrich, incremental, quality, retrieve
+from ..operators import discover, enrich, incremental, quality, retrieve
 from ..session import shared_folder
 from ..sources import files, tables
 from ..streaming import ingest
@@ -518,6 +518,23 @@ def generation_failures(scored: DataFrame) -> DataFrame:
             f"{fixed.ERROR_PREFIX}nothing to investigate")).alias("error_texts"))
 
 
+def generation_resumed(scored: DataFrame) -> DataFrame:
+    """Briefs of two runs over one store of replies: the second asks only what failed before."""
+    store = shared_folder(scored.sparkSession, "replies")
+    flagged = F.col("priority_tier").isin(fixed.FLAGGED_TIERS)
+    claims = scored.select("claim_id", "priority_tier",
+                           F.when(flagged, scoring.investigation_prompt()).alias("prompt"))
+
+    def run(fn: enrich.Generator) -> DataFrame:
+        return enrich.generate_resumed(claims, "prompt", fn, "template", store, output="brief",
+                                       skipped=fixed.STATUS_NOT_FLAGGED)
+
+    first = run(refuse_trifles).agg(F.max("reply_run")).first()[0]
+    return run(enrich.each(scoring.summary_line)).select(
+        "claim_id", "priority_tier", "brief", "generation_status", "model_name",
+        (F.col("reply_run") <= F.lit(first)).alias("from_first_run"))
+
+
 def issue_report(layers: Layers) -> DataFrame:
     from . import issues
 
@@ -547,3 +564,36 @@ def spread(scored: DataFrame, value: Column | str) -> DataFrame:
     from ..operators.profile import spread_profile
 
     return spread_profile(scored, value, 0.95)
+
+
+# Least score of a join path that the query reports: that of a column wholly contained in a key of
+# the same name, however little of the key it covers.
+CLEAR_PATH = 0.8
+
+
+def join_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Join paths among the driver's related tables, found from their values, checked exactly."""
+    related = {name: raw.read(spark, sf_dir, name) for name in (
+        "region", "nation", "customer", "supplier", "part", "orders", "lineitem")}
+    clear = [p for p in discover.join_paths(related) if p.score >= CLEAR_PATH]
+    return discover.checked_paths(related, clear)
+
+
+def _matches(customers: DataFrame) -> list[tuple[str, str, str, float]]:
+    return discover.matched_columns(customers, fixed.SOURCE_FILE, fixed.MASTER_SOURCE)
+
+
+def column_matches(layers: Layers) -> DataFrame:
+    """The master file's column behind each column of the regional files."""
+    return layers.spark.createDataFrame(
+        _matches(layers.raw("customers")),
+        "source_table string, physical_column string, logical_column string, score double",
+    ).drop("score")
+
+
+def matched_union(layers: Layers) -> DataFrame:
+    """All customer files under the master's names, by the matches that were found."""
+    customers = layers.raw("customers")
+    matches = _matches(customers)
+    return discover.unified(customers, fixed.SOURCE_FILE, fixed.MASTER_SOURCE, matches,
+                            sorted({name for _, _, name, _ in matches}))
