@@ -5,6 +5,7 @@ import hashlib
 import io
 import itertools
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -240,18 +241,17 @@ def test_url_filter_without_labels(spark):
 # 8 Vector search ---------------------------------------------------------------------------
 
 def brute_top(rows, k, every):
-    best = {}
-    for i, v in rows:
-        if i is None or not v or any(x is None or not np.isfinite(x) for x in v):
-            continue
-        if i not in best or list(v) > list(best[i]):
-            best[i] = list(v)
-    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in best.items()}
+    """Every usable row is a candidate, and a query if its id is divisible, of its own."""
+    largest = int(np.finfo(float).max)
+    whole = [(i, [max(min(int(np.floor(256 * Fraction(x))), largest), -largest) for x in v])
+             for i, v in rows if i is not None and v is not None
+             and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for q in whole:
+    for at, (q, vector) in enumerate(whole):
         if q % every == 0:
-            found = sorted((-sum(a * b for a, b in zip(whole[q], whole[i])), i) for i in whole
-                           if i != q and len(whole[i]) == len(whole[q]))
+            found = sorted((-min(max(sum(a * b for a, b in zip(vector, v)), -2 ** 63), 2 ** 63 - 1), i)
+                           for place, (i, v) in enumerate(whole)
+                           if place != at and len(v) == len(vector))
             out += [(q, rank, i, -s) for rank, (s, i) in enumerate(found[:k], 1)]
     return sorted(out)
 
@@ -289,17 +289,38 @@ def test_top_scores_of_awkward_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0]), (1, [3.0, -1.0]), (1, [3.0, -1.0]), (2, None), (3, [nan, 1.0]),
             (4, [inf, 1.0]), (5, [None, 1.0]), (6, []), (7, [1.0]), (50, [1.0]), (8, [1e300, 1.0]),
-            (None, [9.0, 9.0]), (100, [-0.001, 0.999]), (1, [2.0, 7.0]), (9, [1e308, 1.0])]
+            (None, [9.0, 9.0]), (100, [-0.001, 0.999]), (1, [2.0, 7.0]), (9, [1e308, 1.0]),
+            (150, []), (100, [-0.001, 0.999]), (100, [4.0, 0.5])]
     df = spark.createDataFrame([(i, v, "s", 1.0) for i, v in rows],
                                "vec_id bigint, embedding array<double>, score string, rank double")
-    expected = [r if abs(r[3]) < 2 ** 63 else (*r[:3], 2 ** 63 - 1) for r in brute_top(
-        [r for r in rows if r[0] != 9], 5, 50)]
     got = sorted(tuple(r) for r in vector_search.top_scores(df).collect())
-    assert len(got) == len(expected)
-    assert [r for r in got if r[0] != 100] == [r for r in expected if r[0] != 100]
+    assert got == brute_top(rows, 5, 50)
+    assert (0, 2, 9, 2 ** 63 - 1) in got and (150, 1, 6, 0) in got
     assert vector_search.top_scores(df.where("false")).count() == 0
 
 
+def test_repeated_rows_are_candidates(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (50, [1.0, 2.0]), (50, [1.0, 2.0])],
+                               "vec_id bigint, embedding array<double>")
+    one = [(50, 1, 50, 5 * 65536), (50, 2, 1, 2 * 65536), (50, 3, 1, 65536)]
+    assert sorted(tuple(r) for r in vector_search.top_scores(df).collect()) == sorted(one * 2)
+
+
+@pytest.mark.parametrize("carried", [1, 256])
+def test_best_rows_are_carried_from_block_to_block(spark, monkeypatch, carried):
+    """Few tasks with many blocks each, also where a task may carry one query block only."""
+    rng = np.random.default_rng(3)
+    rows = [(i % 900, [float(x) for x in v])
+            for i, v in enumerate(np.round(rng.normal(size=(1000, 12)) * rng.pareto(1, (1000, 1)), 1))]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    monkeypatch.setattr(vector_search, "BLOCK", 16)
+    monkeypatch.setattr(vector_search, "CARRIED", carried)
+    monkeypatch.setattr(vector_search, "TASK_BLOCKS", 40)
+    monkeypatch.setattr(vector_search, "partitions", lambda _: 1)
+    got = sorted(tuple(r) for r in vector_search.top_scores(df, query_every=9).collect())
+    assert got == brute_top(rows, 5, 9)
+
+
 # 9 WARC ------------------------------------------------------------------------------------
 
 def brute_warc(rows, least=0):
