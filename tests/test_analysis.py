@@ -165,6 +165,34 @@ def test_one_rule_for_bad_vectors_and_any_number_of_questions(spark):
         assert got == {**{q: {1, 8} for q, _ in some}, 20_000: {2}}
 
 
+def test_topk_skips_what_pivots_rule_out(spark, monkeypatch):
+    """Clusters, twins and both ends of the range of doubles: same rows, fewer distances."""
+    monkeypatch.setattr(retrieve, "BLOCK", 500)
+    monkeypatch.setattr(retrieve, "GROUP", 20)
+    monkeypatch.setattr(retrieve, "QUERY_BLOCK", 8)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, 100, (12, 6))
+    points = [(i, [float(x) for x in centres[i % 12] + rng.normal(0, 1, 6)])
+              for i in range(480)]
+    points += [(2000 + i, points[i % 3][1]) for i in range(100)]
+    points += [(3000 + i, [x, 0.0, 0.0, 0.0, 0.0, 0.0])
+               for i, x in enumerate([1e200, -1e200, 1e-200, -1e-200, 3e-170, 1e154])]
+    corpus = spark.createDataFrame(points, "c long, v array<double>").repartition(3)
+    asked = corpus.withColumnRenamed("c", "q")
+    with np.errstate(over="ignore"):
+        expected = brute_force(points, points, 5)
+    got = {}
+    for r in retrieve.topk_l2(asked, corpus, "q", "c", "v", 5).orderBy("q", "rank").collect():
+        got.setdefault(r.q, []).append(r.c)
+    assert got == expected
+    work = retrieve.distances_computed(asked, corpus, "q", "c", "v", 5).first()
+    assert work.pairs == len(points) ** 2
+    assert 0 < work.scored == round(work.share * len(points) ** 2) < 0.4 * len(points) ** 2
+    empty = corpus.where("false")
+    assert tuple(retrieve.distances_computed(asked, empty, "q", "c", "v", 5).first()) == (
+        0, 0, None)
+
+
 def test_log_and_context(spark):
     hits = spark.createDataFrame(
         [(1, 20, 2, 0.25), (1, 10, 1, 0.5)], "q int, c int, rank int, confidence double")
