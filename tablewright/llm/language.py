@@ -154,15 +154,22 @@ def _temperature(scores: np.ndarray, labels: np.ndarray) -> float:
     return float(np.exp((low + high) / 2))
 
 
-def fit(samples: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
-    """Learn from (language, feature indices, counts). Every fifth row only sets the temperature."""
+def fit(samples: list[tuple[str, np.ndarray, np.ndarray]],
+        frequencies: tuple[int, np.ndarray] | None = None) -> Model:
+    """Learn from (language, feature indices, counts). Every fifth row only sets the temperature.
+
+    `frequencies`: the number of documents and, per feature, of those that have it; by default
+    those of the samples.
+    """
     languages = sorted({language for language, _, _ in samples})
     if not languages:
         return Model([], np.zeros(WIDTH), np.zeros((WIDTH, 0)), 1.0)
-    seen = np.zeros(WIDTH)
-    for _, indices, _ in samples:
-        seen[indices] += 1
-    idf = np.log((1 + len(samples)) / (1 + seen)) + 1
+    if frequencies is None:
+        seen = np.zeros(WIDTH)
+        for _, indices, _ in samples:
+            seen[indices] += 1
+        frequencies = len(samples), seen
+    idf = np.log((1 + frequencies[0]) / (1 + frequencies[1])) + 1
     labels = np.array([languages.index(language) for language, _, _ in samples])
     rows = [(indices, _weighted(indices, counts, idf)) for _, indices, counts in samples]
     aside = np.arange(len(rows)) % 5 == 4
@@ -191,6 +198,30 @@ def _counted(batches):
             names=["doc_id", "lang", "indices", "counts"])
 
 
+def _features(batches):
+    """For one task: how many texts have each feature, and, as feature WIDTH, how many have any."""
+    seen = np.zeros(WIDTH + 1, np.int64)
+    for batch in batches:
+        for text in batch.column(0):
+            counts = gram_counts(text.as_py())
+            if counts is not None:
+                seen[:WIDTH] += counts > 0
+                seen[WIDTH] += 1
+    at = np.flatnonzero(seen)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(seen[at], pa.int64())],
+                                     names=["feature", "n"])
+
+
+def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
+    """The number of texts with a letter and, per feature, of those that have it. All texts of
+    the one column are counted; a task hands on one row per feature, the driver gets the sums."""
+    sums = texts.mapInArrow(_features, "feature int, n bigint").groupBy("feature").agg(
+        F.sum("n").alias("n")).toArrow()
+    seen = np.zeros(WIDTH + 1, np.int64)
+    seen[sums.column("feature").to_numpy()] = sums.column("n").to_numpy()
+    return int(seen[WIDTH]), seen[:WIDTH]
+
+
 def held_out(id_col: str) -> F.Column:
     """Whether crc32 of the id as text leaves 2 when divided by 4; false for a null id."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -199,7 +230,9 @@ def held_out(id_col: str) -> F.Column:
 def learned(docs: DataFrame, *, sample: int = SAMPLE, id_col: str = "doc_id",
             text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fit on about `sample` labelled rows that are not held out, an equal share for each
-    language, chosen by a hash of the id. Rows without id, language or letters teach nothing."""
+    language, chosen by a hash of id and text; of equal rows one is taken. Document frequencies
+    are those of all labelled rows that are not held out. Rows without id, language or letters
+    teach nothing."""
     ready(docs.sparkSession)
     rows = docs.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & ~held_out(id_col)) \
         .select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"),
@@ -211,16 +244,17 @@ def learned(docs: DataFrame, *, sample: int = SAMPLE, id_col: str = "doc_id",
     fine = 1 << 30
     bar = F.create_map(*[F.lit(x) for lang, count in totals.items()
                          for x in (lang, int(fine * min(1.0, share / count)))])
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(fine)) < F.element_at(bar, F.col("lang")))
+    chosen = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(fine)) < F.element_at(bar, F.col("lang")))
     got = chosen.mapInArrow(
-        _counted, "doc_id bigint, lang string, indices binary, counts binary").toArrow()
+        _counted, "doc_id bigint, lang string, indices binary, counts binary").distinct().toArrow()
     got = got.sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("indices", "ascending"),
                        ("counts", "ascending")])
     return fit([(lang, np.frombuffer(at, "<u2").astype(np.int64),
                  np.frombuffer(counts, "<u4").astype(np.float64))
                 for lang, at, counts in zip(*(got.column(c).to_pylist()
                                               for c in ("lang", "indices", "counts")),
-                                            strict=True)])
+                                            strict=True)],
+               document_frequencies(rows.select("text")))
 
 
 def with_language(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:

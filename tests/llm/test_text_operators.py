@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -161,6 +162,22 @@ def test_held_out_rows_teach_nothing(documents):
     assert a == b and "xx" not in {r[2] for r in a}
 
 
+def test_language_counts_every_document_and_samples_rows(spark):
+    """Document frequencies of all learnable rows; equal rows count there, but teach once."""
+    rows = [(i, f"text {'abcdefgh'[i % 8]}{chr(97 + i % 26)} {i}", "xy"[i % 2])
+            for i in range(400)]
+    rows += [(1, "hot row", "x")] * 600 + [(7, "no language", None), (9, "12", "x"), (11, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    model = language.learned(docs, sample=50)
+    learnable = [text for i, text, lang in rows
+                 if lang and zlib.crc32(str(i).encode()) % 4 != 2]
+    counts = [c for c in map(language.gram_counts, learnable) if c is not None]
+    seen = sum((c > 0).astype(int) for c in counts)
+    expected = (np.log((1 + len(counts)) / (1 + seen)) + 1).astype(np.float32)
+    assert (model.idf == expected).all() and len(counts) > 700
+    assert model.languages == ["x", "y"]
+
+
 def test_language_of_awkward_rows(spark):
     got = language.identified(edge_docs(spark)).collect()
     assert len(got) == len(ROWS)
