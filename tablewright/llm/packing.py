@@ -66,7 +66,7 @@ def packed(docs: DataFrame, *, max_tokens: int = MAX_TOKENS, buckets: int = BUCK
     Tokens are words; piece 0 starts at token 0. Together the pieces of a document are its whole
     text. `batch` counts from 0 within its bucket; a batch holds batch_tokens // bucket_length
     pieces (one at least), and only the last of a bucket may hold fewer. Pieces are dealt in a
-    hash-random order, so that batches mix documents.
+    order random by a hash of id and text, so that batches mix documents, rows without an id too.
 
     A null, empty or blank text has one piece of no tokens, in no bucket: bucket_length, batch
     and slot are null. Repeated rows are packed each. A null id is carried along. Extra columns
@@ -74,7 +74,8 @@ def packed(docs: DataFrame, *, max_tokens: int = MAX_TOKENS, buckets: int = BUCK
     """
     work = Work(docs.sparkSession, "packing")
     sizes = work.stored(docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
-                                    word_count(text_col).alias("words")), "sizes")
+                                    word_count(text_col).alias("words"),
+                                    F.xxhash64(id_col, text_col).alias("seed")), "sizes")
     last = F.greatest(F.expr(f"(words - 1) div {max_tokens}"), F.lit(0)).cast("int")
     pieces = (
         sizes.withColumn("piece", F.explode(F.sequence(F.lit(0), last)))
@@ -98,7 +99,7 @@ def packed(docs: DataFrame, *, max_tokens: int = MAX_TOKENS, buckets: int = BUCK
         per_batch = F.when(fits, F.lit(max(1, batch_tokens // n))).otherwise(per_batch)
     pieces = (pieces.withColumn("bucket_length", F.when(F.col("n_tokens") > 0, bucket))
               .withColumn("per_batch", per_batch)
-              .withColumn("order", F.xxhash64("doc_id", "piece"))
+              .withColumn("order", F.xxhash64("seed", "piece"))
               .withColumn("shard", F.pmod(F.col("order"), shards)))
     some = pieces.where("n_tokens > 0")
 
@@ -108,7 +109,7 @@ def packed(docs: DataFrame, *, max_tokens: int = MAX_TOKENS, buckets: int = BUCK
         some.groupBy("bucket_length", "shard").count()
         .withColumn("start", F.coalesce(F.sum("count").over(ahead), F.lit(0)))
         .drop("count"), "starts")
-    inside = Window.partitionBy("bucket_length", "shard").orderBy("order", "doc_id", "piece")
+    inside = Window.partitionBy("bucket_length", "shard").orderBy("order", "doc_id", "piece", "n_tokens")
     number = F.col("start") + F.row_number().over(inside) - 1
     dealt = (
         some.join(starts, ["bucket_length", "shard"])

@@ -407,3 +407,15 @@ def test_broken_archives_are_refused():
     for bad in (raw[:-3], raw[:20] + b"\0\0\0" + raw[23:], raw + b"junk"):
         with pytest.raises(warc.BadArchive):
             list(warc.frames(io.BytesIO(bad)))
+
+
+def test_rows_without_id_are_numbered_in_many_tasks(spark, monkeypatch):
+    """Their texts spread them over the shards; reruns agree."""
+    monkeypatch.setattr(packing, "SHARD_ROWS", 50)
+    docs = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"),
+                                    F.concat(F.lit("w "), "id").alias("text"))
+    got = [sorted((r.batch, r.slot) for r in packing.packed(d, batch_tokens=64).collect())
+           for d in (docs, docs.repartition(7))]
+    assert got[0] == got[1] == [(i // 32, i % 32) for i in range(2000)]
+    order = docs.select(F.pmod(F.xxhash64(F.xxhash64("doc_id", "text"), F.lit(0)), F.lit(40)))
+    assert order.distinct().count() == 40
