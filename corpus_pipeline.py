@@ -8,17 +8,24 @@ from pyspark.sql import functions as F
 from tablewright.llm import language, mixing, near_dup, packing, secrets
 from tablewright.llm.base import Work, table
 
-# Least calibrated probability of the predicted language. With four or more languages in the
-# corpus this is far above chance; texts of no language and without letters fall below it.
+# Least calibrated probability of the predicted language, and how many times chance is enough
+# where there are so many languages that this is less.
 LEAST_CONFIDENCE = 0.5
+TIMES_CHANCE = 2
 
 
 def in_some_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is predicted with confidence; `und` ones go."""
+    """Documents whose language is predicted with confidence; `und` ones go.
+
+    Where no document teaches a language, those with a letter stay.
+    """
     model = language.learned(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike("\\p{L}"))
+    least = min(LEAST_CONFIDENCE, TIMES_CHANCE / len(model.languages))
     judged = language.with_language(docs, model)
     return judged.where((F.col("lang_pred") != language.UNKNOWN)
-                        & (F.col("score") >= LEAST_CONFIDENCE)).select(docs.columns)
+                        & (F.col("score") >= least)).select(docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
