@@ -8,6 +8,7 @@ import sys
 import corpus_pipeline
 import pytest
 from edge_cases import ROWS, edge_docs, groups, no_docs, words
+from pyspark.sql import functions as F
 from tablewright.llm import language, secrets
 from tablewright.llm.base import Work
 from test_data_operators import check_packing
@@ -44,6 +45,15 @@ def test_language_keeps_clean_documents(kept):
     assert got == expected and len(got) >= 0.98 * kept[0].count()
 
 
+def test_language_without_labels_keeps_what_has_letters(spark, kept):
+    docs = kept[0].limit(20).withColumn("lang", F.lit(None).cast("string"))
+    blank = docs.limit(1).withColumn("text", F.lit("12 - 34"))
+    none = docs.limit(1).withColumn("text", F.lit(None).cast("string"))
+    got = corpus_pipeline.in_some_language(spark, docs.union(blank).union(none), "")
+    assert got.dtypes == docs.dtypes
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, docs.collect()))
+
+
 def test_one_of_each_group_stays(kept):
     texts = [(r.doc_id, r.text) for r in kept[1].collect()]
     roots = groups(texts, 5)
