@@ -71,7 +71,7 @@ def swap_evidence(customers: DataFrame, source: str = "customers_6") -> DataFram
 
 def harmonized_union(customers: DataFrame) -> DataFrame:
     """The six regional sources under one schema, each by its own column mapping."""
-    regional = SOURCES[:6]
+    regional = [s for s in fixed.CUSTOMER_COLUMNS if s != fixed.MASTER_SOURCE]
     src = F.col(SOURCE)
     swapped = src == "customers_6"
     marital = harmonize.by_source(src, {

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tablewright.operators import joins, profile, retrieve
 from tablewright.operators.quantile import exact_quantile
 from tablewright.plans import fixed_values as fixed
-from tablewright.plans import gold, kpi
+from tablewright.plans import gold, kpi, profiling
 
 
 def discrete_quantile(values, q):
@@ -353,3 +353,19 @@ def test_null_profile_by_group(spark):
     got = profile.null_profile(df, {"a": F.col("a"), "b": F.col("b")}, ["g"]).collect()
     assert sorted(tuple(r) for r in got) == [
         ("s", "a", 2, 1), ("s", "b", 2, 2), ("t", "a", 1, 0), ("t", "b", 1, 0)]
+
+
+def test_harmonized_union_takes_the_regional_sources(spark, layers):
+    given = layers.raw("customers").dtypes
+    rows = [{"_source_file": "customers_2", "Customer_ID": 2, "Edu": "primary"},
+            {"_source_file": "customers_5", "CustomerID": 5, "Region": "E", "Education": "terto"},
+            {"_source_file": "customers_6", "CustomerID": 6, "Education": "single",
+             "Marital_status": "secondary"},
+            {"_source_file": "customers_7", "CustomerID": 7, "Region": "East"}]
+    df = spark.createDataFrame([tuple(r.get(name) for name, _ in given) for r in rows],
+                               ", ".join(f"`{name}` {kind}" for name, kind in given))
+    got = profiling.harmonized_union(df).orderBy("customer_id").select(
+        "source_table", "customer_id", "region", "marital_status", "education").collect()
+    assert [tuple(r) for r in got] == [
+        ("customers_2", 2, None, None, "primary"), ("customers_5", 5, "East", None, "tertiary"),
+        ("customers_6", 6, None, "single", "secondary")]
