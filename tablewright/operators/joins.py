@@ -4,15 +4,42 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Marks of the table that `may_match` looks keys up in: 4 MB of bits, some 30 MB as broadcast.
+MARKS = 1 << 25
+
+
+def _slot(df: DataFrame, key: str) -> Column:
+    value = F.col(key)
+    if dict(df.dtypes)[key] in ("float", "double"):
+        value = value + F.lit(0).cast(dict(df.dtypes)[key])      # -0.0 equals 0.0
+    return F.pmod(F.xxhash64(value), F.lit(MARKS))
+
+
+def may_match(df: DataFrame, key: str, keys: DataFrame, keys_key: str) -> DataFrame:
+    """Rows of `df` whose key may be among `keys`, and those without a key; no row moves.
+
+    Both keys have one type. The keys are marked in a table of MARKS bits, whose words Spark
+    broadcasts; a row stays if its mark is set, which some rows' are by chance. When the table
+    is full, all rows stay. What must be exact is left to a join that follows.
+    """
+    words = keys.select(_slot(keys, keys_key).alias("_slot")).groupBy(
+        F.shiftright("_slot", 6).alias("_word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(_slot % 64 AS INT))")).alias("_marks"))
+    looked_up = df.withColumn("_slot", _slot(df, key)).withColumn(
+        "_of", F.shiftright("_slot", 6)).join(F.broadcast(words), F.col("_of") == F.col("_word"), "left")
+    marked = F.getbit("_marks", (F.col("_slot") % 64).cast("int")) == 1
+    return looked_up.where(F.col(key).isNull() | marked).select(*[f"`{c}`" for c in df.columns])
+
 
 def orphans(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Rows of `left` whose key is not in `right`; a NULL key is never found.
 
-    The right side is reduced to its distinct keys before it moves, so repeated right keys cost
-    one row per task. Its partitions are then left as they are by `coalesce`, which makes Spark
+    Keys move first, alone: those of `left` that are not in `right` mark the rows that may be in the
+    result, and only these rows move whole. Both sides are reduced to their distinct keys before
+    they move, so repeated keys cost one row per task. The partitions of the right keys are then left as they are by `coalesce`, which makes Spark
     put a plain exchange on both sides of the join: adaptive execution can so split the rows of
     a frequent left key, and replaces the join by a broadcast where the keys' size allows it.
     """
@@ -21,7 +48,11 @@ def orphans(left: DataFrame, right: DataFrame, left_key: str, right_key: str) ->
         right.where(F.col(right_key).isNotNull())
         .select(F.col(right_key).alias("_key")).distinct().coalesce(max(2, parts))
     )
-    return left.join(keys, F.col(left_key) == F.col("_key"), "left_anti")
+    missing = left.where(F.col(left_key).isNotNull()).select(
+        F.col(left_key).alias("_left")).distinct().join(
+        keys, F.col("_left") == F.col("_key"), "left_anti")
+    rows = may_match(left, left_key, missing, "_left")
+    return rows.join(keys, F.col(left_key) == F.col("_key"), "left_anti")
 
 
 def key_coverage(pairs: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:

@@ -369,3 +369,23 @@ def test_harmonized_union_takes_the_regional_sources(spark, layers):
     assert [tuple(r) for r in got] == [
         ("customers_2", 2, None, None, "primary"), ("customers_5", 5, "East", None, "tertiary"),
         ("customers_6", 6, None, "single", "secondary")]
+
+
+def test_orphans_move_only_rows_that_may_be_orphans(spark):
+    left = spark.range(20_000).select(F.col("id").cast("int").alias("k"), "id")
+    got = joins.orphans(left, spark.range(19_990).select(F.col("id").alias("r")), "k", "r")
+    assert sorted(r.k for r in got.collect()) == list(range(19_990, 20_000))
+    missing = spark.range(19_990, 20_000).select(F.col("id").cast("int").alias("m"))
+    assert 10 <= joins.may_match(left, "k", missing, "m").count() < 100
+
+
+@pytest.mark.parametrize("kind", ["double", "float", "string"])
+def test_rows_that_may_match_include_all_that_do(spark, kind):
+    left = spark.createDataFrame([(-0.0,), (0.0,), (2.0,), (float("nan"),), (None,)], "x double") \
+        .select(F.col("x").cast(kind).alias("k"))
+    keys = spark.createDataFrame([(0.0,), (float("nan"),), (None,)], "y double").select(
+        F.col("y").cast(kind).alias("m")).distinct()
+    whole = left.join(keys, F.col("k") == F.col("m"), "left_semi").count()
+    got = joins.may_match(left, "k", keys, "m")
+    assert got.where("k IS NULL").count() == left.where("k IS NULL").count()
+    assert got.join(keys, F.col("k") == F.col("m"), "left_semi").count() == whole
