@@ -182,3 +182,15 @@ def test_unentered_round_is_not_read(spark, tmp_path):
     kept = enrich.generate_resumed(more, "p", enrich.each(str.lower), "m", store).collect()
     assert sorted((r.id, r.generated_text) for r in kept)[:2] == [(1, "A"), (1, "A")]
     assert len(kept) == 3
+
+
+def test_prompts_are_kept_twice_at_most(spark, tmp_path, monkeypatch):
+    """What a run keeps beside its replies: its rows, and the prompts of its rounds."""
+    monkeypatch.setattr(enrich, "shared_folder", lambda _, purpose: str(tmp_path / purpose))
+    df = spark.range(1500).select("id", F.concat_ws("", *[
+        F.sha2(F.concat_ws("-", "id", F.lit(i)), 256) for i in range(16)]).alias("p"))
+    out = enrich.generate_resumed(df, "p", enrich.each(lambda p: p[:4]), "m",
+                                  str(tmp_path / "store"), at_once=500)
+    assert out.where("generation_status = 'success'").count() == 1500
+    kept = sum(f.stat().st_size for f in (tmp_path / "generate").rglob("*.parquet"))
+    assert kept < 1500 * 1024 * 2
