@@ -33,7 +33,7 @@ class Runs:
 
     def _write(self, df: DataFrame, name: str) -> str:
         folder = f"{name}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(f"{self.folder}/{folder}")
+        df.write.option("compression", "zstd").parquet(f"{self.folder}/{folder}")
         return folder
 
     def settled(self, batch: int) -> bool:
