@@ -2,13 +2,13 @@
 
 Each batch brings raw rows of any of the tables. Customers are reduced to their winners, so a batch
 may change the region of claims that came long before; a policy or a car may arrive after the rows
-that refer to it. For the keys a batch touches, the facts are built as they were and as they are now,
-and each rollup takes the first back and adds the second.
+that refer to it. Each rollup adds the facts of a batch's own rows; older facts that refer to what the
+batch brought or changed are built as they were and as they are now, taken back and added again.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -208,42 +208,57 @@ class IncrementalGold:
             typed = (silver.sales(raw[table], self.as_of) if table == "sales"
                      else getattr(silver, table)(raw[table]))
             self.tables[table].put(batch, quality.passing(typed, silver.CHECKS[table]))
-        new = {t: runs.run(batch) for t, runs in self.tables.items()}
-        before, after = self._clean(batch), self._clean(None)
+        new, before, after = self._arrived(batch), self._clean(batch), self._clean(None)
         for name, rollup in self.rollups.items():
-            old, now = (self._facts(name, tables, new, before, after) for tables in (before, after))
-            self.state[name].put(batch, rollup.partial(now, old))
+            added, removed = self._change(name, new, before, after)
+            self.state[name].put(batch, rollup.partial(added, removed))
 
-    @staticmethod
-    def _touched(column: str, *parts: tuple[DataFrame, str]) -> DataFrame:
-        return reduce(DataFrame.unionByName, [
-            df.select(F.col(key).alias(column)) for df, key in parts]).distinct()
+    def _arrived(self, batch: int) -> dict[str, DataFrame]:
+        """The rows one batch brought; of customers, its own winners before any rule."""
+        return {t: runs.run(batch) for t, runs in self.tables.items()}
+
+    def _change(self, name: str, new: dict, before: dict, after: dict
+                ) -> tuple[DataFrame, DataFrame | None]:
+        """Rows that a rollup's input gains by the batch and those that it loses.
 
-    def _facts(self, name: str, tables: dict, new: dict, before: dict, after: dict) -> DataFrame:
-        """Rows of a rollup's input that the batch may have changed, from the given tables."""
+        A fact depends on its own row and on what that row refers to. So the new rows are gained, and
+        an old one is taken back, and gained in its new form, only if something it refers to came
+        or changed.
+        """
         if name == "customers_by_region":
-            ids = self._touched("customer_id", (new["customers"], "customer_id"))
-            return tables["customers"].join(ids, "customer_id", "left_semi")
-        if name == "unsold_aging":
-            cars = self._touched("car_id", (new["sales"], "car_id"), (new["cars"], "car_id"))
-            sales = tables["sales"].join(cars, "car_id", "left_semi").unionByName(
-                tables["sales"].where("car_id IS NULL"))
-            return gold.fact_sales(sales, tables["cars"]).where("is_sold = 0")
+            ids = new["customers"].select("customer_id").distinct()
+            return tuple(tables["customers"].join(ids, "customer_id", "left_semi")
+                         for tables in (after, before))
         if name == "premium_by_tier":
-            number = self._touched("number", (new["policy"], "policy_number"),
-                                   (new["claims"], "policy_id"))
-            both = _policies_and_claims(tables["claims"], tables["policy"])
-            return both.join(number, both["number"].eqNullSafe(number["number"]), "left_semi")
-        holders = self._touched("customer_id", (new["customers"], "customer_id"))
-        moved = reduce(DataFrame.unionByName, [
-            t["policy"].join(holders, "customer_id", "left_semi").select("policy_number")
-            for t in (before, after)])
-        number = self._touched("policy_id", (new["policy"], "policy_number"),
-                               (new["claims"], "policy_id"), (moved, "policy_number"))
-        claims = tables["claims"]
-        claims = claims.join(number, "policy_id", "left_semi").unionByName(
-            claims.where("policy_id IS NULL"))
-        return gold.fact_claims(claims, tables["policy"], tables["customers"])
+            return _policies_and_claims(new["claims"], new["policy"]), None
+        if name == "unsold_aging":
+            cars = new["cars"].select("car_id").distinct()
+            old = before["sales"].join(cars, "car_id", "left_semi")
+            return self._around(new["sales"], old, lambda sales, tables: gold.fact_sales(
+                sales, tables["cars"]).where("is_sold = 0"), before, after)
+        number = new["policy"].select(F.col("policy_number").alias("policy_id"))
+        if name == "rejection_by_tier_region":
+            number = number.unionByName(self._rehoused(new, before, after))
+        old = before["claims"].join(number.distinct(), "policy_id", "left_semi")
+        return self._around(new["claims"], old, lambda claims, tables: gold.fact_claims(
+            claims, tables["policy"], tables["customers"]), before, after)
+
+    @staticmethod
+    def _around(new: DataFrame, old: DataFrame, facts: Callable[[DataFrame, dict], DataFrame],
+                before: dict, after: dict) -> tuple[DataFrame, DataFrame]:
+        return facts(new.unionByName(old), after), facts(old, before)
+
+    @staticmethod
+    def _rehoused(new: dict, before: dict, after: dict) -> DataFrame:
+        """Policies whose holder has another region or state than before the batch, or had none."""
+        ids = new["customers"].select("customer_id").distinct()
+        homes = [tables["customers"].join(ids, "customer_id", "left_semi").select(
+            "customer_id", F.struct("region", "state").alias(when))
+            for tables, when in ((before, "was"), (after, "is"))]
+        moved = homes[0].join(homes[1], "customer_id", "full").where(
+            ~F.col("was").eqNullSafe(F.col("is"))).select("customer_id")
+        return after["policy"].join(moved, "customer_id", "left_semi").select(
+            F.col("policy_number").alias("policy_id"))
 
     def result(self, name: str) -> DataFrame:
         return self.rollups[name].result(self.state[name])
