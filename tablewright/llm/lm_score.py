@@ -2,9 +2,11 @@
 
 A bidirectional window network predicts every word from the two words on either side, and the
 logarithms of the probabilities it gives to the words that stand there sum to a document's score.
-A word's probability is that of its class, which the network predicts, times the word's share of
-its class, which is counted over the whole corpus. Classes are bands of word frequency: the most
-frequent words have one each, the others share classes of equal mass.
+Classes are bands of word frequency: the most frequent words have one each, the others share classes
+of equal mass. The network predicts the class. Inside a class a word's probability comes in two
+forms: `log_likelihood` takes the word's share of its class, counted over the whole corpus, whatever
+stands beside it; `word_log_likelihood` predicts the word too, by an inner softmax over the words of
+the class that sees the same hidden state.
 """
 
 from __future__ import annotations
@@ -28,6 +30,10 @@ SAFE_SCORE = 60.0              # float32 holds exp of this and sums of such
 SLICES, FAN_IN = 16, 64        # parameter slices; shards averaged at a time
 CHUNK = 1 << 11                # words scored at a time
 UNTOUCHED = 1e-6               # weight of a row that a shard has no word for
+INNER_BATCH, INNER_RATE = 256, 0.2
+FAN = 64                       # words or groups of words that one inner softmax tells apart
+DAMPING = 0.1                  # first moment of the inner softmax: few examples move it little
+INNER_CHUNK = 1 << 17          # words scored at a time by the inner softmax
 
 
 def word_ids(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -44,6 +50,103 @@ def _counted(batches):
                                      names=["word", "n"])
 
 
+class Inner:
+    """Trees over the words of each class; a softmax at every node, all told in rows.
+
+    A class of more than FAN words is cut, by frequency, into at most FAN groups, and these again
+    until groups have FAN words. Every word or group is a row of a table of weights; `paths` has the
+    rows a word goes through, level by level, -1 where there is no choice left. Weights begin at
+    zero, where a row's probability is its share of its node (`base`).
+    """
+
+    def __init__(self, band: np.ndarray, order: np.ndarray, counts: np.ndarray):
+        self.paths, starts, base = [], [0], []
+        seen = order[counts[order] > 0]
+        by_band = seen[np.argsort(band[seen], kind="stable")]
+        now = np.split(by_band, np.searchsorted(band[by_band], np.arange(1, CLASSES)))
+        while now := [members for members in now if len(members) > 1]:
+            rows, deeper = np.full(VOCABULARY, -1, np.int64), []
+            for members in now:
+                size = 1
+                while size * FAN < len(members):
+                    size *= FAN
+                child = np.arange(len(members)) // size
+                rows[members] = starts[-1] + child
+                mass = np.bincount(child, counts[members])
+                base.append(np.log(mass / mass.sum()))
+                starts.append(starts[-1] + len(mass))
+                if size > 1:
+                    deeper += np.split(members, np.arange(size, len(members), size))
+            self.paths.append(rows)
+            now = deeper
+        self.starts = np.array(starts)
+        self.base = np.concatenate(base).astype(np.float32) if base else np.zeros(0, np.float32)
+        self.node = np.repeat(np.arange(len(base)), np.diff(self.starts))
+
+    def choices(self, ids: np.ndarray):
+        """For every node that the words go through: its rows, positions and their choices."""
+        for rows in self.paths:
+            own = rows[ids]
+            at = np.flatnonzero(own >= 0)
+            nodes = self.node[own[at]]
+            order = np.argsort(nodes.astype(np.uint16), kind="stable")
+            at, nodes = at[order], nodes[order]
+            first = np.flatnonzero(np.r_[True, nodes[1:] != nodes[:-1]]) if len(at) else []
+            for here, places in zip(nodes[first], np.split(at, first[1:])):
+                part = slice(self.starts[here], self.starts[here + 1])
+                yield part, places, own[places] - part.start
+
+    def train(self, network: Network, contexts: np.ndarray, ids: np.ndarray) -> None:
+        """Adagrad over every node's positions, shuffled; the network has learned already."""
+        network.words = np.zeros((len(self.base), WIDTH + 1), np.float32)
+        rng = np.random.default_rng(5)
+        hidden = with_one(network, contexts)
+        for part, places, choice in self.choices(ids):
+            mixed = rng.permutation(len(places))
+            h, choice = hidden[places[mixed]], choice[mixed]
+            weights, base = network.words[part], self.base[part, None]
+            moment = np.full_like(weights, DAMPING)
+            for at in range(0, len(places), INNER_BATCH):
+                x, y = h[at:at + INNER_BATCH], choice[at:at + INNER_BATCH]
+                error = weights @ x.T
+                error += base
+                error -= error.max(0)
+                np.exp(error, out=error)
+                error /= error.sum(0)
+                error[y, np.arange(len(y))] -= 1
+                g = error @ x
+                moment += g * g
+                weights -= INNER_RATE * g / np.sqrt(moment)
+
+    def log_probability(self, network: Network, hidden: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Of every word within its class, by the hidden units (with the one) of its position."""
+        logs = np.zeros(len(ids), np.float32)
+        for part, places, choice in self.choices(ids):
+            scores = network.words[part] @ hidden[places].T
+            scores += self.base[part, None]
+            scores -= scores.max(0)
+            chosen = scores[choice, np.arange(len(choice))]
+            logs[places] += chosen - np.log(np.exp(scores, out=scores).sum(0))
+        return logs
+
+    def weights(self, ids: np.ndarray) -> np.ndarray:
+        """How many of the positions each row's node has learned from."""
+        if not len(self.base):
+            return np.zeros(0)
+        chosen = sum(np.bincount(own[own >= 0], minlength=len(self.base))
+                     for own in (rows[ids] for rows in self.paths))
+        per_node = np.add.reduceat(chosen, self.starts[:-1])
+        return np.maximum(per_node[self.node], UNTOUCHED)
+
+
+def with_one(network: Network, contexts: np.ndarray) -> np.ndarray:
+    """Hidden units with a constant one behind them, which meets the bias."""
+    out = np.ones((len(contexts), WIDTH + 1), np.float32)
+    for at in range(0, len(out), CHUNK):
+        out[at:at + CHUNK, :WIDTH] = network.hidden(contexts[at:at + CHUNK])
+    return out
+
+
 class Bands:
     """Classes, shares and context ids of all hashed words, from their counts in the corpus."""
 
@@ -57,6 +160,7 @@ class Bands:
             self.band[rest] = SINGLE + np.minimum(
                 (mass - counts[rest] / 2) / mass[-1] * (CLASSES - SINGLE),
                 CLASSES - SINGLE - 1).astype(np.int64)
+        self.inner = Inner(self.band, order, counts)
         total = np.bincount(self.band, counts, CLASSES)
         with np.errstate(divide="ignore", invalid="ignore"):
             self.log_share = np.log(counts / total[self.band])
@@ -80,15 +184,17 @@ class Bands:
 
 
 class Network:
-    """Sum of one embedding per side, tanh, softmax over the classes."""
+    """Sum of one embedding per side, tanh, softmax over the classes; `words` are the weights of the
+    inner softmax over the words of a class, one row per row of `Inner`."""
 
-    def __init__(self, seed: int = 3):
+    def __init__(self, seed: int = 3, inner_rows: int = 0):
         rng = np.random.default_rng(seed)
         self.joint = np.concatenate(
             [rng.normal(0, 0.1, (KNOWN + CLASSES + 1, WIDTH)).astype(np.float32) for _ in SIDES])
         self.tables = np.split(self.joint, len(SIDES))         # views, one per side
         self.out = rng.normal(0, 0.1, (WIDTH, CLASSES)).astype(np.float32)
         self.bias = np.zeros(CLASSES, np.float32)
+        self.words = np.zeros((inner_rows, WIDTH + 1), np.float32)
 
     def parameters(self) -> np.ndarray:
         return np.concatenate([t.ravel() for t in (*self.tables, self.out, self.bias)])
@@ -107,7 +213,10 @@ class Network:
         return np.tanh(total, out=total)
 
     def log_probability(self, contexts: np.ndarray, bands: np.ndarray) -> np.ndarray:
-        scores = self.out.T @ self.hidden(contexts).T
+        return self.class_log_probability(self.hidden(contexts), bands)
+
+    def class_log_probability(self, hidden: np.ndarray, bands: np.ndarray) -> np.ndarray:
+        scores = self.out.T @ hidden.T
         scores += self.bias[:, None]
         scores -= scores.max(0)
         chosen = scores[bands, np.arange(len(bands))]
@@ -179,24 +288,35 @@ def joint_rows(contexts: np.ndarray) -> np.ndarray:
     return contexts + np.arange(len(SIDES)) * (KNOWN + CLASSES + 1)
 
 
+COLUMNS = ["doc_id", "n_words", "log_likelihood", "mean_log_probability", "word_log_likelihood",
+           "mean_word_log_probability"]
+
+
 def _scores(bands: Bands, network: Network):
     def run(batches):
         for batch in batches:
             ids, offsets = word_ids(batch.column(1).to_pylist())
             contexts = bands.contexts(ids, offsets)
             own = bands.band[ids]
-            logs = bands.log_share[ids].copy()
-            for at in range(0, len(ids), CHUNK):
-                part = slice(at, at + CHUNK)
-                logs[part] += network.log_probability(contexts[part], own[part])
+            logs, word_logs = bands.log_share[ids], np.empty(len(ids))
+            for start in range(0, len(ids), INNER_CHUNK):
+                here = slice(start, start + INNER_CHUNK)
+                hidden = with_one(network, contexts[here])
+                for at in range(0, len(hidden), CHUNK):
+                    part = slice(start + at, start + min(at + CHUNK, len(hidden)))
+                    word_logs[part] = network.class_log_probability(
+                        hidden[at:at + CHUNK, :WIDTH], own[part])
+                logs[here] += word_logs[here]
+                word_logs[here] += bands.inner.log_probability(network, hidden, ids[here])
             counts = np.diff(offsets)
             owner = np.repeat(np.arange(len(counts)), counts)
-            sums = np.bincount(owner, logs, len(counts)).astype(np.float64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts), pa.array(sums),
-                 pa.array(np.divide(sums, counts, out=np.zeros(len(sums)), where=counts > 0),
-                          mask=counts == 0)],
-                names=["doc_id", "n_words", "log_likelihood", "mean_log_probability"])
+            columns = [batch.column(0), pa.array(counts)]
+            for each in (logs, word_logs):
+                sums = np.bincount(owner, each, len(counts)).astype(np.float64)
+                columns += [pa.array(sums), pa.array(
+                    np.divide(sums, counts, out=np.zeros(len(sums)), where=counts > 0),
+                    mask=counts == 0)]
+            yield pa.RecordBatch.from_arrays(columns, names=COLUMNS)
     return run
 
 
@@ -210,15 +330,20 @@ def _weights(contexts: np.ndarray) -> np.ndarray:
 
 def _trained(bands: Bands):
     def run(key, docs):
-        """Parameters learned from every word of one shard's texts, in SLICES parts."""
+        """Parameters learned from every word of one shard's texts, in SLICES parts; the inner weights
+        are as many parts more, in half precision, with one averaging weight per row."""
         docs = docs.sort_by([("doc", "ascending"), ("text", "ascending")])
         ids, offsets = word_ids(docs.column("text").to_pylist())
         contexts, network = bands.contexts(ids, offsets), Network()
         network.train(contexts, bands.band[ids])
-        parts, weights = (np.array_split(v.astype("<f4"), SLICES)
-                          for v in (network.parameters(), _weights(contexts)))
-        return pa.table({"shard": pa.array([key[0].as_py()] * SLICES, pa.int64()),
-                         "slice": pa.array(range(SLICES), pa.int32()),
+        bands.inner.train(network, contexts, ids)
+        parts, weights = (
+            [*np.array_split(outer.astype("<f4"), SLICES), *np.array_split(inner, SLICES)]
+            for outer, inner in (
+                (network.parameters(), network.words.astype("<f2")),
+                (_weights(contexts), bands.inner.weights(ids).astype("<f4"))))
+        return pa.table({"shard": pa.array([key[0].as_py()] * 2 * SLICES, pa.int64()),
+                         "slice": pa.array(range(2 * SLICES), pa.int32()),
                          "part": pa.array([p.tobytes() for p in parts], pa.binary()),
                          "weight": pa.array([w.tobytes() for w in weights], pa.binary())})
     return run
@@ -229,13 +354,14 @@ def _averaged(key, rows: pa.Table) -> pa.Table:
     has learned from: what a shard has no word for stays as the other shards learned it."""
     rows = rows.sort_by("shard")
     total = weight = 0.0
+    kind, shape = ("<f2", (-1, WIDTH + 1)) if key[1].as_py() >= SLICES else ("<f4", (-1, 1))
     for part, weights in zip(rows.column("part").to_pylist(), rows.column("weight").to_pylist(),
                              strict=True):
-        w = np.frombuffer(weights, "<f4").astype(np.float64)
-        total, weight = total + np.frombuffer(part, "<f4") * w, weight + w
+        w = np.frombuffer(weights, "<f4").astype(np.float64)[:, None]
+        total, weight = total + np.frombuffer(part, kind).reshape(shape) * w, weight + w
     return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()),
                      "slice": pa.array([key[1].as_py()], pa.int32()),
-                     "part": pa.array([(total / weight).astype("<f4").tobytes()], pa.binary()),
+                     "part": pa.array([(total / weight).astype(kind).tobytes()], pa.binary()),
                      "weight": pa.array([weight.astype("<f4").tobytes()], pa.binary())})
 
 
@@ -245,14 +371,16 @@ def fitted(docs: DataFrame, work: Work) -> tuple[Bands, Network]:
     Texts are dealt whole to shards of about SHARD_WORDS words by a hash of id and text; one task
     learns from one shard, and the shards' parameters are averaged FAN_IN at a time, slice by
     slice. No task or driver holds more than a shard, FAN_IN slices, VOCABULARY counts or one
-    network. `docs` has columns `id` and `text`.
+    network with its inner weights (25 numbers for each of at most VOCABULARY words and their
+    groups). `docs` has columns `id` and `text`.
     """
     counted = work.stored(
         docs.select("text").mapInArrow(_counted, "word int, n bigint")
         .groupBy("word").agg(F.sum("n").alias("n")), "counts").toArrow()
     counts = np.zeros(VOCABULARY, np.int64)
     counts[counted.column("word").to_numpy()] = counted.column("n").to_numpy()
-    bands, network = Bands(counts), Network()
+    bands = Bands(counts)
+    network = Network(inner_rows=len(bands.inner.base))
     total = int(counts.sum())
     if not total:
         return bands, network
@@ -271,12 +399,16 @@ def fitted(docs: DataFrame, work: Work) -> tuple[Bands, Network]:
             "averaged")
     parts = learned.orderBy("slice").select("part").toArrow().column("part").to_pylist()
     if parts:
-        network.load(np.concatenate([np.frombuffer(p, "<f4") for p in parts]))
+        network.load(np.concatenate([np.frombuffer(p, "<f4") for p in parts[:SLICES]]))
+        network.words = np.concatenate([np.frombuffer(p, "<f2") for p in parts[SLICES:]]).astype(
+            np.float32).reshape(-1, WIDTH + 1)
     return bands, network
 
 
 def scored(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: `doc_id`, `n_words`, `log_likelihood`, `mean_log_probability`.
+    """One row per document: `doc_id`, `n_words`, `log_likelihood`, `mean_log_probability` (classes
+    predicted, words by their share), `word_log_likelihood`, `mean_word_log_probability` (words
+    predicted).
 
     Every word of every text is predicted. A null, empty or blank text has 0 words, likelihood 0
     and a null mean. Equal texts score alike up to rounding, ids (null too) are carried along, extra columns are
@@ -288,4 +420,5 @@ def scored(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     bands, network = fitted(rows, work)
     return rows.mapInArrow(
         _scores(bands, network),
-        "doc_id bigint, n_words bigint, log_likelihood double, mean_log_probability double")
+        "doc_id bigint, n_words bigint, log_likelihood double, mean_log_probability double, "
+        "word_log_likelihood double, mean_word_log_probability double")

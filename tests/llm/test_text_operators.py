@@ -262,6 +262,57 @@ def test_lm_network_beats_word_frequencies(spark):
     assert len(gains) > 100 and np.mean(gains) > 0.5 and np.mean(np.array(gains) > 0) > 0.9
 
 
+def test_lm_words_are_predicted_within_their_class(spark, monkeypatch):
+    """Words the network has not learned from are likelier within their class than their shares, and
+    likelier in their order than shuffled; in one shard and in several."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet") \
+        .select(F.col("doc_id").alias("id"), "text")
+    held = [r.text for r in docs.where("id % 10 = 3 AND text IS NOT NULL").collect()]
+    mixed = [" ".join(random.Random(0).sample(t.split(), len(t.split()))) for t in held]
+    for words_a_shard in (10 ** 6, 60_000):
+        monkeypatch.setattr(lm_score, "SHARD_WORDS", words_a_shard)
+        bands, network = lm_score.fitted(docs.where("id % 10 <> 3"), Work(spark, "test"))
+        means = []
+        for texts in (held, mixed):
+            ids, offsets = lm_score.word_ids(texts)
+            hidden = lm_score.with_one(network, bands.contexts(ids, offsets))
+            known = np.isfinite(bands.log_share[ids])
+            gains = bands.inner.log_probability(network, hidden, ids) - bands.log_share[ids]
+            means.append(gains[known].mean())
+        assert means[0] > 0.05 and means[0] > means[1] + 0.01, means
+
+
+def test_lm_word_probabilities_by_brute_force(spark, documents, texts):
+    bands, network = lm_score.fitted(
+        documents.select(F.col("doc_id").alias("id"), "text"), Work(spark, "test"))
+    got = {r.doc_id: r for r in lm_score.scored(documents).collect()}
+    inner, seen = bands.inner, np.flatnonzero(np.isfinite(bands.log_share))
+
+    def log_softmax(scores):
+        return scores - scores.max() - math.log(np.exp(scores - scores.max()).sum())
+
+    def log_probability(h, w):
+        total = log_softmax(h @ network.out + network.bias)[bands.band[w]]
+        for rows in inner.paths:
+            if rows[w] >= 0:
+                node = inner.node[rows[w]]
+                part = slice(inner.starts[node], inner.starts[node + 1])
+                total += log_softmax(network.words[part].astype(float) @ np.append(h, 1)
+                                     + inner.base[part])[rows[w] - part.start]
+        return total
+
+    for n, (doc_id, text) in enumerate(texts[:6]):
+        ids, offsets = lm_score.word_ids([text])
+        contexts = bands.contexts(ids, offsets)
+        units = [np.tanh(sum(t[c].astype(float) for t, c in zip(network.tables, row)))
+                 for row in contexts]
+        total = sum(log_probability(h, w) for h, w in zip(units, ids))
+        assert got[doc_id].word_log_likelihood == pytest.approx(total, rel=1e-4)
+        if n < 2 and len(units):                   # over all words, they sum to one
+            assert sum(math.exp(log_probability(units[0], w)) for w in seen) == pytest.approx(
+                1, abs=1e-3)
+
+
 def test_lm_network_learns_from_every_position(spark, monkeypatch):
     """Every context that occurs has moved from its start, in one shard and in many."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet") \
