@@ -98,6 +98,31 @@ def _squares(cells: np.ndarray, points: np.ndarray) -> np.ndarray:
     return total
 
 
+def _close(cells: np.ndarray, points: np.ndarray, bar: np.ndarray
+           ) -> tuple[np.ndarray, np.ndarray]:
+    """Points with a vector within their `bar`, and their squared distances as `_squares` has them,
+    but infinite where they exceed the bar.
+
+    One matrix product tells which may not, with a slack far above its rounding errors; only those
+    are computed element by element. A product that overflows rules nothing out.
+    """
+    with np.errstate(over="ignore", invalid="ignore"):
+        size, norms = (points * points).sum(0), (cells * cells).sum(0)
+        slack = (len(cells) + 16) * 1e-14 * (size + norms.max()) + 1e-300
+        apart = norms - 2 * (points.T @ cells)
+        row, column = np.nonzero(~(apart > (bar + slack - size)[:, None]))
+    if len(row) * 8 > apart.size:
+        return np.arange(points.shape[1]), _squares(cells, points)
+    which = np.flatnonzero(np.bincount(row))
+    at = np.searchsorted(which, row)
+    near = np.full((len(which), cells.shape[1]), np.inf)
+    # Added up one after another, as a plain fold does.
+    with np.errstate(over="ignore"):
+        parts = (cells[:, column] - points[:, row]) ** 2
+        near[at, column] = np.add.accumulate(parts, axis=0, out=parts)[-1]
+    return which, near
+
+
 def _grouped(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Group vectors around pivots far from each other.
 
@@ -179,7 +204,6 @@ class _Best:
 
     def take(self, rows: np.ndarray, distance: np.ndarray, ids: np.ndarray) -> None:
         """Let the questions `rows` choose among vectors too; ties go to the smaller id."""
-        self.scored[rows] += len(ids)
         better = distance.min(axis=1) <= self.distance[rows, -1]
         rows, distance = rows[better], distance[better]
         if not len(rows):
@@ -204,7 +228,8 @@ def _meet(best: _Best, points: np.ndarray, cells: np.ndarray, ids: np.ndarray,
     """Show a block to a block of questions, the nearest groups first.
 
     A vector farther from its pivot than the question by more than the question's k-th distance,
-    or nearer by more, cannot be among the k best. The slack is far above rounding errors.
+    or nearer by more, cannot be among the k best. The slack is far above rounding errors. What is
+    left is held against the k-th distance by a matrix product (`_close`).
     """
     for start in range(0, points.shape[1], QUERY_BLOCK):
         block = points[:, start:start + QUERY_BLOCK]
@@ -222,7 +247,11 @@ def _meet(best: _Best, points: np.ndarray, cells: np.ndarray, ids: np.ndarray,
             asking = np.flatnonzero(low < high)
             if len(asking):
                 part = slice(starts[g] + low[asking].min(), starts[g] + high[asking].max())
-                best.take(start + asking, _squares(cells[:, part], block[:, asking]), ids[part])
+                best.scored[start + asking] += part.stop - part.start
+                which, distance = _close(cells[:, part], block[:, asking],
+                                         best.distance[start + asking, -1])
+                if len(which):
+                    best.take(start + asking[which], distance, ids[part])
 
 
 def _score_blocks(k: int, names: list[str]) -> Callable:

@@ -2,6 +2,7 @@ import json
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -389,3 +390,32 @@ def test_rows_that_may_match_include_all_that_do(spark, kind):
     got = joins.may_match(left, "k", keys, "m")
     assert got.where("k IS NULL").count() == left.where("k IS NULL").count()
     assert got.join(keys, F.col("k") == F.col("m"), "left_semi").count() == whole
+
+
+def test_close_vectors_are_those_that_squares_finds(monkeypatch):
+    """Distances within the bar are exact to the last bit, and few are computed one by one."""
+    from tablewright.operators import retrieve
+
+    rng = np.random.default_rng(3)
+    for scale, dims in ((1, 64), (1e-160, 5), (1e154, 3), (1e6, 1)):
+        cells, points = (rng.normal(5, 1, (dims, n)) * scale for n in (300, 20))
+        points[:, 0] = cells[:, 7]
+        with np.errstate(over="ignore"):
+            every = retrieve._squares(cells, points)
+        bar = np.sort(every, axis=1)[:, 4]
+        which, found = retrieve._close(cells, points, bar)
+        inside = every <= bar[:, None]
+        assert list(which) == list(range(20))
+        assert (found[inside] == every[inside]).all()
+    cells, points = rng.normal(0, 1, (64, 4096)), rng.normal(0, 1, (64, 64))
+    order, radii, starts, pivots = retrieve._grouped(cells)
+    cells = cells[:, order].copy()
+    asked = []
+    whole = retrieve._squares
+    monkeypatch.setattr(retrieve, "_squares", lambda c, p: (
+        asked.append(c.shape[1] * p.shape[1]), whole(c, p))[1])
+    best = retrieve._Best(5, pa.array(range(64)), order)
+    retrieve._meet(best, points, cells, order, radii, starts, pivots)
+    expected = np.sort(whole(cells, points), axis=1)[:, :5]
+    assert (best.distance == expected).all()
+    assert sum(asked) < 0.5 * best.scored.sum()
