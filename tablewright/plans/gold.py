@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import measures as m
 from ..functions.cleaning import classify, null_safe_sum
+from ..operators import joins
 from . import fixed_values as fixed
 
 
@@ -72,20 +73,26 @@ def dim_date_spanning(dated: DataFrame, *columns: str) -> DataFrame:
         .select(F.explode(F.sequence("a", "b")).alias("full_date")))
 
 
-def fact_claims(claims: DataFrame, policy: DataFrame, customers: DataFrame) -> DataFrame:
+def fact_claims(claims: DataFrame, policy: DataFrame, customers: DataFrame, whole: bool = False
+                ) -> DataFrame:
     """One row per claim with its policy's and policyholder's attributes.
 
     The two dimensions are joined first and the claims meet the result once, so the large side
     moves once, and claims without a policy do not pile up on a NULL customer. A claim without
     a policy keeps NULL attributes, tier included. Customers are known to be one row per id;
-    saying so lets Spark leave their join out of any plan that uses no column of theirs.
+    saying so lets Spark leave their join out of any plan that uses no column of theirs. `whole`
+    is for a caller that takes all columns: the claims then move in a more compact form.
     """
     holders = customers.select("customer_id", "region", "state").dropDuplicates(["customer_id"])
     cover = policy.select(
         "policy_number", "policy_csl", coverage_tier().alias("policy_csl_tier"),
         "policy_deductable", "policy_annual_premium", "customer_id",
     ).join(holders, "customer_id", "left")
-    joined = claims.join(cover, F.col("policy_id") == F.col("policy_number"), "left")
+    if whole:
+        joined = joins.left_packed(claims.drop("incident_location"), cover, "policy_id",
+                                   "policy_number")
+    else:
+        joined = claims.join(cover, F.col("policy_id") == F.col("policy_number"), "left")
     amounts = [F.col(f"{part}_amount") for part in ("injury", "property", "vehicle")]
     return joined.select(
         "claim_id", "policy_id", "customer_id",
@@ -103,12 +110,17 @@ def fact_claims(claims: DataFrame, policy: DataFrame, customers: DataFrame) -> D
         *_lineage(claims))
 
 
-def fact_sales(sales: DataFrame, cars: DataFrame) -> DataFrame:
-    """One row per listing with its car's attributes."""
+def fact_sales(sales: DataFrame, cars: DataFrame, whole: bool = False) -> DataFrame:
+    """One row per listing with its car's attributes; `whole` as in `fact_claims`."""
     models = cars.select("car_id", F.col("name").alias("car_name"),
                          F.col("model").alias("car_model"), "fuel", "transmission", "seats")
     sold = F.col("sold_on").isNotNull()
-    return sales.join(models, "car_id", "left").select(
+    if whole:
+        joined = joins.left_packed(sales, models.withColumnRenamed("car_id", "_model_id"), "car_id",
+                                   "_model_id")
+    else:
+        joined = sales.join(models, "car_id", "left")
+    return joined.select(
         "sales_id", "car_id", "car_name", "car_model", "fuel", "transmission", "seats",
         "region", "state", "city", "seller_type", "owner", "ad_placed_on", "sold_on",
         F.year("ad_placed_on").alias("listing_year"),

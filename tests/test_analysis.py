@@ -1,5 +1,6 @@
 import json
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +11,7 @@ from tablewright.operators import joins, profile, retrieve
 from tablewright.operators.quantile import exact_quantile
 from tablewright.plans import fixed_values as fixed
 from tablewright.plans import gold, kpi, profiling
+from tablewright.session import tune
 
 
 def discrete_quantile(values, q):
@@ -419,3 +421,38 @@ def test_close_vectors_are_those_that_squares_finds(monkeypatch):
     expected = np.sort(whole(cells, points), axis=1)[:, :5]
     assert (best.distance == expected).all()
     assert sum(asked) < 0.5 * best.scored.sum()
+
+
+def test_packed_join_gives_the_rows_of_a_plain_one(spark):
+    left = spark.createDataFrame(
+        [(1, "a", None, "", 2.5), (1, 'q"\\', "x,\n\t", " b ", None), (None, None, None, None, 0.1),
+         (7, "ü 😀", "[]", "null", -0.0), (1, "a", None, "", 2.5)],
+        "k int, t string, `u v` string, w string, d double")
+    right = spark.createDataFrame([(1, "one"), (1, "uno"), (None, "none")], "rk int, name string")
+    plain = left.join(right, F.col("k") == F.col("rk"), "left")
+    packed = joins.left_packed(left, right, "k", "rk")
+    assert packed.dtypes == plain.dtypes
+    assert Counter(packed.collect()) == Counter(plain.collect())
+    # A text key stays as it is, and a table without other texts has nothing to pack.
+    named = right.select("name")
+    assert joins.left_packed(named, right.toDF("rk", "other"), "name", "other").count() == 3
+
+
+def test_stored_facts_move_their_texts_packed(layers):
+    parts = [layers.clean(t) for t in ("claims", "policy", "customers")]
+    plain, whole = gold.fact_claims(*parts), gold.fact_claims(*parts, whole=True)
+    assert whole.dtypes == plain.dtypes and Counter(whole.collect()) == Counter(plain.collect())
+    cars = layers.clean("sales"), layers.clean("cars")
+    plain, whole = gold.fact_sales(*cars), gold.fact_sales(*cars, whole=True)
+    assert whole.dtypes == plain.dtypes and Counter(whole.collect()) == Counter(plain.collect())
+
+
+def test_write_into_two_folders_sorts_nothing(spark, tmp_path):
+    tune(spark)
+    spark.sql(f"CREATE TABLE halves (v BIGINT, p BOOLEAN) USING parquet PARTITIONED BY (p) "
+              f"LOCATION '{tmp_path}'")
+    try:
+        plan = spark.sql("EXPLAIN INSERT INTO halves SELECT id, id % 2 = 0 FROM range(9)").first()[0]
+        assert "WriteFiles" in plan and "Sort" not in plan
+    finally:
+        spark.sql("DROP TABLE halves")
