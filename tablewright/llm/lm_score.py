@@ -34,6 +34,7 @@ INNER_BATCH, INNER_RATE = 256, 0.2
 FAN = 64                       # words or groups of words that one inner softmax tells apart
 DAMPING = 0.1                  # first moment of the inner softmax: few examples move it little
 INNER_CHUNK = 1 << 17          # words scored at a time by the inner softmax
+ITEM = np.dtype((np.void, 4 * WIDTH))          # an embedding as one item
 
 
 def word_ids(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -228,23 +229,29 @@ class Network:
             return
         self.bias[...] = np.log((np.bincount(bands, minlength=CLASSES) + 0.5)
                            / (len(bands) + CLASSES / 2)).astype(np.float32)
-        rows = joint_rows(contexts).astype(np.int32)
+        rows = joint_rows(contexts).astype(np.uint16)
         # Output weights with the bias as last row: hidden units get a constant one to match.
         out = np.vstack((self.out, self.bias))
         moments = [np.full_like(t, 1e-4) for t in (self.joint, out)]
+        # The same rows as one item each, which numpy writes at once.
+        joint_items, moment_items = (t.view(ITEM)[:, 0] for t in (self.joint, moments[0]))
         rng = np.random.default_rng(4)
+        buffer, places = np.empty((BATCH, WIDTH), np.float32), np.arange(BATCH)
         for _ in range(EPOCHS):
             order = rng.permutation(len(bands))
             rows_now, bands_now = rows[order], bands[order]
+            sides_now = np.ascontiguousarray(rows_now.T).astype(np.intp)
             for at in range(0, len(order), BATCH):
-                x, y = rows_now[at:at + BATCH], bands_now[at:at + BATCH]
+                flat, y = rows_now[at:at + BATCH].ravel(), bands_now[at:at + BATCH]
                 size = len(y)
-                units = self.joint.take(x[:, 0], 0)
-                for column in range(1, len(SIDES)):
-                    units += self.joint.take(x[:, column], 0)
+                units, more = np.empty((size, WIDTH), np.float32), buffer[:size]
+                for column, side in enumerate(sides_now[:, at:at + BATCH]):
+                    self.joint.take(side, 0, out=more if column else units, mode="clip")
+                    if column:
+                        units += more
                 np.tanh(units, out=units)
-                h = np.ones((size, WIDTH + 1), np.float32)
-                h[:, :WIDTH] = units
+                h = np.empty((size, WIDTH + 1), np.float32)
+                h[:, :WIDTH], h[:, WIDTH] = units, 1
                 # One row per class: sums over the classes then run along rows. Scores are shifted
                 # only if they could leave the range of exp.
                 error = out.T @ h.T
@@ -252,7 +259,7 @@ class Network:
                     error -= error.max(0)
                 np.exp(error, out=error)
                 total = error.sum(0)
-                error[y, np.arange(size)] -= total
+                error[y, places[:size]] -= total
                 # The errors stay unscaled; what they are multiplied with is scaled instead.
                 scale = (1 / (total * np.float32(size ** 0.5)))[:, None]
                 back = error.T @ out[:WIDTH].T
@@ -265,24 +272,40 @@ class Network:
                 moments[1] += g * g
                 out -= RATE * 5 * g / np.sqrt(moments[1])
                 # One sum per row of the joint table, its positions brought together by a sort.
-                flat = x.ravel().astype(np.uint16)
                 by_row = np.argsort(flat, kind="stable")
-                sorted_rows = flat[by_row]
-                starts = np.flatnonzero(sorted_rows[1:] != sorted_rows[:-1]) + 1
-                starts = np.concatenate(([0], starts))
-                touched = sorted_rows[starts]
-                # Added in pairs of columns, as complex numbers: half as many short sums.
-                pairs = back.take(by_row // len(SIDES), 0).view(np.complex64)
-                g = np.add.reduceat(pairs, starts, axis=0).view(np.float32)
-                moment = moments[0].take(touched, 0)
+                touched, g = summed(flat[by_row], back, by_row // len(SIDES))
+                moment = moment_items.take(touched).view(np.float32).reshape(g.shape)
                 moment += g * g
-                moments[0][touched] = moment
+                moment_items[touched] = moment.view(ITEM)[:, 0]
                 g *= RATE * 5
                 g /= np.sqrt(moment, out=moment)
-                self.joint[touched] = self.joint.take(touched, 0) - g
+                now = joint_items.take(touched).view(np.float32).reshape(g.shape)
+                now -= g
+                joint_items[touched] = now.view(ITEM)[:, 0]
         self.out[...], self.bias[...] = out[:WIDTH], out[WIDTH]
 
 
+def summed(rows: np.ndarray, values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ones of the sorted `rows` and for each the sum of its `values`, which lie at `at`.
+
+    Most rows come once and are only copied; the others are added in pairs of columns, as complex
+    numbers: half as many short sums.
+    """
+    first = np.ones(len(rows) + 1, bool)
+    np.not_equal(rows[1:], rows[:-1], out=first[1:-1])
+    starts = np.flatnonzero(first[:-1])
+    sums = values.take(at[starts], 0)
+    repeated = ~(first[:-1] & first[1:])
+    if repeated.any():
+        own = np.flatnonzero(repeated)
+        pairs = values.take(at[own], 0).view(np.complex64)
+        several = np.flatnonzero(~first[starts + 1])
+        sums.view(ITEM)[several, 0] = np.add.reduceat(
+            pairs, np.flatnonzero(first[own]), axis=0).view(
+            ITEM)[:, 0]
+    return rows[starts].astype(np.intp), sums
+
+
 def joint_rows(contexts: np.ndarray) -> np.ndarray:
     """Rows of the joint table that the contexts of each position stand for."""
     return contexts + np.arange(len(SIDES)) * (KNOWN + CLASSES + 1)

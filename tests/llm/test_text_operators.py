@@ -519,3 +519,16 @@ def test_secrets_of_awkward_rows(spark):
     out = {r.doc_id: r for r in secrets.masked(docs).collect()}
     assert out[1].text == "[SECRET] " + PROSE and out[1].n_chars == len(out[1].text)
     assert out[2].text is None and secrets.masked(docs).columns == docs.columns
+
+
+def test_lm_sums_of_repeated_rows_are_those_of_one_by_one():
+    rng = np.random.default_rng(2)
+    for rows in ([5], [5, 5, 5], [1, 2, 3], [1, 1, 2, 3, 3], [0, 1, 1], np.sort(rng.integers(0, 40, 300))):
+        rows = np.array(rows, np.uint16)
+        values = rng.normal(size=(17, lm_score.WIDTH)).astype(np.float32)
+        at = rng.integers(0, len(values), len(rows))
+        touched, sums = lm_score.summed(rows, values, at)
+        assert touched.tolist() == sorted(set(rows.tolist()))
+        expected = np.zeros_like(sums)
+        np.add.at(expected, np.searchsorted(touched, rows), values[at])
+        np.testing.assert_allclose(sums, expected, rtol=1e-5, atol=1e-5)
