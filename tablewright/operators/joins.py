@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 # Marks of the table that `may_match` looks keys up in: 4 MB of bits, some 30 MB as broadcast.
 MARKS = 1 << 25
-PACKED = "_texts"
+PACKED, UNPACKED = "_texts", "_texts_as_they_are"
+LONG_TEXT = 1 << 20
 
 
 def _slot(df: DataFrame, key: str) -> Column:
@@ -39,13 +40,21 @@ def left_packed(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     """Left join of tables without common columns; the texts of `left` travel as one JSON array.
 
     A row on its way through a shuffle spends 16 bytes and more on every text, however short. For
-    results that take all columns only: a packed column cannot be left out of the plan.
+    results that take all columns only: a packed column cannot be left out of the plan. Rows with a
+    very long text, or one that is no UTF-8, which JSON cannot hold, keep their texts as they are.
     """
     texts = [c for c, kind in left.dtypes if kind == "string" and c != left_key]
     rest = [f"`{c}`" for c in left.columns if c not in texts]
-    packed = left.select(*rest, F.to_json(F.array(*[f"`{c}`" for c in texts])).alias(PACKED))
+    if not texts:
+        return left.join(right, F.col(left_key) == F.col(right_key), "left")
+    fits = reduce(Column.__and__, [
+        F.col(f"`{c}`").isNull() | F.is_valid_utf8(f"`{c}`") & (F.octet_length(f"`{c}`") < LONG_TEXT)
+        for c in texts])
+    values = F.array(*[f"`{c}`" for c in texts])
+    packed = left.select(*rest, F.when(fits, F.to_json(values)).alias(PACKED),
+                         F.when(~fits, values).alias(UNPACKED))
     joined = packed.join(right, F.col(left_key) == F.col(right_key), "left").withColumn(
-        PACKED, F.from_json(PACKED, "array<string>", {"mode": "FAILFAST"}))
+        PACKED, F.coalesce(UNPACKED, F.from_json(PACKED, "array<string>", {"mode": "FAILFAST"})))
     return joined.withColumns({c: F.col(PACKED)[i] for i, c in enumerate(texts)}).select(
         *[f"`{c}`" for c in (*left.columns, *right.columns)])
 

@@ -433,6 +433,12 @@ def test_packed_join_gives_the_rows_of_a_plain_one(spark):
     packed = joins.left_packed(left, right, "k", "rk")
     assert packed.dtypes == plain.dtypes
     assert Counter(packed.collect()) == Counter(plain.collect())
+    odd = left.withColumn("t", F.when(F.col("t") == "a", F.unhex(F.lit("61FF")).cast("string"))
+                          .when(F.col("k") == 7, F.repeat(F.lit("long"), 1 << 18)).otherwise(F.col("t")))
+    seen = [*(F.hex(c) for c in ("t", "u v", "w")), "d", "name"]
+    plain = odd.join(right, F.col("k") == F.col("rk"), "left").select(*seen)
+    assert Counter(joins.left_packed(odd, right, "k", "rk").select(*seen).collect()) == Counter(
+        plain.collect())
     # A text key stays as it is, and a table without other texts has nothing to pack.
     named = right.select("name")
     assert joins.left_packed(named, right.toDF("rk", "other"), "name", "other").count() == 3
