@@ -2,6 +2,7 @@
 
 import itertools
 import os
+import time
 
 import numpy as np
 import pytest
@@ -194,3 +195,47 @@ def test_prompts_are_kept_twice_at_most(spark, tmp_path, monkeypatch):
     assert out.where("generation_status = 'success'").count() == 1500
     kept = sum(f.stat().st_size for f in (tmp_path / "generate").rglob("*.parquet"))
     assert kept < 1500 * 1024 * 2
+
+
+def test_many_rounds_are_asked_in_one_job(spark, tmp_path):
+    """How many jobs a run takes does not depend on how many prompts it may lose."""
+    df = spark.createDataFrame([(i, f"p{i % 60}") for i in range(80)], "id int, p string")
+    counts = {}
+    for at_once in (100_000, 2):
+        group = f"asked-{at_once}"
+        spark.sparkContext.setJobGroup(group, group)
+        out = enrich.generate_resumed(df, "p", enrich.each(str.upper), "m", str(tmp_path / group),
+                                      at_once=at_once)
+        assert sorted((r.id, r.generated_text) for r in out.collect()) == [
+            (i, f"P{i % 60}") for i in range(80)]
+        counts[at_once] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        stored = [f for f in (tmp_path / group / "replies").rglob("part-*.parquet")]
+        assert at_once > 2 or len(stored) > 30
+    spark.sparkContext.setJobGroup("", "")
+    assert counts[2] <= counts[100_000] + 5
+
+
+def test_interrupted_run_keeps_what_its_ended_tasks_stored(spark, tmp_path):
+    folder, store = str(tmp_path / "asked"), str(tmp_path / "store")
+    os.mkdir(folder)
+    prompts = [f"p{i}" for i in range(24)]
+    df = spark.createDataFrame([(p, p) for p in prompts], "name string, p string").repartition(1)
+    answer = writing(folder)
+
+    def breaks(some):
+        if "p7" in some:
+            time.sleep(4)
+            os._exit(1)
+        return answer(some)
+
+    with pytest.raises(Exception, match="aborted"):
+        enrich.generate_resumed(df, "p", breaks, "m", store, at_once=2)
+    first = set(asked(folder))
+    assert len(first) > 12 and "p7" not in first
+    out = enrich.generate_resumed(df, "p", answer, "m", store, at_once=2).collect()
+    assert sorted((r.name, r.generated_text, r.generation_status) for r in out) == sorted(
+        (p, p.upper(), "success") for p in prompts)
+    again = asked(folder)
+    assert "p7" in again and set(again) | first == set(prompts) and len(again) < 12
+    enrich.generate_resumed(df, "p", answer, "m", store, at_once=2)
+    assert asked(folder) == []
