@@ -462,3 +462,16 @@ def test_write_into_two_folders_sorts_nothing(spark, tmp_path):
         assert "WriteFiles" in plan and "Sort" not in plan
     finally:
         spark.sql("DROP TABLE halves")
+
+
+def test_packed_join_takes_texts_apart_without_a_parser(spark):
+    """Texts with the character between packed ones, and such as look like its marks."""
+    left = spark.createDataFrame(
+        [(1, "=", "\x01b", ""), (1, "x\x01", None, "="), (None, "\x00", "\x01", "a=b"), (2, "", "", None),
+         (3, None, None, None)], "k int, t string, `u v` string, w string")
+    right = spark.createDataFrame([(1, "one"), (3, None)], "rk int, name string")
+    packed = joins.left_packed(left, right, "k", "rk")
+    assert Counter(packed.collect()) == Counter(
+        left.join(right, F.col("k") == F.col("rk"), "left").collect())
+    plan = packed._jdf.queryExecution().optimizedPlan().toString()
+    assert "json" not in plan and plan.count("split(") == 1
